@@ -98,8 +98,11 @@ def match_dominant_family(df: DataFrame, rules: list[FamilyRule],
 
 
 def build_alerts(df: DataFrame, rules: list[FamilyRule] = (), score: str = "score",
-                 tag: str = "anomaly_tag", thresholds=SEVERITY_SCORES) -> DataFrame:
-    """One alert per row: a known tag first, then a family rule, then a generic message."""
+                 tag: str = "anomaly_tag", thresholds=SEVERITY_SCORES, keep=()) -> DataFrame:
+    """One alert per row: a known tag first, then a family rule, then a generic message.
+
+    ``keep`` names columns passed through in front, such as a row id.
+    """
     columns = set(df.columns)
     families = (F.coalesce("families_sorted", F.array()) if "families_sorted" in columns
                 else F.array()).cast(f"array<{FAMILY_SHARE.simpleString()}>")
@@ -116,7 +119,7 @@ def build_alerts(df: DataFrame, rules: list[FamilyRule] = (), score: str = "scor
     rule = F.coalesce("rule_name", F.when(matched, F.col("matched_rule")), F.lit("fallback_top_family"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return rows.select(
-        text("timestamp").alias("timestamp"), text("device_id").alias("device_id"),
+        *keep, text("timestamp").alias("timestamp"), text("device_id").alias("device_id"),
         text("state").alias("state"), value.alias("score"),
         F.coalesce("tag_severity", score_severity(value, *thresholds)).alias("severity"),
         "tag", "route", F.col("route").alias("queue"),

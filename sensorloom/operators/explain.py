@@ -17,7 +17,8 @@ def _strength(features) -> dict[str, Column]:
 
 def _by_share(entries: Column) -> Column:
     """Entries of (rank, name, pct) ordered by share descending, then rank."""
-    keyed = F.transform(entries, lambda e: F.struct((-e.pct).alias("down"), e.rank, e.name, e.pct))
+    keyed = F.transform(entries, lambda e: F.struct(
+        (-e["pct"]).alias("down"), e["rank"], e["name"], e["pct"]))
     return F.array_sort(keyed)
 
 
@@ -41,13 +42,13 @@ def contributions(z: DataFrame, features, k: int = 5, signals=None) -> DataFrame
                           for i, (name, members) in enumerate(families.items())])
     rows = rows.select(*keep, "_total", by_feature.alias("_features"), by_family.alias("_families"))
     top = F.slice(_by_share(F.col("_features")), 1, k)
-    as_feature = lambda e: F.struct(e["name"].alias("feature"), e.pct.alias("pct"))
-    as_family = lambda e: F.struct(e["name"].alias("family"), e.pct.alias("pct"))
+    as_feature = lambda e: F.struct(e["name"].alias("feature"), e["pct"].alias("pct"))
+    as_family = lambda e: F.struct(e["name"].alias("family"), e["pct"].alias("pct"))
     return rows.select(
         *keep,
         F.when(known, F.transform(top, as_feature)).otherwise(F.array()).alias("top_features"),
         F.when(known, F.map_from_entries(F.transform(
-            "_families", lambda e: F.struct(e["name"], e.pct)))).otherwise(
+            "_families", lambda e: F.struct(e["name"], e["pct"])))).otherwise(
                 F.create_map().cast("map<string,double>")).alias("family_totals"),
         F.when(known, F.transform(_by_share(F.col("_families")), as_family)).otherwise(
             F.array()).alias("families_sorted"))

@@ -5,11 +5,9 @@ from math import pi
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sensorloom.functions.scalars import epoch_micros, finite_or_zero, label, seconds_between
-from sensorloom.operators.quantiles import (
-    DIRECT_ROWS, blend, exact_quantiles, order_statistics, rank_of)
-from sensorloom.operators.sequence import (
-    CHANGED, HALO, POS, SLICE, Slicing, device_order, sliced)
+from sensorloom.functions.scalars import epoch_micros, label
+from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from sensorloom.operators.sequence import CHANGED, HALO, POS, SLICE, Slicing, sliced
 from sensorloom.operators.spectral import add_dominant_bins
 from sensorloom.schema import SIGNALS
 
@@ -57,11 +55,13 @@ def feature_names(spec: FeatureSpec = FeatureSpec()) -> list[str]:
             + EVENT_FEATURES)
 
 
-def sample_step_seconds(df: DataFrame, per_device: bool = False, limit: int = DIRECT_ROWS) -> int:
+def sample_step_seconds(df: DataFrame, per_device: bool = False) -> int:
     """Median gap between consecutive times of the whole table, in whole seconds, at least 1.
 
     Equal times are counted, not sorted: each repeat is a gap of zero.  Only distinct
     times are put in order, hour by hour; the first of an hour looks at the last hour's end.
+    Gaps are counted per whole second to find the middle ones, then ranked exactly within
+    that second, which holds at most a million different gaps.
     """
     who = ["device_id"] if per_device else []
     times = (df.where("timestamp IS NOT NULL")
@@ -73,49 +73,47 @@ def sample_step_seconds(df: DataFrame, per_device: bool = False, limit: int = DI
              .select(*who, "hour", F.lag("end").over(along).alias("prev_end")))
     inside = Window.partitionBy(*who, "hour").orderBy("us")
     gaps = (times.join(hours, [*who, "hour"])
-            .select(F.coalesce(F.lag("us").over(inside), F.col("prev_end")).alias("prev"), "us", "n")
-            .select((F.col("us") - F.col("prev")).alias("gap"), (F.col("n") - 1).alias("zeros")))
-    seen = gaps.agg(F.count("gap").alias("gaps"), F.sum("zeros").alias("zeros")).first()
-    positive, zeros = seen.gaps, seen.zeros or 0
-    total = positive + zeros
-    if total == 0:
+            .select("us", "n", F.coalesce(F.lag("us").over(inside), F.col("prev_end")).alias("prev"))
+            .selectExpr("inline(array(struct(us - prev AS gap, 1L AS n), struct(0L AS gap, n - 1 AS n)))")
+            .where("gap IS NOT NULL AND n > 0"))
+    seconds = gaps.groupBy(F.expr("gap div 1000000").alias("sec")).agg(F.sum("n").alias("n"))
+    middle = seconds.selectExpr(
+        "sec", "n", "sum(n) OVER (ORDER BY sec) - n AS before", "sum(n) OVER () AS total").where(
+        "before <= total div 2 AND before + n > (total - 1) div 2").orderBy("sec").collect()
+    if not middle:
         return 1
-    ranks, weight = rank_of(total, 0.5)
-    above = [r - zeros for r in ranks]
-    wanted = [r for r in above if r >= 0]
-    values = order_statistics(gaps, {"gap": [wanted]}, {"gap": positive}, limit)["gap"][0] if wanted else []
-    median_us = blend([0.0] * (2 - len(values)) + values, weight)
-    return int(max(1, round(median_us / 1e6)))
+    total, before = middle[0].total, middle[0].before
+    values = (gaps.where(F.expr("gap div 1000000").isin([r.sec for r in middle]))
+              .groupBy("gap").agg(F.sum("n").alias("n"))
+              .selectExpr("gap", f"sum(n) OVER (ORDER BY gap) + {before} AS upto"))
+    low, high = values.agg(*[F.min(F.when(F.col("upto") > r, F.col("gap")))
+                             for r in ((total - 1) // 2, total // 2)]).first()
+    return int(max(1, round((low + high) / 2 / 1e6)))
 
 
-def _failed() -> Column:
-    return F.coalesce(F.col("error_code") != 0, F.lit(False))
+# A reading with a non-zero error code; a missing code is no error.
+FAILED = "coalesce(error_code <> 0, false)"
 
 
 def _carries(signals) -> dict[str, Column]:
     return {
         **{f"_carry_{s}": F.col(s) for s in signals},
-        "_carry_ok_pos": F.when(~_failed(), F.col(POS)),
-        "_carry_error_ts": F.when(_failed(), F.col("timestamp")),
-        "_carry_change_ts": F.when(F.col(CHANGED), F.col("timestamp")),
+        "_carry_ok_pos": F.expr(f"CASE WHEN NOT {FAILED} THEN {POS} END"),
+        "_carry_error_ts": F.expr(f"CASE WHEN {FAILED} THEN timestamp END"),
+        "_carry_change_ts": F.expr(f"CASE WHEN {CHANGED} THEN timestamp END"),
     }
 
 
-def _last(df: DataFrame, value: Column, carry: str, upto) -> Column:
-    """Last non-null value up to this row, continued from before the slice."""
-    here = F.last(value, ignorenulls=True).over(upto)
-    return F.coalesce(here, F.col(carry)) if carry in df.columns else here
-
-
 def _in_order(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     halo = max(spec.window, spec.spectral_window)
     return sliced(df, spec.ties, halo, _carries(spec.signals), spec.slicing)
 
 
 def _forward_filled(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
-    upto = device_order(spec.ties).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumns({
-        f"_x_{s}": _last(rows, F.col(s), f"_carry_{s}", upto).cast("double") for s in spec.signals})
+    upto = f"OVER ({_window(spec)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    carried = lambda s: f", _carry_{s}" if f"_carry_{s}" in rows.columns else ""
+    return rows.selectExpr("*", *[
+        f"CAST(coalesce(last({s}, true) {upto}{carried(s)}, NULL) AS DOUBLE) AS _x_{s}" for s in spec.signals])
 
 
 def ffill_signals(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
@@ -139,94 +137,107 @@ def median_fill(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
                            for s, m in medians.items()})
 
 
-def _phase(step_s: int, season_s: int) -> dict[str, Column]:
+def _window(spec: FeatureSpec) -> str:
+    """SQL text of the one window every device-local feature shares."""
+    return f"PARTITION BY device_id, {SLICE} ORDER BY {', '.join(['timestamp', *spec.ties])}"
+
+
+def _phase(step_s: int, season_s: int) -> list[str]:
+    """Position within the season as a point on the circle."""
     bins = max(1, round(season_s / step_s))
-    second = F.floor(epoch_micros(F.col("timestamp")) / F.lit(1_000_000))
-    at = F.least(F.floor(F.pmod(second, F.lit(season_s)) / F.lit(step_s)), F.lit(bins - 1))
-    angle = F.lit(2.0 * pi) * (at / F.lit(bins))
-    return {"phase_sin": F.sin(angle), "phase_cos": F.cos(angle)}
+    second = "floor(unix_micros(CAST(timestamp AS TIMESTAMP)) / 1000000)"
+    at = f"least(floor(pmod({second}, {season_s}) / {step_s}), {bins - 1})"
+    angle = f"{2.0 * pi!r}D * ({at} / {bins})"
+    return [f"sin({angle}) AS phase_sin", f"cos({angle}) AS phase_cos"]
 
 
-def _event_columns(rows: DataFrame, order, spec: FeatureSpec) -> DataFrame:
+def _event_columns(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Positions and the last rows that matter, continued across slices."""
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    state = F.coalesce(F.col("state"), F.lit(""))
-    base = {f"_d_{s}": F.col(f"_x_{s}") - F.first(f"_x_{s}").over(upto) for s in spec.signals}
-    rows = rows.withColumns({
-        **base,
-        POS: F.coalesce(F.col(POS), F.row_number().over(order)).cast("long"),
-        CHANGED: F.coalesce(F.col(CHANGED), F.lag(state).over(order) != state, F.lit(True)),
-    })
-    ok_pos = F.when(~_failed(), F.col(POS))
-    return rows.withColumns({
-        "_ok_pos": _last(rows, ok_pos, "_carry_ok_pos", upto),
-        "_error_ts": _last(rows, F.when(_failed(), F.col("timestamp")), "_carry_error_ts", upto),
-        "_change_ts": _last(rows, F.when(F.col(CHANGED), F.col("timestamp")), "_carry_change_ts", upto),
-    })
-
-
-def _since(mark: str) -> Column:
-    elapsed = seconds_between(F.col("timestamp"), F.col(mark))
-    return F.greatest(F.coalesce(elapsed, F.lit(NEVER_SECONDS)), F.lit(0.0))
-
-
-def _rolling(order, spec: FeatureSpec) -> dict[str, Column]:
+    w = _window(spec)
+    upto = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    state = "coalesce(state, '')"
+    rows = rows.selectExpr(
+        f"* EXCEPT ({POS}, {CHANGED})",
+        *[f"_x_{s} - first(_x_{s}) {upto} AS _d_{s}" for s in spec.signals],
+        f"CAST(coalesce({POS}, row_number() OVER ({w})) AS BIGINT) AS {POS}",
+        f"coalesce({CHANGED}, lag({state}) OVER ({w}) <> {state}, true) AS {CHANGED}",
+        f"{FAILED} AS _failed")
+    carried = lambda name: f", {name}" if name in rows.columns else ""
+    last = lambda when, value, name: (
+        f"coalesce(last(CASE WHEN {when} THEN {value} END, true) {upto}{carried('_carry' + name)}, NULL) AS {name}")
+    return rows.selectExpr(
+        "*", last("NOT _failed", POS, "_ok_pos"), last("_failed", "timestamp", "_error_ts"),
+        last(CHANGED, "timestamp", "_change_ts"))
+
+
+def _rolling(spec: FeatureSpec) -> list[str]:
     """Plain sums and extremes per frame.
 
     Readings are taken relative to the first of their slice, so the sums of squares keep
     their precision and the variance needs no costlier moment aggregate per frame.
     """
-    frame = order.rowsBetween(-(spec.window - 1), 0)
-    wave = order.rowsBetween(-(spec.spectral_window - 1), 0)
-    columns = {"_changes": F.sum(F.col(CHANGED).cast("double")).over(frame)}
+    w = _window(spec)
+    frame = lambda rows: f"OVER ({w} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    recent, wave = frame(spec.window), frame(spec.spectral_window)
+    columns = [f"sum(CAST({CHANGED} AS DOUBLE)) {recent} AS _changes"]
     for s in spec.signals:
-        x, d = F.col(f"_x_{s}"), F.col(f"_d_{s}")
-        columns[f"_sum_{s}"] = F.sum(d).over(frame)
-        columns[f"_squares_{s}"] = F.sum(d * d).over(frame)
-        columns[f"{s}_min"] = F.min(x).over(frame)
-        columns[f"{s}_max"] = F.max(x).over(frame)
-        columns[f"_prev_{s}"] = F.lag(x).over(order)
-        columns[f"_swing_{s}"] = F.sum(F.when(F.col(POS) % 2 == 0, d).otherwise(-d)).over(wave)
+        x, d = f"_x_{s}", f"_d_{s}"
+        columns += [
+            f"sum({d}) {recent} AS _sum_{s}", f"sum({d} * {d}) {recent} AS _squares_{s}",
+            f"min({x}) {recent} AS _min_{s}", f"max({x}) {recent} AS _max_{s}",
+            f"lag({x}) OVER ({w}) AS _prev_{s}",
+            f"sum(CASE WHEN {POS} % 2 = 0 THEN {d} ELSE -{d} END) {wave} AS _swing_{s}"]
         if spec.spectral_window != spec.window:
-            columns[f"_wave_sum_{s}"] = F.sum(d).over(wave)
-            columns[f"_wave_squares_{s}"] = F.sum(d * d).over(wave)
+            columns += [f"sum({d}) {wave} AS _wave_sum_{s}", f"sum({d} * {d}) {wave} AS _wave_squares_{s}"]
+    return columns
+
+
+def _moments(spec: FeatureSpec) -> list[str]:
+    enough, n = f"{POS} >= {spec.min_rows}", f"CAST(least({POS}, {spec.window}) AS DOUBLE)"
+    columns = []
+    for s in spec.signals:
+        total, squares = f"_sum_{s}", f"_squares_{s}"
+        spread = f"sqrt(greatest({squares} - {total} * {total} / {n}, 0D) / ({n} - 1))"
+        columns += [
+            f"CASE WHEN {enough} THEN _x_{s} - _d_{s} + {total} / {n} END AS {s}_mean",
+            f"CASE WHEN {enough} THEN CASE WHEN _min_{s} = _max_{s} THEN 0D ELSE {spread} END END AS {s}_std"]
     return columns
 
 
-def _derived(spec: FeatureSpec) -> list[dict[str, Column]]:
-    """Features from the frame sums, in the order they depend on each other."""
-    n = F.least(F.col(POS), F.lit(spec.window)).cast("double")
-    m = F.least(F.col(POS), F.lit(spec.spectral_window)).cast("double")
-    enough = F.col(POS) >= spec.min_rows
-    enough_wave = F.col(POS) >= spec.spectral_min_rows
+def _features(spec: FeatureSpec, step_s: int) -> dict[str, str]:
+    """The remaining features from the frame sums and moments."""
+    enough, enough_wave = f"{POS} >= {spec.min_rows}", f"{POS} >= {spec.spectral_min_rows}"
+    m = f"CAST(least({POS}, {spec.spectral_window}) AS DOUBLE)"
     wave = "_wave" if spec.spectral_window != spec.window else ""
-    moments, rest = {}, {}
+    since = lambda mark: (f"greatest(coalesce((unix_micros(CAST(timestamp AS TIMESTAMP)) - "
+                          f"unix_micros(CAST({mark} AS TIMESTAMP))) / 1e6D, {NEVER_SECONDS}D), 0D)")
+    columns = dict(reversed(c.rsplit(" AS ", 1)) for c in _phase(step_s, spec.season_s))
     for s in spec.signals:
-        x, low, high = F.col(f"_x_{s}"), F.col(f"{s}_min"), F.col(f"{s}_max")
-        total, squares = F.col(f"_sum_{s}"), F.col(f"_squares_{s}")
-        spread = F.greatest(squares - total * total / n, F.lit(0.0)) / (n - 1)
-        moments[f"{s}_mean"] = F.when(enough, F.col(f"_x_{s}") - F.col(f"_d_{s}") + total / n)
-        moments[f"{s}_std"] = F.when(enough, F.when(low == high, F.lit(0.0)).otherwise(F.sqrt(spread)))
-        rest[f"{s}_min"] = F.when(enough, low)
-        rest[f"{s}_max"] = F.when(enough, high)
-        gap = x - F.col(f"{s}_mean")
-        rest[f"{s}_trend"] = F.col(f"{s}_mean")
-        rest[f"{s}_resid"] = gap
-        rest[f"{s}_delta"] = gap
-        rest[f"{s}_zscore"] = gap / (F.col(f"{s}_std") + F.lit(EPSILON))
-        rest[f"{s}_diff"] = x - F.col(f"_prev_{s}")
+        gap = f"_x_{s} - {s}_mean"
         # Energy without a transform: Parseval over the half spectrum needs only the
         # variance and, for an even number of rows, the alternating sum.
-        wave_sum, wave_squares = F.col(f"{wave}_sum_{s}"), F.col(f"{wave}_squares_{s}")
-        power = F.greatest(m * wave_squares - wave_sum * wave_sum, F.lit(0.0))
-        swing = F.when(m % 2 == 0, F.pow(F.col(f"_swing_{s}"), F.lit(2.0))).otherwise(F.lit(0.0))
-        rest[f"{s}_fft_energy"] = F.when(enough_wave, (power + swing) / 2)
-    rest["error_streak"] = F.col(POS) - F.coalesce(F.col("_ok_pos"), F.lit(0))
-    rest["time_since_error_s"] = _since("_error_ts")
-    rest["state_change"] = F.col(CHANGED).cast("int")
-    rest["state_change_count"] = F.when(enough, F.col("_changes"))
-    rest["time_since_state_change_s"] = _since("_change_ts")
-    return [moments, rest]
+        power = f"greatest({m} * {wave}_squares_{s} - {wave}_sum_{s} * {wave}_sum_{s}, 0D)"
+        swing = f"CASE WHEN {m} % 2 = 0 THEN _swing_{s} * _swing_{s} ELSE 0D END"
+        columns |= {
+            f"{s}_mean": f"{s}_mean", f"{s}_std": f"{s}_std",
+            f"{s}_min": f"CASE WHEN {enough} THEN _min_{s} END",
+            f"{s}_max": f"CASE WHEN {enough} THEN _max_{s} END",
+            f"{s}_trend": f"{s}_mean", f"{s}_resid": gap, f"{s}_delta": gap,
+            f"{s}_zscore": f"({gap}) / ({s}_std + {EPSILON}D)",
+            f"{s}_diff": f"_x_{s} - _prev_{s}",
+            f"{s}_fft_energy": f"CASE WHEN {enough_wave} THEN ({power} + {swing}) / 2 END"}
+    return columns | {
+        "error_streak": f"{POS} - coalesce(_ok_pos, 0)",
+        "time_since_error_s": since("_error_ts"),
+        "state_change": f"{CHANGED}",
+        "state_change_count": f"CASE WHEN {enough} THEN _changes END",
+        "time_since_state_change_s": since("_change_ts")}
+
+
+def _finite(value: str, name: str) -> str:
+    """Missing, NaN and infinite values become 0.0."""
+    number = f"CAST({value} AS DOUBLE)"
+    return f"CASE WHEN abs({number}) < double('Infinity') THEN {number} ELSE 0D END AS {name}"
 
 
 def feature_matrix(df: DataFrame, spec: FeatureSpec = FeatureSpec(), keep=(),
@@ -239,27 +250,17 @@ def feature_matrix(df: DataFrame, spec: FeatureSpec = FeatureSpec(), keep=(),
     """
     step_s = sample_step_seconds(df) if step_s is None else step_s
     medians = signal_medians(df, spec) if medians is None else medians
-    order = device_order(spec.ties)
     carried = list(dict.fromkeys(["device_id", "timestamp", *spec.ties, *keep]))
     used = list(dict.fromkeys([*carried, "state", "error_code", "anomaly_tag", *spec.signals]))
 
     rows = _forward_filled(_in_order(df.select(*used), spec), spec)
     rows = median_fill(rows, {f"_x_{s}": medians[s] for s in spec.signals})
-    rows = _event_columns(rows, order, spec)
-    rows = rows.withColumns(_rolling(order, spec))
-    for columns in _derived(spec):
-        rows = rows.withColumns(columns)
-    rows = rows.withColumns(_phase(step_s, spec.season_s))
-    names = feature_names(spec)
-    direct = [n for n in names if not n.endswith("_fft_dom_bin")]
+    rows = _event_columns(rows, spec).selectExpr("*", *_rolling(spec)).selectExpr("*", *_moments(spec))
+    expressions, names = _features(spec, step_s), feature_names(spec)
+    direct = [F.expr(_finite(expressions[n], n)) for n in names if not n.endswith("_fft_dom_bin")]
     slim = rows.select(*carried, label(F.col("anomaly_tag")).alias("y"), SLICE, HALO, POS,
-                       *[f"_x_{s}" for s in spec.signals],
-                       *[finite_or_zero(F.col(n).cast("double")).alias(n) for n in direct])
+                       *[f"_x_{s}" for s in spec.signals], *direct)
     if spec.dominant_bins:
         slim = add_dominant_bins(slim, spec, {s: f"_x_{s}" for s in spec.signals},
-                                 [SLICE, *_order_columns(spec)])
-    return slim.where(~F.col(HALO)).select(*carried, "y", *names)
-
-
-def _order_columns(spec: FeatureSpec) -> list[str]:
-    return ["timestamp", *spec.ties]
+                                 [SLICE, "timestamp", *spec.ties])
+    return slim.where(f"NOT {HALO}").select(*carried, "y", *names)

@@ -60,7 +60,9 @@ def grow_tree(sample: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
             nodes.append((node, -1, 0.0, node, node, len(rows), depth))
             continue
         feature = int(rng.choice(varying))
-        split = float(rng.uniform(low[feature], high[feature]))
+        # Rounding may put the draw on the maximum, which would leave one side empty.
+        split = min(float(rng.uniform(low[feature], high[feature])),
+                    float(np.nextafter(high[feature], -np.inf)))
         below = here[:, feature] <= split
         left, right, used = used, used + 1, used + 2
         nodes.append((node, feature, split, left, right, len(rows), depth))
@@ -75,15 +77,15 @@ def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, s
     bounded however many rows there are; each tree then takes its lowest hashes from it.
     """
     share = min(1.0, 16.0 * trees * size / total)
-    unit = lambda *parts: F.pmod(F.xxhash64(*keys, *[F.lit(p) for p in parts]),
-                                 F.lit(1 << 52)) / F.lit(float(1 << 52))
-    pool = df if share == 1.0 else df.where(unit(seed, "pool") < share)
+    in_pool = F.pmod(F.xxhash64(*keys, F.lit(seed), F.lit("pool")), F.lit(1 << 52)) < int(share * (1 << 52))
+    pool = df if share == 1.0 else df.where(in_pool)
     chance = min(1.0, (size + 8 * sqrt(size) + 32) / (share * total))
-    draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.xxhash64(*keys, F.lit(seed), t).alias("draw")))
-    lucky = F.filter(draws, lambda d: F.pmod(d.draw, F.lit(1 << 52)) < F.lit(int(chance * (1 << 52))))
+    # The key is hashed once per row; each tree then mixes its number into that hash.
+    draws = (f"filter(transform(sequence(0, {trees - 1}), t -> struct(t AS tree, xxhash64(_key, t) AS draw)), "
+             f"d -> pmod(d.draw, {1 << 52}) < {int(chance * (1 << 52))})")
     in_tree = Window.partitionBy("tree").orderBy("draw", *keys)
-    return (pool.withColumn("_hit", F.explode(lucky))
+    return (pool.withColumn("_key", F.xxhash64(*keys, F.lit(seed)))
+            .withColumn("_hit", F.explode(F.expr(draws)))
             .select(F.col("_hit.tree").alias("tree"), F.col("_hit.draw").alias("draw"), *keys, *features)
             .withColumn("rank", F.row_number().over(in_tree)).where(F.col("rank") <= size)
             .select("tree", "rank", *features))

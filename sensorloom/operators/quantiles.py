@@ -122,12 +122,15 @@ def group_quantile(df: DataFrame, keys: list[str], column: str, p: float) -> Dat
     sketch = df.groupBy(*keys).agg(
         F.percentile_approx(column, edges, ACCURACY).alias("_e"), F.count(column).alias("_n"))
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    value = F.col(f"d.{column}")
+    value, edge = F.col(f"d.{column}"), F.col("s._e")
+    # The margin spans several ranks only in groups larger than the sketch; smaller ones keep
+    # all their values.
+    whole = F.col("s._n") <= ACCURACY
     # Values under the bracket share one cell, values over it are not needed.
     near = (df.alias("d").join(sketch.alias("s"), same)
-            .where(value.isNotNull() & (value <= F.col("s._e")[1]))
+            .where(value.isNotNull() & (whole | (value <= edge[1])))
             .select(*[F.col(f"d.{k}").alias(k) for k in keys], F.col("s._n").alias("_n"),
-                    F.when(value >= F.col("s._e")[0], value).alias("_v"))
+                    F.when(whole | (value >= edge[0]), value).alias("_v"))
             .groupBy(*keys, "_n", "_v").agg(F.count(F.lit(1)).alias("_c")))
     along = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")).rowsBetween(
         Window.unboundedPreceding, 0)

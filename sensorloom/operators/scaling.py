@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -17,8 +17,8 @@ class Scaler:
 def fit_scaler(df: DataFrame, features) -> Scaler:
     """One aggregate row; a constant feature keeps deviation 1."""
     aggregates = [x for i, f in enumerate(features) for x in (
-        F.avg(f).alias(f"m{i}"), F.stddev_pop(f).alias(f"s{i}"))]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates).first()
+        f"avg(`{f}`) AS m{i}", f"stddev_pop(`{f}`) AS s{i}")]
+    row = df.selectExpr("count(*) AS rows", *aggregates).first()
     if row["rows"] == 0:
         raise ValueError("no rows to fit on")
     span = range(len(features))
@@ -29,14 +29,13 @@ def fit_scaler(df: DataFrame, features) -> Scaler:
 def align_features(df: DataFrame, features, keep=()) -> DataFrame:
     """Kept columns and the features in training order; absent ones are 0.0, others go."""
     present = set(df.columns)
-    return df.select(*keep, *[
-        (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) if f in present else F.lit(0.0)).alias(f)
-        for f in features])
+    value = lambda f: f"coalesce(CAST(`{f}` AS DOUBLE), 0D)" if f in present else "0D"
+    return df.selectExpr(*keep, *[f"{value(f)} AS `{f}`" for f in features])
 
 
 def standardize(df: DataFrame, scaler: Scaler, keep=()) -> DataFrame:
     """z = (x - mean) / std for every feature of the scaler."""
     aligned = align_features(df, scaler.features, keep)
-    return aligned.select(*keep, *[
-        ((F.col(f) - F.lit(m)) / F.lit(s)).alias(f)
+    return aligned.selectExpr(*keep, *[
+        f"(`{f}` - {m!r}D) / {s!r}D AS `{f}`"
         for f, m, s in zip(scaler.features, scaler.mean, scaler.std)])

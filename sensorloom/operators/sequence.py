@@ -31,11 +31,6 @@ class Slicing:
     bucket_seconds: int = 60
 
 
-def device_order(ties) -> Window:
-    """The one window every device-local feature shares: one exchange and one sort."""
-    return Window.partitionBy(DEVICE, SLICE).orderBy("timestamp", *ties)
-
-
 def _hot_devices(df: DataFrame, max_rows: int) -> DataFrame | None:
     """Devices above the limit, or None. At most total rows / max_rows of them exist."""
     counts = df.groupBy(DEVICE).agg(F.count(F.lit(1)).alias("n"))

@@ -1,9 +1,10 @@
 """Telemetry tables: CSV scan, stored table, and append without duplicates."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.scalars import nan_to_null, parse_time
 from sensorloom.schema import REQUIRED_KEYS, ROW_KEY, TELEMETRY, TELEMETRY_COLUMNS
+from sensorloom.workspace import materialize
 
 DATE = "event_date"
 
@@ -81,9 +82,9 @@ def ingest_telemetry(new: DataFrame, target: str) -> int:
     if span.lo is None:
         return 0
     current = read_store(spark, target).where(F.col(DATE).between(F.lit(span.lo), F.lit(span.hi)))
-    fresh = rows_to_insert(batch, current)
-    observation = Observation()  # counted while writing, so the batch is not scanned again
-    (fresh.observe(observation, F.count(F.lit(1)).alias("rows"))
-          .hint("rebalance", DATE)
-          .write.mode("append").partitionBy(DATE).parquet(target))
-    return observation.get["rows"]
+    # Stored first: counting and appending then read the same rows, whatever is retried.
+    fresh = materialize(rows_to_insert(batch, current), "ingest")
+    inserted = fresh.count()
+    if inserted:
+        fresh.hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(target)
+    return inserted
