@@ -274,7 +274,7 @@ QUERIES = {
     "training_rows": _of_view(lambda v: L.normal_rows(L.production_rows(v)).select("event_id", "state")),
     "flag": _of_view(lambda v: flagged(v).select("event_id", "score", "pred")),
     "alert_feed": _of_view(lambda v: _alert_table(feed.alert_feed(
-        _numbered_alerts(v), severity="critical", route="Triage", since=SINCE, limit=100), "alert_id", "pos")),
+        _numbered_alerts(v), severity="critical", route="Electrical", since=SINCE, limit=100), "alert_id", "pos")),
     "alert_feed_all": _of_view(lambda v: _alert_table(feed.alert_feed(_numbered_alerts(v)), "alert_id", "pos")),
     "aggregate_feed": _of_view(lambda v: gridded(feed.aggregate_feed(
         stored_aggregates(v), "p95_score", True, 50).select(

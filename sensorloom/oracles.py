@@ -276,7 +276,7 @@ ORACLES = {
     "training_rows": simple("SELECT event_id, state FROM tagged WHERE state IN ('RUN', 'IDLE') AND y = 0", TAGGED),
     "flag": simple("SELECT event_id, score, pred FROM tagged", TAGGED),
     "alert_feed": simple(f"""SELECT {ALERT_ID}, pos, {ALERT_COLUMNS} FROM built WHERE lower(severity) = 'critical'
-        AND lower(route) = 'triage' AND ts >= TIMESTAMP '{C.SINCE[:10]} 00:00:00' ORDER BY ts DESC, pos LIMIT 100""", *ALERTS),
+        AND lower(route) = 'electrical' AND ts >= TIMESTAMP '{C.SINCE[:10]} 00:00:00' ORDER BY ts DESC, pos LIMIT 100""", *ALERTS),
     "alert_feed_all": simple(f"SELECT {ALERT_ID}, pos, {ALERT_COLUMNS} FROM built ORDER BY ts DESC, pos LIMIT 200", *ALERTS),
     "aggregate_feed": _aggregates("ORDER BY quantile_cont(score, 0.95) DESC, device_id LIMIT 50"),
     "missing_rates": simple(" UNION ALL ".join(
@@ -339,7 +339,9 @@ ORACLES = {
     "fit_scaler": simple(" UNION ALL ".join(
         f"SELECT '{f}' AS feature, {grid(f'm_{f}')} AS mean, {grid(f's_{f}')} AS std FROM scaler" for f in _RAW), TAGGED, RAW, SCALER),
     "standardize": simple("SELECT event_id, " + ", ".join(f"{grid(f)} AS {f}" for f in _RAW) + " FROM zed", TAGGED, RAW, SCALER, ZED),
-    "training_features": None,
+    "training_features": telemetry(TAGGED + " WHERE state IN ('RUN', 'IDLE'))", *FEATURE_CTES[1:]).replace(
+        "FROM telemetry) WHERE state", "FROM telemetry WHERE state") + f"""SELECT event_id, y, {grid('temp_c_mean')} AS temp_c_mean,
+        {grid('error_streak')} AS error_streak FROM matrix WHERE y = 0""",
     "contributions": simple(f"""SELECT event_id, CAST(row_number() OVER (PARTITION BY event_id ORDER BY pct DESC, i) - 1 AS INT) AS ord,
         feature, {grid('pct')} AS pct FROM shares""", *ATTRIBUTION),
     "top_features": simple(f"""SELECT event_id, CAST(ord AS INT) AS ord, feature, {grid('pct')} AS pct FROM (SELECT *, row_number() OVER (
@@ -370,4 +372,3 @@ ORACLES = {
     "stream_burst": simple(f"""SELECT * FROM bursts WHERE burst_end + INTERVAL {C.BURST_MINUTES} MINUTES
         <= (SELECT date_trunc('milliseconds', max(timestamp)) FROM telemetry) - INTERVAL 10 MINUTES""", TAGGED, *burst_ctes()),
 }
-ORACLES = {k: v for k, v in ORACLES.items() if v}
