@@ -33,7 +33,7 @@ def contributions(z: DataFrame, features, k: int = 5, signals=None) -> DataFrame
     families = families_of(features, signals)
     total = reduce(add, strength.values())
     rows = z.select("*", total.alias("_total"))
-    share = lambda part: part / F.col("_total") * F.lit(100.0)
+    share = lambda part: F.try_divide(part, F.col("_total")) * F.lit(100.0)
     entry = lambda i, name, part: F.struct(
         F.lit(i).alias("rank"), F.lit(name).alias("name"), share(part).alias("pct"))
     known = F.col("_total") > 0

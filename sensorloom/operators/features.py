@@ -197,7 +197,7 @@ def _moments(spec: FeatureSpec) -> list[str]:
     columns = []
     for s in spec.signals:
         total, squares = f"_sum_{s}", f"_squares_{s}"
-        spread = f"sqrt(greatest({squares} - {total} * {total} / {n}, 0D) / ({n} - 1))"
+        spread = f"sqrt(greatest({squares} - {total} * {total} / {n}, 0D) / greatest({n} - 1, 1D))"
         columns += [
             f"CASE WHEN {enough} THEN _x_{s} - _d_{s} + {total} / {n} END AS {s}_mean",
             f"CASE WHEN {enough} THEN CASE WHEN _min_{s} = _max_{s} THEN 0D ELSE {spread} END END AS {s}_std"]

@@ -61,8 +61,8 @@ def aggregate_feed(df: DataFrame, sort_by: str = "device_id", desc: bool = False
     _page(limit, MAX_AGGREGATES)
     rows = df.where("device_id IS NOT NULL")
     if sort_by not in df.columns:
-        key = F.lit(-1)
-    elif dict(df.dtypes)[sort_by] == "string":
+        return rows.orderBy("device_id").limit(limit)
+    if dict(df.dtypes)[sort_by] == "string":
         key = F.coalesce(sort_by, F.lit(""))
     elif dict(df.dtypes)[sort_by].startswith(("array", "map", "struct")):
         raise ValueError(f"cannot sort by {sort_by}")

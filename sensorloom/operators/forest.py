@@ -4,6 +4,10 @@ Sampling is by a hash of the row key, so the same table gives the same forest ho
 is partitioned.  Trees are grown in parallel, one small group of ``sample_size`` rows each.
 Scoring is a narrow Arrow pass with the node table broadcast; that table has at most
 ``trees * 2 * sample_size`` rows whatever the size of the data.
+
+Standardizing shifts and stretches each feature, which moves uniform splits along with the
+rows and changes no path.  Trees are therefore grown on the readings themselves, and the
+rounding of a distributed mean cannot make two fits differ; the scaler serves attribution.
 """
 
 from dataclasses import dataclass
@@ -15,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
-from sensorloom.operators.scaling import Scaler, align_features, fit_scaler, standardize
+from sensorloom.operators.scaling import Scaler, align_features, fit_scaler
 
 # Size of a tree's sample, the expected share of outliers in training rows,
 # number of trees, seed, and Euler's constant as used in the path length formula.
@@ -93,7 +97,7 @@ def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, s
 
 def grow_forest(df: DataFrame, features, keys, total: int, trees: int = TREES, seed: int = SEED,
                 sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """Node table of a forest over standardized rows."""
+    """Node table of a forest over aligned feature rows."""
     size = min(sample_size, total)
     depth = max(1, ceil(log2(max(2, size))))
     columns = list(features)
@@ -130,10 +134,10 @@ class _Packed:
         out[at] = values
         return out
 
-    def anomaly(self, z: np.ndarray) -> np.ndarray:
+    def anomaly(self, x: np.ndarray) -> np.ndarray:
         """2 ** (-mean path / expected path) per row."""
-        rows, width = z.shape
-        flat, base = np.ascontiguousarray(z).ravel(), np.arange(rows) * width
+        rows, width = x.shape
+        flat, base = x.ravel(), np.arange(rows) * width
         total = np.zeros(rows)
         for feature, split, left, right, path in zip(
                 self.feature, self.split, self.left, self.right, self.path):
@@ -148,8 +152,8 @@ class _Packed:
 def score_forest(df: DataFrame, model: ForestModel, score: str = "score") -> DataFrame:
     """Append the score; higher is more anomalous, about ``contamination`` of training rows reach 0."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(
-        (_Packed(model.nodes, model.sample_size), model.scaler, model.offset))
+    shared = spark.sparkContext.broadcast(_Packed(model.nodes, model.sample_size))
+    offset = model.offset
     features = model.scaler.features
     present = set(df.columns)
     schema = T.StructType([f for f in df.schema.fields if f.name != score]
@@ -157,16 +161,15 @@ def score_forest(df: DataFrame, model: ForestModel, score: str = "score") -> Dat
     kept = [f.name for f in schema.fields[:-1]]
 
     def run(batches):
-        packed, scaler, offset = shared.value
+        packed = shared.value
         for batch in batches:
-            z = np.zeros((batch.num_rows, len(features)))
+            x = np.zeros((batch.num_rows, len(features)))
             for i, f in enumerate(features):
                 if f in present:
-                    z[:, i] = batch.column(f).to_numpy(zero_copy_only=False)
-            z = (np.nan_to_num(z, nan=0.0) - np.array(scaler.mean)) / np.array(scaler.std)
+                    x[:, i] = batch.column(f).to_numpy(zero_copy_only=False)
+            scores = packed.anomaly(np.nan_to_num(x, nan=0.0)) - offset
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(packed.anomaly(z) - offset)],
-                names=[*kept, score])
+                [*[batch.column(c) for c in kept], pa.array(scores)], names=[*kept, score])
 
     return df.mapInArrow(run, schema)
 
@@ -180,10 +183,10 @@ def fit_forest(df: DataFrame, features, keys, contamination: float = CONTAMINATI
     its features are costly.  ``keys`` must identify a row.
     """
     scaler = fit_scaler(df, features)
-    z = standardize(df, scaler, keys)
-    nodes = grow_forest(z, features, keys, scaler.rows, trees, seed, sample_size).toPandas()
+    aligned = align_features(df, features, keys)
+    nodes = grow_forest(aligned, features, keys, scaler.rows, trees, seed, sample_size).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     model = ForestModel(scaler, nodes, min(sample_size, scaler.rows))
-    raw = score_forest(align_features(df, features), model, "_s").select("_s")
+    raw = score_forest(aligned, model, "_s").select("_s")
     offset = exact_quantiles(raw, ["_s"], [1.0 - contamination], limit)["_s"][0]
     return ForestModel(scaler, nodes, model.sample_size, offset)
