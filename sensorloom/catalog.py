@@ -123,7 +123,7 @@ def _alert_table(df: DataFrame, *extra) -> DataFrame:
 
 def _pairs(df: DataFrame, keys, column: str, name: str) -> DataFrame:
     """An ordered array of (name, pct) as rows."""
-    rows = df.select(*keys, F.posexplode(column).alias("ord", "e"))
+    rows = df.select(*keys, F.posexplode_outer(column).alias("ord", "e")).where("ord IS NOT NULL")
     return rows.select(*keys, "ord", f"e.{name}", grid("e.pct").alias("pct"))
 
 

@@ -169,7 +169,9 @@ def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule]) -> DataFram
     parts = []
     if per_row:
         rows = flagged.withColumn("_tag", alert_tag(F.col("anomaly_tag")))
-        parts.append(rows.withColumn("a", F.explode(_row_matches(per_row))).select(
+        # An outer explode: a plain one lets the optimizer match every rule twice.
+        fired = rows.withColumn("a", F.explode_outer(_row_matches(per_row))).where("a IS NOT NULL")
+        parts.append(fired.select(
             "a.kind", "a.rule_id", "device_id", "timestamp", F.lit(None).cast(ts).alias("burst_start"),
             F.lit(None).cast("bigint").alias("n_events"), F.col("score").cast("double").alias("score"),
             "a.severity", "a.route", "a.message", "a.confidence"))

@@ -89,7 +89,8 @@ def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, s
              f"d -> pmod(d.draw, {1 << 52}) < {int(chance * (1 << 52))})")
     in_tree = Window.partitionBy("tree").orderBy("draw", *keys)
     return (pool.withColumn("_key", F.xxhash64(*keys, F.lit(seed)))
-            .withColumn("_hit", F.explode(F.expr(draws)))
+            # An outer explode: a plain one lets the optimizer draw twice, to test for hits.
+            .withColumn("_hit", F.explode_outer(F.expr(draws))).where("_hit IS NOT NULL")
             .select(F.col("_hit.tree").alias("tree"), F.col("_hit.draw").alias("draw"), *keys, *features)
             .withColumn("rank", F.row_number().over(in_tree)).where(F.col("rank") <= size)
             .select("tree", "rank", *features))

@@ -99,11 +99,11 @@ def blend(pair: list[float], weight: float) -> float:
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float],
                     limit: int = DIRECT_ROWS) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each column, nulls ignored; one list per column."""
-    counted = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    counts = {c: counted[c] for c in columns}
-    if max(counts.values(), default=0) <= limit:
+    if df.count() <= limit:
         row = df.agg(*[F.percentile(c, F.lit(probabilities)).alias(c) for c in columns]).first()
         return {c: row[c] if row[c] is not None else [None] * len(probabilities) for c in columns}
+    counted = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    counts = {c: counted[c] for c in columns}
     plan = {c: [rank_of(counts[c], p) for p in probabilities] for c in columns if counts[c]}
     picked = order_statistics(df, {c: [r for r, _ in groups] for c, groups in plan.items()},
                               counts, limit)

@@ -1,8 +1,11 @@
 """Standard scores, fitted once and applied as column expressions."""
 
 from dataclasses import dataclass
+from math import sqrt
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -15,15 +18,16 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, features) -> Scaler:
-    """One aggregate row; a constant feature keeps deviation 1."""
-    aggregates = [x for i, f in enumerate(features) for x in (
-        f"avg(`{f}`) AS m{i}", f"stddev_pop(`{f}`) AS s{i}")]
-    row = df.selectExpr("count(*) AS rows", *aggregates).first()
-    if row["rows"] == 0:
+    """One summary of a vector column; a constant feature keeps deviation 1."""
+    if df.isEmpty():
         raise ValueError("no rows to fit on")
-    span = range(len(features))
-    return Scaler(tuple(features), tuple(row[f"m{i}"] for i in span),
-                  tuple(row[f"s{i}"] or 1.0 for i in span), row["rows"])
+    vector = array_to_vector(F.array(*features)).alias("v")
+    found = (align_features(df, features).select(vector)
+             .select(Summarizer.metrics("count", "mean", "variance").summary(F.col("v")).alias("s"))
+             .select("s.*").first())
+    rows = found["count"]
+    std = [sqrt(v * (rows - 1) / rows) or 1.0 for v in found["variance"]]
+    return Scaler(tuple(features), tuple(float(m) for m in found["mean"]), tuple(std), rows)
 
 
 def align_features(df: DataFrame, features, keep=()) -> DataFrame:

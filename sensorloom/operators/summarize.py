@@ -22,7 +22,9 @@ def aggregate_explanations(rows: DataFrame, group_by: str | None = "device_id",
                         F.col(totals).alias("t"))
     scores = keyed.groupBy("group_key").agg(F.count(F.lit(1)).alias("n_flagged"), F.avg("s").alias("avg_score"))
     p95 = group_quantile(keyed, ["group_key"], "s", 0.95).select("group_key", F.col("value").alias("p95_score"))
-    shares = (keyed.select("group_key", F.explode("t").alias("family", "pct"))
+    # An outer explode: a plain one lets the optimizer compute the map twice, to test its size.
+    shares = (keyed.select("group_key", F.explode_outer("t").alias("family", "pct"))
+              .where("family IS NOT NULL")
               .groupBy("group_key", "family").agg(F.sum("pct").alias("pct")))
     entries = F.collect_list(F.struct((-F.col("pct")).alias("down"), "family", "pct"))
     merged = shares.groupBy("group_key").agg(entries.alias("e"), F.sum("pct").alias("total"))
