@@ -117,7 +117,7 @@ ALERT_FIELDS = ["timestamp", "device_id", "state", "score", "severity", "tag", "
 
 
 def _alert_table(df: DataFrame, *extra) -> DataFrame:
-    n = F.size("families").alias("n_families")
+    n = F.size("families").cast("long").alias("n_families")
     return gridded(df.select(*extra, *ALERT_FIELDS, n), ["score", "confidence"])
 
 
@@ -360,7 +360,8 @@ QUERIES = {
     "burst_dedupe": _of_view(bursts_of),
     "burst_cooldown": _of_view(lambda v: B.burst_cooldown(bursts_of(v), COOLDOWN_MINUTES)),
     "evaluate_rules": _of_view(lambda v: gridded(A.evaluate_rules(
-        explanations(v), rules_table(v.sparkSession, RULES)), ["score", "confidence"])),
+        explanations(v), rules_table(v.sparkSession, RULES)), ["score", "confidence"]).withColumn(
+            "n_events", F.col("n_events").cast("double"))),
     # jobs and streams
     "burst_report": burst_report,
     "scoring_alerts": scoring_alerts,

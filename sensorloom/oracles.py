@@ -196,7 +196,7 @@ def _evaluated() -> str:
     gate = "score >= 0.12"
     row = lambda rule, sev, route, message, conf, where: f"""
       SELECT '{'dominant_family' if rule == 'dominant-temperature' else 'tag_route'}' AS kind, '{rule}' AS rule_id, device_id, timestamp,
-        CAST(NULL AS TIMESTAMP) AS burst_start, CAST(NULL AS BIGINT) AS n_events, {grid('score')} AS score,
+        CAST(NULL AS TIMESTAMP) AS burst_start, CAST(NULL AS DOUBLE) AS n_events, {grid('score')} AS score,
         '{sev}' AS severity, {route} AS route, '{message}' AS message, {conf} AS confidence
       FROM tagged WHERE pred = 1 AND {where}"""
     hot = "event_id IN (SELECT event_id FROM by_family WHERE family = 'Temperature' AND pct >= 30)"
@@ -206,7 +206,7 @@ def _evaluated() -> str:
             f"{gate} AND {hot}"),
         row("bearing", "WARNING", "'maintenance'", "bearing", one, "tag = 'bearing_wear'"),
         row("overheat", "WARNING", "'thermal'", "overheat", one, "tag = 'overheat_drift'"),
-        f"""SELECT 'burst', 'burst-72h', device_id, burst_end, burst_start, n_events, NULL, 'CRITICAL', 'triage',
+        f"""SELECT 'burst', 'burst-72h', device_id, burst_end, burst_start, CAST(n_events AS DOUBLE), NULL, 'CRITICAL', 'triage',
         {BURST_TEXT.split(' AS ')[0]}, {one} FROM cooled"""])
 
 
@@ -268,8 +268,8 @@ ORACLES = {
     "device_window": simple(f"""SELECT * FROM telemetry WHERE device_id = '{C.DEVICE}'
         AND timestamp >= '{C.START}' AND timestamp < '{C.END}'"""),
     "latest_rows": simple("SELECT * FROM telemetry ORDER BY timestamp DESC, event_id LIMIT 10"),
-    "latest_per_device": simple("""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY device_id
-        ORDER BY timestamp DESC, event_id) AS rank FROM telemetry) WHERE rank <= 3"""),
+    "latest_per_device": simple("""SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY device_id
+        ORDER BY timestamp DESC, event_id) AS INT) AS rank FROM telemetry) WHERE rank <= 3"""),
     "recent_device_window": simple("""SELECT t.* FROM telemetry t, (SELECT device_id AS d, timestamp AS e FROM telemetry
         ORDER BY timestamp DESC, event_id LIMIT 1) WHERE device_id = d AND timestamp < e AND timestamp >= e - INTERVAL 3 DAYS"""),
     "normalize_tag": simple("SELECT event_id, tag, y FROM tagged", TAGGED),
