@@ -11,6 +11,8 @@ from math import floor
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sensorloom.workspace import materialize
+
 # Values a column may have before ranks are searched instead of aggregated directly.
 DIRECT_ROWS = 1_000_000
 ACCURACY = 10_000
@@ -102,6 +104,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     if df.count() <= limit:
         row = df.agg(*[F.percentile(c, F.lit(probabilities)).alias(c) for c in columns]).first()
         return {c: row[c] if row[c] is not None else [None] * len(probabilities) for c in columns}
+    # Several passes follow: store the columns once rather than compute them each time.
+    df = materialize(df.select(*columns), "quantiles")
     counted = df.agg(*[F.count(c).alias(c) for c in columns]).first()
     counts = {c: counted[c] for c in columns}
     plan = {c: [rank_of(counts[c], p) for p in probabilities] for c in columns if counts[c]}
