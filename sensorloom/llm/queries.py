@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import bpe
+from .common import table, tokenizer_path
 from .quality import quality_rules
 
 
@@ -17,5 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "n_lines", "n_stop_words")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules}
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digest_tokens(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
+
+
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op7_bpe_codec": op7_bpe_codec}
 ORACLES: dict[str, str] = {}
