@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import table, tokenizer_path
 from .quality import quality_rules
+from .simhash import near_duplicates
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +19,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "n_lines", "n_stop_words")
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digest_tokens(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op7_bpe_codec": op7_bpe_codec}
+QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_simhash_dedup": op5_simhash_dedup,
+           "op7_bpe_codec": op7_bpe_codec}
 ORACLES: dict[str, str] = {}
