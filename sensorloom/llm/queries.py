@@ -9,6 +9,7 @@ from . import bpe
 from .common import table, tokenizer_path
 from .quality import quality_rules
 from .simhash import near_duplicates
+from .toxicity import toxicity
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (F.col("kept") & ~failed).alias("kept"), "n_lines", "n_stop_words")
 
 
+def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"),
+        F.col("rejected").alias("toxic"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,5 +37,5 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_simhash_dedup": op5_simhash_dedup,
-           "op7_bpe_codec": op7_bpe_codec}
+           "op3_toxicity_chain": op3_toxicity_chain, "op7_bpe_codec": op7_bpe_codec}
 ORACLES: dict[str, str] = {}
