@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .common import table, tokenizer_path
+from .licenses import license_scan
 from .quality import quality_rules
 from .simhash import near_duplicates
 from .toxicity import toxicity
@@ -27,6 +28,10 @@ def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("rejected").alias("toxic"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
