@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import table, tokenizer_path
 from .licenses import license_scan
+from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
 from .simhash import near_duplicates
 from .toxicity import toxicity
@@ -36,6 +37,13 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digest_tokens(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
