@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .common import table, tokenizer_path
+from .decontam import decontaminate
 from .licenses import license_scan
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
@@ -49,6 +50,13 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_tokens(docs, tokenizer_path("byte_bpe_50k.json")).drop("text")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_items", F.array_join("items", ",").alias("item_ids"),
+                        F.round("similarity", 6).alias("similarity"), F.col("leaked").alias("contaminated"))
+
+
 QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_simhash_dedup": op5_simhash_dedup,
-           "op3_toxicity_chain": op3_toxicity_chain, "op7_bpe_codec": op7_bpe_codec}
+           "op3_toxicity_chain": op3_toxicity_chain, "op7_bpe_codec": op7_bpe_codec,
+           "op8_decontamination": op8_decontamination}
 ORACLES: dict[str, str] = {}
