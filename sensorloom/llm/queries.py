@@ -12,6 +12,7 @@ from .licenses import license_scan
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
 from .simhash import near_duplicates
+from .suffix import repeated_spans
 from .toxicity import toxicity
 
 
@@ -56,7 +57,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("similarity", 6).alias("similarity"), F.col("leaked").alias("contaminated"))
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op5_simhash_dedup": op5_simhash_dedup,
-           "op3_toxicity_chain": op3_toxicity_chain, "op7_bpe_codec": op7_bpe_codec,
-           "op8_decontamination": op8_decontamination}
+def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {query.__name__: query for query in (
+    op1_quality_rules, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
+    op8_decontamination, op9_repeated_strings)}
 ORACLES: dict[str, str] = {}
