@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import table, tokenizer_path
 from .decontam import decontaminate
+from .html import extract
 from .licenses import license_scan
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
@@ -63,7 +64,11 @@ def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 QUERIES = {query.__name__: query for query in (
     op1_quality_rules, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
-    op8_decontamination, op9_repeated_strings)}
+    op8_decontamination, op9_repeated_strings, op10_main_text)}
 ORACLES: dict[str, str] = {}
