@@ -11,22 +11,29 @@ SIGNAL_FAMILY = {
     "voltage_v": "Voltage",
 }
 
+# Families of features that no signal owns, in order of precedence, with the
+# beginnings and the parts of a lower-case name that belong to them.
+NAMED_FAMILIES = (
+    ("Error/Flags", ("error",), ("error_code", "flag")),
+    ("State", ("state",), ("transition",)),
+    ("Time", ("time", "ts_"), ("timestamp",)),
+)
+REST = "Other"
+
+
+def _owner(feature: str, signals) -> str | None:
+    """The longest signal that the feature is named after."""
+    return max((s for s in signals if feature.startswith(f"{s}_")), key=len, default=None)
+
 
 def sensor_family(feature: str, signals=None) -> str:
     """Family of a feature; resolved once per column name while planning."""
-    owners = [s for s in (SIGNALS if signals is None else signals) if feature.startswith(f"{s}_")]
-    if owners:
-        owner = max(owners, key=len)
+    owner = _owner(feature, SIGNALS if signals is None else signals)
+    if owner is not None:
         return SIGNAL_FAMILY.get(owner, owner)
     name = feature.lower()
-    has_prefix, contains = name.startswith, name.__contains__
-    if has_prefix("error") or contains("error_code") or contains("flag"):
-        return "Error/Flags"
-    if has_prefix("state") or contains("transition"):
-        return "State"
-    if has_prefix(("time", "ts_")) or contains("timestamp"):
-        return "Time"
-    return "Other"
+    return next((family for family, starts, parts in NAMED_FAMILIES
+                 if name.startswith(starts) or any(part in name for part in parts)), REST)
 
 
 def families_of(features, signals=None) -> dict[str, list[str]]:
