@@ -3,24 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorloom.schema import REQUIRED_KEYS, ROW_KEY, TELEMETRY_COLUMNS
+from sensorloom.schema import TELEMETRY_COLUMNS
 from sensorloom.sources.events_view import TELEMETRY_SQL
-from sensorloom.sources.telemetry import DATE, conform, read_store
+from sensorloom.sources.telemetry import ingest_telemetry, read_store
 from sensorloom.workspace import fresh_path
 
 
-def stream_ingest(rows: DataFrame, target: str, checkpoint: str, delay: str = "1 hour",
+def stream_ingest(rows: DataFrame, target: str, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Append the rows of a stream to the telemetry store.
+    """Append the rows of a stream to the telemetry store, however late they come.
 
-    A repeated key is dropped while its first row is within ``delay`` of the newest time; the
-    state forgets older keys, so it does not grow with the table.
+    Every micro-batch takes the way of a batch ingest: keys already stored are left out, so the
+    stream keeps no state, a repeated batch adds nothing, and batch and stream share one store.
     """
-    keyed = conform(rows).where(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED_KEYS))
-    unique = keyed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(ROW_KEY)
-    return (unique.withColumn(DATE, F.to_date("timestamp"))
-            .writeStream.format("parquet").partitionBy(DATE).outputMode("append")
-            .option("path", target).option("checkpointLocation", checkpoint)
+    return (rows.writeStream.foreachBatch(lambda batch, _: ingest_telemetry(batch, target))
+            .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
