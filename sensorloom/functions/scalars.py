@@ -21,11 +21,6 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def finite_or_zero(value: Column) -> Column:
-    """Missing, NaN and infinite values become 0.0."""
-    return F.when(F.abs(value) < float("inf"), value).otherwise(F.lit(0.0))
-
-
 def parse_time(text: Column) -> Column:
     """ISO text to TIMESTAMP (UTC session); null where it cannot be parsed.
 
@@ -38,7 +33,3 @@ def parse_time(text: Column) -> Column:
 def epoch_micros(ts: Column) -> Column:
     """Microseconds since 1970, for TIMESTAMP and for naive timestamps in UTC."""
     return F.unix_micros(ts.cast("timestamp"))
-
-
-def seconds_between(later: Column, earlier: Column) -> Column:
-    return (epoch_micros(later) - epoch_micros(earlier)) / F.lit(1e6)

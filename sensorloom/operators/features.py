@@ -95,9 +95,15 @@ def sample_step_seconds(df: DataFrame, per_device: bool = False) -> int:
 FAILED = "coalesce(error_code <> 0, false)"
 
 
+def _known(signal: str) -> str:
+    """A reading as a double; NaN and infinite readings are missing like null ones."""
+    number = f"CAST({signal} AS DOUBLE)"
+    return f"CASE WHEN abs({number}) < double('Infinity') THEN {number} END"
+
+
 def _carries(signals) -> dict[str, Column]:
     return {
-        **{f"_carry_{s}": F.col(s) for s in signals},
+        **{f"_carry_{s}": F.expr(_known(s)) for s in signals},
         "_carry_ok_pos": F.expr(f"CASE WHEN NOT {FAILED} THEN {POS} END"),
         "_carry_error_ts": F.expr(f"CASE WHEN {FAILED} THEN timestamp END"),
         "_carry_change_ts": F.expr(f"CASE WHEN {CHANGED} THEN timestamp END"),
@@ -113,11 +119,11 @@ def _forward_filled(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
     upto = f"OVER ({_window(spec)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     carried = lambda s: f", _carry_{s}" if f"_carry_{s}" in rows.columns else ""
     return rows.selectExpr("*", *[
-        f"CAST(coalesce(last({s}, true) {upto}{carried(s)}, NULL) AS DOUBLE) AS _x_{s}" for s in spec.signals])
+        f"CAST(coalesce(last({_known(s)}, true) {upto}{carried(s)}, NULL) AS DOUBLE) AS _x_{s}" for s in spec.signals])
 
 
 def ffill_signals(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> DataFrame:
-    """Missing readings take the last known one of the device."""
+    """Missing, NaN and infinite readings take the last known one of the device."""
     filled = _forward_filled(_in_order(df, spec), spec).where(~F.col(HALO))
     return filled.select(*[F.col(f"_x_{c}").alias(c) if c in spec.signals else F.col(c)
                            for c in df.columns])
@@ -158,7 +164,6 @@ def _event_columns(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
     state = "coalesce(state, '')"
     rows = rows.selectExpr(
         f"* EXCEPT ({POS}, {CHANGED})",
-        *[f"_x_{s} - first(_x_{s}) {upto} AS _d_{s}" for s in spec.signals],
         f"CAST(coalesce({POS}, row_number() OVER ({w})) AS BIGINT) AS {POS}",
         f"coalesce({CHANGED}, lag({state}) OVER ({w}) <> {state}, true) AS {CHANGED}",
         f"{FAILED} AS _failed")
@@ -171,24 +176,24 @@ def _event_columns(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def _rolling(spec: FeatureSpec) -> list[str]:
-    """Plain sums and extremes per frame.
+    """Moments and extremes per frame.
 
-    Readings are taken relative to the first of their slice, so the sums of squares keep
-    their precision and the variance needs no costlier moment aggregate per frame.
+    Spark's moment aggregates centre within the frame, so no reading outside it, however
+    large, touches the result.
     """
     w = _window(spec)
     frame = lambda rows: f"OVER ({w} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
     recent, wave = frame(spec.window), frame(spec.spectral_window)
     columns = [f"sum(CAST({CHANGED} AS DOUBLE)) {recent} AS _changes"]
     for s in spec.signals:
-        x, d = f"_x_{s}", f"_d_{s}"
+        x = f"_x_{s}"
         columns += [
-            f"sum({d}) {recent} AS _sum_{s}", f"sum({d} * {d}) {recent} AS _squares_{s}",
+            f"avg({x}) {recent} AS _avg_{s}", f"var_pop({x}) {recent} AS _var_{s}",
             f"min({x}) {recent} AS _min_{s}", f"max({x}) {recent} AS _max_{s}",
             f"lag({x}) OVER ({w}) AS _prev_{s}",
-            f"sum(CASE WHEN {POS} % 2 = 0 THEN {d} ELSE -{d} END) {wave} AS _swing_{s}"]
+            f"sum(CASE WHEN {POS} % 2 = 0 THEN {x} ELSE -{x} END) {wave} AS _swing_{s}"]
         if spec.spectral_window != spec.window:
-            columns += [f"sum({d}) {wave} AS _wave_sum_{s}", f"sum({d} * {d}) {wave} AS _wave_squares_{s}"]
+            columns.append(f"var_pop({x}) {wave} AS _wave_var_{s}")
     return columns
 
 
@@ -196,10 +201,9 @@ def _moments(spec: FeatureSpec) -> list[str]:
     enough, n = f"{POS} >= {spec.min_rows}", f"CAST(least({POS}, {spec.window}) AS DOUBLE)"
     columns = []
     for s in spec.signals:
-        total, squares = f"_sum_{s}", f"_squares_{s}"
-        spread = f"sqrt(greatest({squares} - {total} * {total} / {n}, 0D) / greatest({n} - 1, 1D))"
+        spread = f"sqrt(_var_{s} * {n} / greatest({n} - 1, 1D))"
         columns += [
-            f"CASE WHEN {enough} THEN _x_{s} - _d_{s} + {total} / {n} END AS {s}_mean",
+            f"CASE WHEN {enough} THEN _avg_{s} END AS {s}_mean",
             f"CASE WHEN {enough} THEN CASE WHEN _min_{s} = _max_{s} THEN 0D ELSE {spread} END END AS {s}_std"]
     return columns
 
@@ -216,7 +220,7 @@ def _features(spec: FeatureSpec, step_s: int) -> dict[str, str]:
         gap = f"_x_{s} - {s}_mean"
         # Energy without a transform: Parseval over the half spectrum needs only the
         # variance and, for an even number of rows, the alternating sum.
-        power = f"greatest({m} * {wave}_squares_{s} - {wave}_sum_{s} * {wave}_sum_{s}, 0D)"
+        power = f"({m} * {m} * {wave}_var_{s})"
         swing = f"CASE WHEN {m} % 2 = 0 THEN _swing_{s} * _swing_{s} ELSE 0D END"
         columns |= {
             f"{s}_mean": f"{s}_mean", f"{s}_std": f"{s}_std",
