@@ -14,7 +14,7 @@ from sensorloom.operators.lookup import flag, top_anomalies
 from sensorloom.operators.rules import FamilyRule
 from sensorloom.operators.scaling import standardize
 from sensorloom.operators.summarize import aggregate_explanations
-from sensorloom.sources.feeds import write_aggregates, write_alerts, write_explanations, write_metrics
+from sensorloom.sources.feeds import write_feed, write_metrics
 from sensorloom.workspace import materialize
 
 # Fixed value: how many of the highest scores are explained.
@@ -70,6 +70,6 @@ def run_scoring(telemetry: DataFrame, model: ForestModel, spec: FeatureSpec = Fe
 def write_run(run: ScoringRun, folder: str) -> None:
     """The four JSON outputs of a run, replaced each time."""
     write_metrics(run.sweep.sparkSession, run.best, f"{folder}/metrics")
-    write_explanations(run.explanations, f"{folder}/explanations")
-    write_aggregates(run.summaries, f"{folder}/aggregates")
-    write_alerts(run.alerts, f"{folder}/alerts")
+    write_feed(run.explanations, f"{folder}/explanations")
+    write_feed(run.summaries, f"{folder}/aggregates")
+    write_feed(run.alerts, f"{folder}/alerts")

@@ -5,7 +5,7 @@ or an object; such a file is one value by nature and is only offered for feeds,
 telemetry.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sensorloom.schema import AGGREGATE, ALERT
 
@@ -15,18 +15,6 @@ def write_feed(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_explanations(df: DataFrame, path: str) -> None:
-    write_feed(df, path)
-
-
-def write_aggregates(df: DataFrame, path: str) -> None:
-    write_feed(df, path)
-
-
-def write_alerts(df: DataFrame, path: str) -> None:
-    write_feed(df, path)
-
-
 def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
     """The selected metrics as one record."""
     schema = T.StructType([T.StructField(k, T.DoubleType()) for k in metrics])
@@ -56,6 +44,28 @@ def _is_text(item: Column, name: str) -> Column:
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that hold an object, with their place ``pos`` among all of them in the order of files and lines.
+
+    Spark reads the largest splits first, so places are counted: inside a split by line, and over
+    the splits, a short list, in the order of their files.
+    """
+    lines = (spark.read.text(path)
+             .select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_line"))
+             .where(F.ltrim("value").startswith("{")))
+    split = ["_file", "_block"]
+    counts = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(*split, (F.sum("_n").over(Window.orderBy(*split)) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*split).orderBy("_line"))
+    return (lines.withColumn("_inside", inside).join(before, split)
+            .select("value", (F.col("_before") + F.col("_inside") - 1).alias("pos")))
+
+
+def _parsed(spark: SparkSession, path: str, schema) -> DataFrame:
+    return _lines(spark, path).select("pos", F.from_json("value", schema).alias("a")).where("a IS NOT NULL").select("a.*", "pos")
+
+
 def read_alerts(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
     """Alerts with their position ``pos``.
 
@@ -63,8 +73,7 @@ def read_alerts(spark: SparkSession, path: str, document: bool = False) -> DataF
     Otherwise JSON lines, whose order is the order of files and lines.
     """
     if not document:
-        lines = spark.read.schema(ALERT).json(path)
-        return lines.withColumn("pos", F.monotonically_increasing_id())
+        return _parsed(spark, path, ALERT)
     doc = F.col("doc")
     wrapped = F.from_json(doc, "alerts array<string>").alerts
     items = F.coalesce(_list_of(doc), F.when(doc.startswith("{"), wrapped))
@@ -80,7 +89,7 @@ def read_aggregates(spark: SparkSession, path: str, document: bool = False) -> D
     ``document``: one JSON list of summaries, or an object keyed by device.
     """
     if not document:
-        rows = spark.read.schema(AGGREGATE).json(path).withColumn("pos", F.monotonically_increasing_id())
+        rows = _parsed(spark, path, AGGREGATE)
     else:
         doc = F.col("doc")
         listed = F.transform(_objects(_list_of(doc)), lambda x: F.struct(

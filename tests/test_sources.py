@@ -133,3 +133,43 @@ def test_streamed_bursts_equal_batch(spark, events, tmp_path):
     want = sorted((d, at(a), at(b), n) for d, ts in by_device.items() for a, b, n in brute_bursts(ts, 10, 3))
     got = sorted(tuple(r) for r in spark.read.parquet(target).collect())
     assert got == want and want
+
+
+def test_stream_and_batch_share_one_store(spark, telemetry, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("source", "store", "check"))
+    assert ingest_telemetry(telemetry([dict(timestamp=at(m)) for m in range(6)]), target) == 6
+    for k, minutes in enumerate([(100, 101), (4, 5, 6, 7), (-9000, 101, 6)]):  # out of order, repeated, very late
+        telemetry([dict(timestamp=at(m)) for m in minutes]).coalesce(1).write.mode("append").parquet(source)
+        schema = spark.read.parquet(source).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        stream_ingest(stream, target, check).awaitTermination()
+    stored = [r.timestamp for r in read_store(spark, target).collect()]
+    assert sorted(stored) == sorted(at(m) for m in (-9000, 0, 1, 2, 3, 4, 5, 6, 7, 100, 101))
+    assert ingest_telemetry(telemetry([dict(timestamp=at(m)) for m in (-9000, 3, 101)]), target) == 0
+
+
+def test_lines_keep_file_order_and_drop_other_values(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    long = [json.dumps({"device_id": "D", "score": float(i), "message": "x" * 50}) for i in range(400)]
+    (folder / "part-00000.json").write_text('7\n{"device_id": "A", "score": 1.0}\n"text"\n')
+    (folder / "part-00001.json").write_text("\n".join(long) + "\n")
+    rows = feeds.read_alerts(spark, str(folder)).orderBy("pos").collect()
+    assert [r.pos for r in rows] == list(range(401))
+    assert [r.device_id for r in rows] == ["A"] + ["D"] * 400
+    assert [r.score for r in rows[1:]] == [float(i) for i in range(400)]
+
+
+def test_cluster_without_shared_folder_is_refused(spark):
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        get = staticmethod(lambda key, default: default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    from sensorloom.workspace import work_dir
+    with pytest.raises(ValueError):
+        work_dir(Session)
