@@ -5,7 +5,7 @@ rounded on a shifted grid (:func:`grid`) so that values which lie exactly betwee
 rounded ones cannot fall differently in two engines.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.operators import (
     alerts as A, bursts as B, evaluate as E, explain as X, features as FT, feed, forest as FO,
@@ -207,16 +207,73 @@ def scaler_table(view):
 
 def stored_aggregates(view):
     path = fresh_path(view.sparkSession, "aggregates")
-    feeds.write_aggregates(G.aggregate_explanations(explanations(view)), path)
+    feeds.write_feed(G.aggregate_explanations(explanations(view)), path)
     return feeds.read_aggregates(view.sparkSession, path)
 
 
 def stored_alerts(spark, sf_dir):
     path = fresh_path(spark, "alerts")
-    feeds.write_alerts(view_alerts(telemetry_view(spark, sf_dir)), path)
+    feeds.write_feed(view_alerts(telemetry_view(spark, sf_dir)), path)
     return _alert_table(feeds.read_alerts(spark, path))
 
 
+def alert_lookup(view):
+    """The first alert of one device, found again by its id."""
+    alerts = _numbered_alerts(view)
+    known = feed.with_alert_id(alerts).where(F.col("device_id") == DEVICE).orderBy("pos").select("alert_id").first()
+    return _alert_table(feed.alert_by_id(alerts, known.alert_id if known else ""), "alert_id", "pos")
+
+
+def _write_document(parts: DataFrame, opening: str, closing: str) -> str:
+    """One JSON document from rows (pos, item): a feed of this form is one value by nature."""
+    path = fresh_path(parts.sparkSession, "document")
+    items = F.transform(F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda e: e.item)
+    parts.agg(F.concat(F.lit(opening), F.array_join(items, ","), F.lit(closing))).write.text(path)
+    return path
+
+
+def alerts_document(view):
+    alerts = _numbered_alerts(view)
+    fields = [c for c in alerts.columns if c != "pos"]
+    path = _write_document(alerts.select("pos", F.to_json(F.struct(*fields)).alias("item")), '{"alerts":[7,', "]}")
+    return _alert_table(feeds.read_alerts(view.sparkSession, path, document=True).withColumn("pos", F.col("pos").cast("long")), "pos")
+
+
+def aggregates_document(view):
+    rows = G.aggregate_explanations(explanations(view))
+    keyed = F.concat(F.to_json(F.array("device_id")).substr(F.lit(2), F.length("device_id") + 2), F.lit(":"),
+                     F.to_json(F.struct(*[c for c in rows.columns if c != "device_id"])))
+    path = _write_document(rows.select(F.col("device_id").alias("pos"), keyed.alias("item")), "{", "}")
+    found = feeds.read_aggregates(view.sparkSession, path, document=True)
+    return gridded(found.select("device_id", "n_flagged", "avg_score", "p95_score"), ["avg_score", "p95_score"])
+
+
+def stored_metrics(view):
+    path = fresh_path(view.sparkSession, "metrics")
+    feeds.write_metrics(view.sparkSession, {**M.anomaly_rate(view).first().asDict(), **M.error_code_rate(view).first().asDict()}, path)
+    return gridded(feeds.read_metrics(view.sparkSession, path).select("anomaly_rate", "error_rate"), ["anomaly_rate", "error_rate"])
+
+
+def stored_explanations(view):
+    path = fresh_path(view.sparkSession, "explanations")
+    feeds.write_feed(explanations(view).withColumn("n_families", F.size("families_sorted")), path)
+    schema = "event_id long, device_id string, anomaly_tag string, score double, n_families long"
+    return gridded(view.sparkSession.read.schema(schema).json(path), ["score"])
+
+
+SPIKE_ROW, LOST_ROW = 1, 5
+
+
+def spiked_features(view):
+    """Rows whose frames no longer hold a huge and an infinite reading of their device."""
+    order = Window.partitionBy("device_id").orderBy("timestamp", *TIES)
+    rows = view.withColumn("_n", F.row_number().over(order)).withColumn(
+        "temp_c", F.when(F.col("_n") == SPIKE_ROW, 1e9).when(F.col("_n") == LOST_ROW, float("inf")).otherwise(F.col("temp_c")))
+    names = [f"temp_c_{k}" for k in ("mean", "std", "zscore", "fft_energy")]
+    matrix = FT.feature_matrix(rows, EXACT, keep=["_n"]).where(F.col("_n") > LOST_ROW + EXACT.window)
+    return gridded(gridded(matrix.select("event_id", *names), names[:-1]), names[-1:], 3)
+
+
 def bursts_of(view):
     return B.burst_dedupe(flagged(view), BURST_MINUTES, BURST_COUNT)
 
@@ -262,6 +319,13 @@ QUERIES = {
     "read_aggregates": _of_view(lambda v: gridded(
         stored_aggregates(v).select("device_id", "n_flagged", "avg_score", "p95_score"),
         ["avg_score", "p95_score"])),
+    "read_alerts_document": _of_view(alerts_document),
+    "read_aggregates_document": _of_view(aggregates_document),
+    "read_metrics": _of_view(stored_metrics),
+    "read_explanations": _of_view(stored_explanations),
+    "alert_by_id": _of_view(alert_lookup),
+    "aggregate_by_device": _of_view(lambda v: gridded(feed.aggregate_by_device(stored_aggregates(v), DEVICE).select(
+        "device_id", "n_flagged", "avg_score", "p95_score"), ["avg_score", "p95_score"])),
     "save_model": model_roundtrip,
     # lookups
     "device_window": _of_view(lambda v: L.device_window(v, DEVICE, START, END, ties=TIES)),
@@ -329,6 +393,7 @@ QUERIES = {
     "feature_matrix": _of_view(lambda v: gridded(
         gridded(FT.feature_matrix(v, SPEC), [n for n in FT.feature_names(SPEC) if "fft" not in n]),
         [n for n in FT.feature_names(SPEC) if n.endswith("fft_energy")], 3)),
+    "feature_matrix_spikes": _of_view(spiked_features),
     # model
     "fit_scaler": _of_view(scaler_table),
     "standardize": _of_view(lambda v: gridded(standardized(v).select("event_id", *EXPLAINED), EXPLAINED)),

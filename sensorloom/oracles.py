@@ -97,6 +97,20 @@ dominant AS (
   FROM readings r LEFT JOIN bins USING (event_id) GROUP BY r.event_id)"""
 
 
+# Energy straight from the transform: the powers of the half spectrum without its constant part.
+ENERGY = "energies AS (SELECT event_id, signal, sum(p) AS e FROM powers GROUP BY event_id, signal)"
+
+
+def energies(signals, where: str = "true") -> str:
+    columns = ", ".join(f"{grid(f'coalesce(max(CASE WHEN signal = {chr(39)}{s}{chr(39)} THEN e END), 0)', 3)} AS {s}_fft_energy" for s in signals)
+    return f"SELECT r.event_id, {columns} FROM readings r LEFT JOIN energies USING (event_id) WHERE {where} GROUP BY r.event_id"
+
+
+SPIKED = f"""telemetry AS (SELECT * EXCLUDE (n) REPLACE (
+    CASE WHEN n = {C.SPIKE_ROW} THEN 1e9 WHEN n = {C.LOST_ROW} THEN NULL ELSE temp_c END AS temp_c)
+  FROM (SELECT *, row_number() OVER ({W}) AS n FROM plain))"""
+
+
 def features(*names: str, places: int = 6) -> str:
     return telemetry(*FEATURE_CTES) + "SELECT event_id, " + ", ".join(
         f"{grid(n, places)} AS {n}" for n in names) + " FROM matrix"
@@ -265,6 +279,15 @@ ORACLES = {
     "load_telemetry_limit": simple(f"SELECT {COLUMNS} FROM telemetry ORDER BY timestamp, device_id LIMIT 500"),
     "read_alerts": simple(f"SELECT {ALERT_COLUMNS} FROM built", *ALERTS),
     "read_aggregates": _aggregates(),
+    "read_alerts_document": simple(f"SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, {ALERT_COLUMNS} FROM built", *ALERTS),
+    "read_aggregates_document": _aggregates(),
+    "read_metrics": simple(f"SELECT {grid('avg(y)')} AS anomaly_rate, {grid('avg((error_code <> 0)::INT)')} AS error_rate FROM tagged", TAGGED),
+    "read_explanations": simple(f"""SELECT event_id, device_id, CASE WHEN tag = '' THEN '(unlabeled)' ELSE tag END AS anomaly_tag,
+        {grid('score')} AS score, count(*) AS n_families FROM tagged JOIN by_family USING (event_id)
+        GROUP BY event_id, device_id, tag, score""", *ATTRIBUTION),
+    "alert_by_id": simple(f"""SELECT {ALERT_ID}, pos, {ALERT_COLUMNS} FROM built WHERE pos = (
+        SELECT min(pos) FROM built WHERE device_id = '{C.DEVICE}')""", *ALERTS),
+    "aggregate_by_device": f"SELECT * FROM ({_aggregates()}) WHERE device_id = '{C.DEVICE}'",
     "device_window": simple(f"""SELECT * FROM telemetry WHERE device_id = '{C.DEVICE}'
         AND timestamp >= '{C.START}' AND timestamp < '{C.END}'"""),
     "latest_rows": simple("SELECT * FROM telemetry ORDER BY timestamp DESC, event_id LIMIT 10"),
@@ -326,7 +349,10 @@ ORACLES = {
     "trend_resid": features(*per_signal("trend", "resid")),
     "delta_zscore": features(*per_signal("delta", "zscore")),
     "diff": features(*per_signal("diff")),
-    "fft_energy": features(*per_signal("fft_energy"), places=3),
+    "fft_energy": telemetry(TAGGED, FILLED, MEDIANS, READINGS, DOMINANT, ENERGY) + energies(SIGNALS),
+    "feature_matrix_spikes": telemetry(SPIKED, *FEATURE_CTES, DOMINANT, ENERGY).replace("RECURSIVE telemetry AS", "RECURSIVE plain AS", 1) + f"""
+        SELECT event_id, {", ".join(f"{grid(f'temp_c_{k}')} AS temp_c_{k}" for k in ("mean", "std", "zscore"))}, e.temp_c_fft_energy
+        FROM matrix JOIN ({energies(["temp_c"], f"r.pos > {C.LOST_ROW + SPEC.window}")}) e USING (event_id)""",
     "fft_dom_bin": telemetry(TAGGED, FILLED, MEDIANS, READINGS, DOMINANT) + "SELECT * FROM dominant",
     **{n: features(n) for n in ("error_streak", "time_since_error_s", "state_change", "state_change_count",
                                 "time_since_state_change_s")},

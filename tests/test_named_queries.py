@@ -1,5 +1,8 @@
 """Every named query against its SQL twin on the smallest scale."""
 
+import glob
+import os
+
 import duckdb
 import pytest
 
@@ -25,7 +28,8 @@ def comparable(frame):
 @pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    for path in glob.glob(f"{SF}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
     expected = con.execute(entry_points.oracle_sql()[name]).df()
     actual = entry_points.queries()[name](spark, SF).toPandas()
     assert sorted(actual.columns) == sorted(expected.columns)
