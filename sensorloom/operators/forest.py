@@ -11,7 +11,7 @@ rounding of a distributed mean cannot make two fits differ; the scaler serves at
 """
 
 from dataclasses import dataclass
-from math import ceil, log, log2, sqrt
+from math import ceil, log, log1p, log2, sqrt
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from sensorloom.operators.scaling import Scaler, align_features, fit_scaler
+from sensorloom.workspace import materialize
 
 # Size of a tree's sample, the expected share of outliers in training rows,
 # number of trees, seed, and Euler's constant as used in the path length formula.
@@ -74,24 +75,36 @@ def grow_tree(sample: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
     return nodes
 
 
+UNIT = 1 << 52  # steps of a uniform draw
+
+
+def _draws(chance: float, trees: int) -> str:
+    """SQL for the trees a row is drawn for, each with this chance, from the row's hash ``_key``.
+
+    The next tree is found by a geometric jump, so a row costs about one hash, not one per tree.
+    """
+    if chance >= 1.0:
+        return f"sequence(0, {trees - 1})"
+    jump = lambda k: (f"CAST(least(1 + floor(ln((pmod(xxhash64(_key, {k}), {UNIT}) + 0.5D) / {UNIT}D) / "
+                      f"{log1p(-chance)!r}D), {trees}) AS INT)")
+    step = (f"CASE WHEN s.at >= {trees} THEN s ELSE named_struct('at', s.at + {jump('k')}, 'hits', concat(s.hits, array(s.at))) END")
+    # One draw tells that most rows are in no tree; only the others go on jumping.
+    return (f"CASE WHEN {jump('0')} > {trees} THEN NULL ELSE aggregate(sequence(1, {trees}), "
+            f"named_struct('at', {jump('0')} - 1, 'hits', CAST(array() AS array<int>)), (s, k) -> {step}, s -> s.hits) END")
+
+
 def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, seed: int) -> DataFrame:
-    """``size`` rows per tree, drawn without replacement, as (tree, rank, features).
+    """``size`` rows per tree, drawn without replacement from all rows, as (tree, rank, features).
 
-    A first hash keeps a pool that stays many times larger than all samples together, and
-    bounded however many rows there are; each tree then takes its lowest hashes from it.
+    Hashes of the row key put somewhat more rows than needed before each tree, which takes
+    its lowest draws.
     """
-    share = min(1.0, 16.0 * trees * size / total)
-    in_pool = F.pmod(F.xxhash64(*keys, F.lit(seed), F.lit("pool")), F.lit(1 << 52)) < int(share * (1 << 52))
-    pool = df if share == 1.0 else df.where(in_pool)
-    chance = min(1.0, (size + 8 * sqrt(size) + 32) / (share * total))
-    # The key is hashed once per row; each tree then mixes its number into that hash.
-    draws = (f"filter(transform(sequence(0, {trees - 1}), t -> struct(t AS tree, xxhash64(_key, t) AS draw)), "
-             f"d -> pmod(d.draw, {1 << 52}) < {int(chance * (1 << 52))})")
+    chance = min(1.0, (size + 8 * sqrt(size) + 32) / total)
     in_tree = Window.partitionBy("tree").orderBy("draw", *keys)
-    return (pool.withColumn("_key", F.xxhash64(*keys, F.lit(seed)))
+    return (df.withColumn("_key", F.xxhash64(*keys, F.lit(seed)))
             # An outer explode: a plain one lets the optimizer draw twice, to test for hits.
-            .withColumn("_hit", F.explode_outer(F.expr(draws))).where("_hit IS NOT NULL")
-            .select(F.col("_hit.tree").alias("tree"), F.col("_hit.draw").alias("draw"), *keys, *features)
+            .withColumn("tree", F.explode_outer(F.expr(_draws(chance, trees)))).where("tree IS NOT NULL")
+            .select("tree", F.xxhash64("_key", "tree").alias("draw"), *keys, *features)
             .withColumn("rank", F.row_number().over(in_tree)).where(F.col("rank") <= size)
             .select("tree", "rank", *features))
 
@@ -188,6 +201,7 @@ def fit_forest(df: DataFrame, features, keys, contamination: float = CONTAMINATI
     nodes = grow_forest(aligned, features, keys, scaler.rows, trees, seed, sample_size).toPandas()
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     model = ForestModel(scaler, nodes, min(sample_size, scaler.rows))
-    raw = score_forest(aligned, model, "_s").select("_s")
+    # Stored once: exact quantiles read the scores several times.
+    raw = materialize(score_forest(aligned, model, "_s").select("_s"), "scores")
     offset = exact_quantiles(raw, ["_s"], [1.0 - contamination], limit)["_s"][0]
     return ForestModel(scaler, nodes, model.sample_size, offset)
