@@ -299,6 +299,12 @@ def scoring_alerts(spark, sf_dir):
     return _alert_table(run.alerts)
 
 
+def scoring_alerts_all(spark, sf_dir):
+    """Alerts for every flagged row, not only for the highest scores."""
+    view = telemetry_view(spark, sf_dir).drop("score")
+    return _alert_table(run_scoring(view, train(view, SPEC), SPEC, top_n=None).alerts)
+
+
 def burst_report(spark, sf_dir):
     """Which devices have bursts of anomalies, and how long they last."""
     rows = bursts_of(telemetry_view(spark, sf_dir))
@@ -430,6 +436,8 @@ QUERIES = {
     # jobs and streams
     "burst_report": burst_report,
     "scoring_alerts": scoring_alerts,
+    "scoring_alerts_all": scoring_alerts_all,
     "stream_ingest": ingest_stream_table,
     "stream_burst": burst_stream_table,
+    "stream_burst_cooldown": lambda spark, d: burst_stream_table(spark, d, COOLDOWN_MINUTES),
 }

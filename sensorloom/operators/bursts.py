@@ -46,11 +46,20 @@ def _hits(df: DataFrame, window_minutes: float, min_anomalies: int,
             .withColumn("slice", F.explode(
                 F.when(near_end, F.array("own", F.col("own") + 1)).otherwise(F.array("own")))))
     order = Window.partitionBy("device_id", "slice").orderBy("us")
-    recent = order.rangeBetween(-span, 0)
+    # A reading enters its window at its time and leaves it one microsecond after the window's end. Running
+    # totals over both kinds of moments cost the same for any length of window.
+    moments = rows.withColumn("following", F.lead("timestamp").over(order)).withColumn("moment", F.explode(F.array(
+        F.struct(F.col("us").alias("at"), F.col("n").alias("change"), F.lit(True).alias("enters")),
+        F.struct((F.col("us") + span + 1).alias("at"), (-F.col("n")).alias("change"), F.lit(False).alias("enters")))))
+    so_far = (Window.partitionBy("device_id", "slice").orderBy("moment.at")
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    # What follows the last reading that has left is the first one inside.
+    left = F.last(F.when(~F.col("moment.enters"), F.col("following")), True).over(so_far)
+    rows = moments.select("*", F.sum("moment.change").over(so_far).alias("n_events"),
+                          F.coalesce(left, F.min("timestamp").over(so_far)).alias("window_start"))
+    rows = rows.where("moment.enters").drop("moment", "following")
     upto, before = (order.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
-    rows = rows.select("*", F.sum("n").over(recent).alias("n_events"),
-                       F.min("timestamp").over(recent).alias("window_start"),
-                       F.sum("n").over(upto).alias("seen"))
+    rows = rows.select("*", F.sum("n").over(upto).alias("seen"))
     hit = F.col("n_events") >= min_anomalies
     rows = rows.select("*", F.last(F.when(hit, F.col("us")), True).over(before).alias("prev_hit"),
                        F.last(F.when(hit, F.col("seen")), True).over(before).alias("prev_seen"))

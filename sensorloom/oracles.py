@@ -395,6 +395,6 @@ ORACLES = {
     "burst_report": simple("""SELECT device_id, count(*) AS bursts, sum(n_events)::BIGINT AS anomalies, min(burst_start) AS first_start,
         max(burst_end) AS last_end FROM bursts GROUP BY device_id""", TAGGED, *burst_ctes()),
     "stream_ingest": simple(f"SELECT {COLUMNS} FROM telemetry"),
-    "stream_burst": simple(f"""SELECT * FROM bursts WHERE burst_end + INTERVAL {C.BURST_MINUTES} MINUTES
-        <= (SELECT date_trunc('milliseconds', max(timestamp)) FROM telemetry) - INTERVAL 10 MINUTES""", TAGGED, *burst_ctes()),
+    "stream_burst": simple("SELECT * FROM bursts", TAGGED, *burst_ctes()),
+    "stream_burst_cooldown": simple("SELECT * FROM cooled", TAGGED, *burst_ctes(), COOLED),
 }

@@ -15,7 +15,7 @@ from sensorloom.operators.rules import FamilyRule
 from sensorloom.operators.scaling import standardize
 from sensorloom.operators.summarize import aggregate_explanations
 from sensorloom.sources.feeds import write_feed, write_metrics
-from sensorloom.workspace import materialize
+from sensorloom.workspace import BROADCAST_ROWS, materialize
 
 # Fixed value: how many of the highest scores are explained.
 TOP_ROWS = 20
@@ -41,10 +41,12 @@ def score_telemetry(telemetry: DataFrame, model: ForestModel, spec: FeatureSpec
 
 
 def run_scoring(telemetry: DataFrame, model: ForestModel, spec: FeatureSpec = FeatureSpec(),
-                top_n: int = TOP_ROWS, thresholds: list[float] | None = None,
+                top_n: int | None = TOP_ROWS, thresholds: list[float] | None = None,
                 rules: list[FamilyRule] = ()) -> ScoringRun:
     """Score the table once, then evaluate and explain from the stored narrow result.
 
+    ``top_n`` highest scores are explained and alerted on, as a report; None takes all flagged rows.
+
     The features of the few explained rows are built again from their own devices only,
     which costs less than storing all features of all rows.
     """
@@ -54,11 +56,13 @@ def run_scoring(telemetry: DataFrame, model: ForestModel, spec: FeatureSpec = Fe
     best = best_threshold(sweep)
     flagged = flag(scored, best["threshold"])
     keys = ["device_id", "timestamp", *spec.ties]
-    top = materialize(top_anomalies(flagged, top_n, keys), "top")
-    # ``top`` has at most top_n rows, so it and its devices may be broadcast.
-    devices = F.broadcast(top.select("device_id").distinct())
+    chosen = flagged.where("pred = 1") if top_n is None else top_anomalies(flagged, top_n, keys)
+    top = materialize(chosen, "top")
+    # A short report, and with it its devices, may be broadcast; anything longer is joined as Spark sees fit.
+    side = F.broadcast if top_n is not None and top_n <= BROADCAST_ROWS else (lambda df: df)
+    devices = side(top.select("device_id").distinct())
     matrix = feature_matrix(telemetry.join(devices, "device_id", "left_semi"), spec, **statistics)
-    wide = matrix.drop("y").join(F.broadcast(top), keys)
+    wide = matrix.drop("y").join(side(top), keys)
     columns = [*keys, "state", "anomaly_tag", "y", "score", "pred"]
     z = standardize(wide, model.scaler, columns)
     explained = materialize(explain_rows(z, model.scaler.features), "explained")

@@ -123,11 +123,22 @@ def write_bursts(bursts: DataFrame, target: str, checkpoint: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def burst_stream_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bursts of the ``events`` stream that ended before the final watermark."""
+def burst_stream_table(spark: SparkSession, sf_dir: str, cooldown_minutes: float = 0) -> DataFrame:
+    """All bursts of the ``events`` stream: a closing marker moves the watermark past the last of them.
+
+    The marker is one reading of a device of its own, ten years after the last one, from a second stream. It must be
+    flagged, since Spark filters before it takes the watermark, and is too few for a burst.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    rows = events_stream(spark, sf_dir).withColumn("pred", (F.col("score") >= 0.11).cast("int"))
-    bursts = stream_bursts(rows, window_minutes=72 * 60, min_anomalies=3)
+    rows = events_stream(spark, sf_dir).withColumn("pred", (F.col("score") >= 0.11).cast("int")).select(
+        "device_id", "timestamp", "score", "pred")
+    marker = fresh_path(spark, "marker")
+    last = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("ts").cast("timestamp").alias("last"))
+    end = last.select(F.lit("(end of stream)").alias("device_id"), (F.col("last") + F.expr("INTERVAL 10 YEARS")).alias("timestamp"),
+                      F.lit(1.0).alias("score"), F.lit(1).alias("pred"))
+    end.write.parquet(marker)
+    closed = rows.unionByName(spark.readStream.schema(end.schema).parquet(marker))
+    bursts = stream_bursts(closed, window_minutes=72 * 60, min_anomalies=3, cooldown_minutes=cooldown_minutes)
     target = fresh_path(spark, "stream-bursts")
     write_bursts(bursts, target, fresh_path(spark, "stream-check")).awaitTermination()
     return spark.read.schema(bursts.schema).parquet(target)
