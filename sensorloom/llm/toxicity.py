@@ -21,19 +21,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 WORD = re.compile(r"[^\W\d_]+")
 STEM = 4        # letters of the beginning of a longer word, a feature of its own
 PER_CLASS = 3000
-FEATURES = 8192  # most features of one model, by their distance from chance
+FEATURES = 8192  # most features, by their distance from chance
 FOLDS = 3
-THRESHOLD = 0.15  # classes are far from even, so clear cases of the rare one end below one half
-CLEAR = 3.0     # standard errors between classes from which a feature counts
+THRESHOLD = 0.06  # classes are far from even, so clear cases of the rare one end below one half
+CLEAR = 4.5     # standard errors between classes from which a feature counts
 
 
 def features(text: str) -> set[str]:
-    """Words in small letters, and the beginnings (with a hyphen) of those above four letters."""
+    """Words in small letters, and the beginnings (with a hyphen) of those of four letters or more."""
     words = set(WORD.findall(text.lower()))
-    return words | {w[:STEM] + "-" for w in words if len(w) > STEM}
+    return words | {w[:STEM] + "-" for w in words if len(w) >= STEM}
 
 
 @dataclass(frozen=True)
@@ -63,35 +65,17 @@ class Chain:
         return out
 
 
-def _select(rows: list[set[str]], y: np.ndarray) -> list[str]:
-    """Features that are clearly more frequent in one class than in the other."""
-    n1, n0 = int(y.sum()), int((1 - y).sum())
-    ones, zeros = Counter(), Counter()
-    for seen, label in zip(rows, y, strict=True):
-        (ones if label else zeros).update(seen)
-    scored = []
-    for f in set(ones) | set(zeros):
-        a, b = ones[f], zeros[f]
-        p = (a + b) / (n1 + n0)
-        z = abs(a / n1 - b / n0) / (p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12) ** 0.5
-        if z >= CLEAR and a + b >= 3:
-            scored.append((-z, f))
-    return [f for _, f in sorted(scored)[:FEATURES]]
-
-
-def fit(rows: list[set[str]], y: np.ndarray, weight: np.ndarray, chain: np.ndarray, steps: int = 200) -> Linear:
+def fit(hits: list[list[int]], names: list[str], y: np.ndarray, weight: np.ndarray, chain: np.ndarray, steps: int = 500) -> Linear:
     """Weighted logistic regression with a ridge, by Adam over all rows at once.
 
-    With one class alone there is nothing to tell apart: the result is the constant of that class.
+    hits: places in `names` of the features of each row; chain: earlier probabilities. With one class alone there is
+    nothing to tell apart: the result is the constant of that class.
     """
     if not len(y) or y.min() == y.max():
         return Linear({}, (0.0,) * chain.shape[1], 20.0 if len(y) and y[0] else -20.0)
-    names = _select(rows, y)
-    at = {f: i for i, f in enumerate(names)}
-    hits = [[at[f] for f in seen if f in at] for seen in rows]
-    row = np.repeat(np.arange(len(rows)), [len(h) for h in hits])
-    col = np.array([i for h in hits for i in h], np.int64)
-    n, m, k = len(rows), len(names), chain.shape[1]
+    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+    col = np.concatenate([np.asarray(h, np.int64) for h in hits])
+    n, m, k = len(hits), len(names), chain.shape[1]
     theta, first, second = np.zeros(m + k + 1), np.zeros(m + k + 1), np.zeros(m + k + 1)
     share = weight / weight.sum()
     # Both classes pull alike; the constant is set back to the true shares afterwards.
@@ -108,10 +92,10 @@ def fit(rows: list[set[str]], y: np.ndarray, weight: np.ndarray, chain: np.ndarr
     return Linear(dict(zip(names, theta[:m].tolist(), strict=True)), tuple(theta[m:m + k].tolist()), float(constant))
 
 
-def fit_chain(rows: list[set[str]], labels: np.ndarray, weight: np.ndarray, categories: tuple[str, ...],
+def fit_chain(hits: list[list[int]], names: list[str], labels: np.ndarray, weight: np.ndarray, categories: tuple[str, ...],
               folds: int = FOLDS) -> Chain:
     """labels: a column of 0 and 1 per category. Rows are dealt to folds in turn."""
-    n = len(rows)
+    n = len(hits)
     fold = np.arange(n) % folds
     chain, models = np.zeros((n, 0)), []
     for c in range(len(categories)):
@@ -119,9 +103,9 @@ def fit_chain(rows: list[set[str]], labels: np.ndarray, weight: np.ndarray, cate
         last = c == len(categories) - 1
         for f in () if last else range(folds):
             seen, held = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            model = fit([rows[i] for i in seen], y[seen], weight[seen], chain[seen])
-            out[held] = [model.probability(rows[i], chain[i].tolist()) for i in held]
-        models.append(fit(rows, y, weight, chain))
+            model = fit([hits[i] for i in seen], names, y[seen], weight[seen], chain[seen])
+            out[held] = [model.probability({names[j] for j in hits[i]}, chain[i].tolist()) for i in held]
+        models.append(fit(hits, names, y, weight, chain))
         chain = np.column_stack([chain, out])
     return Chain(categories, tuple(models))
 
@@ -149,11 +133,41 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], key
         return Chain(names, tuple(Linear({}, (0.0,) * i) for i in range(len(names))))
     pairs = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
         F.broadcast(chosen), "id")  # at most per_class rows for each combination
-    seen = _featured(pairs, ys).orderBy("id").collect()
-    count = Counter(tuple(r[y] for y in ys) for r in seen)
-    weight = np.array([shares[tuple(r[y] for y in ys)] / count[tuple(r[y] for y in ys)] for r in seen], float)
-    matrix = np.array([[r[y] for y in ys] for r in seen], int).reshape(-1, len(ys))
-    return fit_chain([set(r["seen"]) for r in seen], matrix, weight, names)
+    sample = stored(_featured(pairs, ys))
+    vocabulary = _clear_features(sample, ys)
+    rows = _places(sample, ys, vocabulary).orderBy("id").collect()  # a few dozen numbers for each sampled row
+    count = Counter(tuple(r[y] for y in ys) for r in rows)
+    weight = np.array([shares[tuple(r[y] for y in ys)] / count[tuple(r[y] for y in ys)] for r in rows], float)
+    matrix = np.array([[r[y] for y in ys] for r in rows], int).reshape(-1, len(ys))
+    return fit_chain([r["places"] for r in rows], vocabulary, matrix, weight, names)
+
+
+def _clear_features(sample: DataFrame, ys: list[str]) -> list[str]:
+    """Features clearly more frequent on one side of some category, the clearest first; FEATURES at most."""
+    totals = sample.agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys]).first()
+    n = totals["n"] or 0
+    if not n:
+        return []
+    counts = sample.select(*ys, F.explode("seen").alias("f")).groupBy("f").agg(
+        F.count("*").alias("c"), *[F.sum(y).alias(y) for y in ys]).where("c >= 3")
+    p, distance = F.col("c") / n, F.lit(0.0)
+    for y in ys:
+        n1 = totals[y]
+        if 0 < n1 < n:
+            gap = F.abs(F.col(y) / n1 - (F.col("c") - F.col(y)) / (n - n1))
+            distance = F.greatest(distance, gap / F.sqrt(p * (1 - p) * (1 / n1 + 1 / (n - n1)) + 1e-12))
+    return [r.f for r in counts.select("f", distance.alias("z")).where(F.col("z") >= CLEAR).orderBy(F.desc("z"), "f").limit(FEATURES).collect()]
+
+
+def _places(sample: DataFrame, ys: list[str], vocabulary: list[str]) -> DataFrame:
+    at = {f: i for i, f in enumerate(vocabulary)}
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [sorted(at[f] for f in seen.as_py() if f in at) for seen in part.column(len(ys) + 1)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.list_(pa.int32()))], names=["id", *ys, "places"])
+
+    return sample.mapInArrow(batches, ", ".join(["id long", *[f"{y} int" for y in ys], "places array<int>"]))
 
 
 def _featured(pairs: DataFrame, ys: list[str]) -> DataFrame:

@@ -39,9 +39,9 @@ def test_held_out_accuracy(spark):
 
 def test_chain_uses_earlier_categories():
     rng = random.Random(1)
-    rows = [{"x"} if rng.random() < 0.5 else {"y"} for _ in range(400)]
-    first = np.array([int("x" in r) for r in rows])
-    chain = fit_chain(rows, np.column_stack([first, first]), np.ones(400), ("a", "b"))
+    rows = [[0] if rng.random() < 0.5 else [1] for _ in range(400)]
+    first = np.array([int(0 in r) for r in rows])
+    chain = fit_chain(rows, ["x", "y"], np.column_stack([first, first]), np.ones(400), ("a", "b"))
     assert chain.models[1].chain[0] > 0.5
     p = Chain(("a", "b"), (Linear({"x": 2.0}, (), 0.0), Linear({}, (4.0,), -2.0)))
     assert p.predict("x")[1] > 0.5 > p.predict("nothing")[1] - 0.01
