@@ -217,6 +217,14 @@ def stored_alerts(spark, sf_dir):
     return _alert_table(feeds.read_alerts(spark, path))
 
 
+def routed_by_table(view):
+    """Routes from a table of tags: one new tag, one that replaces a known one."""
+    table = view.sparkSession.createDataFrame(
+        [(" mystery_fault", "electrical", None), ("bearing_wear", "workshop", "critical"), ("", "nowhere", None)],
+        "tag string, route string, severity string")
+    return A.tag_route(view, routes=A.read_routes(table)).select("event_id", "tag", "route", "tag_severity")
+
+
 def alert_lookup(view):
     """The first alert of one device, found again by its id."""
     alerts = _numbered_alerts(view)
@@ -422,6 +430,7 @@ QUERIES = {
     "score_severity": _of_view(lambda v: v.select("event_id", A.score_severity(F.col("score")).alias("severity"))),
     "tag_route": _of_view(lambda v: A.tag_route(v).select(
         "event_id", "tag", "route", "tag_severity", "root_cause", "rule_name", "confidence")),
+    "tag_route_table": _of_view(routed_by_table),
     "match_dominant_family": _of_view(lambda v: gridded(A.match_dominant_family(
         explanations(v), FAMILY_RULES).select(
             "event_id", "matched_rule", "matched_cause", "match_confidence"), ["match_confidence"])),

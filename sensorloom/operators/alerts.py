@@ -36,9 +36,27 @@ def score_severity(score: Column, warn: float = SEVERITY_SCORES[0],
             .when(known >= warn, F.lit("WARNING")).otherwise(F.lit("INFO")))
 
 
-def _tag_field(tag: Column, position: int) -> Column:
-    """Lookup in the fixed tag table; null for an unknown tag."""
-    pairs = [x for name, values in TAG_ROUTES.items() for x in (F.lit(name), F.lit(values[position]))]
+# A route table is configuration; far more rows than this are a mistake.
+MAX_ROUTES = 10_000
+
+
+def read_routes(table: DataFrame, limit: int = MAX_ROUTES) -> dict[str, tuple[str, str | None, str | None]]:
+    """Routes of a table (tag, route and, if it has them, severity, root_cause) over the fixed ones.
+
+    Tags are normalized; rows without a tag or route are left out, and of a repeated tag the largest row counts.
+    """
+    optional = [F.col(c) if c in table.columns else F.lit(None).cast("string").alias(c) for c in ("severity", "root_cause")]
+    rows = table.select(normalize_tag(F.col("tag")).alias("tag"), "route", *optional).where("tag <> '' AND route IS NOT NULL")
+    rows = rows.groupBy("tag").agg(F.max(F.struct("route", F.upper("severity").alias("severity"), "root_cause")).alias("r"))
+    found = rows.limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} routes")
+    return {**TAG_ROUTES, **{x.tag: (x.r.route, x.r.severity, x.r.root_cause) for x in found}}
+
+
+def _tag_field(tag: Column, position: int, routes: dict) -> Column:
+    """Lookup in the tag table; null for an unknown tag."""
+    pairs = [x for name, values in routes.items() for x in (F.lit(name), F.lit(values[position]).cast("string"))]
     return F.try_element_at(F.create_map(*pairs), tag)
 
 
@@ -47,14 +65,17 @@ def alert_tag(tag: Column) -> Column:
     return F.when(text == UNLABELED, F.lit("")).otherwise(text)
 
 
-def tag_route(df: DataFrame, tag: str = "anomaly_tag") -> DataFrame:
-    """Route, severity, root cause and rule of a known tag; unknown tags go to triage."""
+def tag_route(df: DataFrame, tag: str = "anomaly_tag", routes: dict = TAG_ROUTES) -> DataFrame:
+    """Route, severity, root cause and rule of a known tag; unknown tags go to triage.
+
+    A tag that only has a route keeps the severity of its score and names no cause.
+    """
     clean = alert_tag(F.col(tag))
-    route, cause = _tag_field(clean, 0), _tag_field(clean, 2)
+    route, cause = _tag_field(clean, 0, routes), _tag_field(clean, 2, routes)
     return df.withColumns({
         "tag": clean,
         "route": F.coalesce(route, F.lit(DEFAULT_ROUTE)),
-        "tag_severity": _tag_field(clean, 1),
+        "tag_severity": _tag_field(clean, 1, routes),
         "root_cause": cause,
         "rule_name": F.when(cause.isNotNull(), F.concat(F.lit("tag_route::"), clean)),
         "confidence": F.when(cause.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)),
@@ -85,11 +106,13 @@ def match_dominant_family(df: DataFrame, rules: list[FamilyRule],
     """
     shape = "struct<conf:double,early:int,rule:string,cause:string>"
     usable = [r for r in rules if r.required_families and (r.min_family_percent or 0) > 0]
-    candidates = [F.when(_confidence(F.col(families), r).isNotNull(), F.struct(
-        _confidence(F.col(families), r).alias("conf"), F.lit(-i).alias("early"),
-        F.lit(r.name or r.id or None).cast("string").alias("rule"),
-        F.lit(r.root_cause or r.message or None).cast("string").alias("cause")))
-        for i, r in enumerate(usable)]
+    def candidate(i: int, r: FamilyRule) -> Column:
+        conf = _confidence(F.col(families), r)
+        return F.when(conf.isNotNull(), F.struct(
+            conf.alias("conf"), F.lit(-i).alias("early"), F.lit(r.name or r.id or None).cast("string").alias("rule"),
+            F.lit(r.root_cause or r.message or None).cast("string").alias("cause")))
+
+    candidates = [candidate(i, r) for i, r in enumerate(usable)]
     best = F.array_max(F.array(*candidates)) if candidates else F.lit(None).cast(shape)
     return (df.withColumn("_best", best)
             .withColumns({"matched_rule": F.col("_best.rule"), "matched_cause": F.col("_best.cause"),
@@ -98,7 +121,7 @@ def match_dominant_family(df: DataFrame, rules: list[FamilyRule],
 
 
 def build_alerts(df: DataFrame, rules: list[FamilyRule] = (), score: str = "score",
-                 tag: str = "anomaly_tag", thresholds=SEVERITY_SCORES, keep=()) -> DataFrame:
+                 tag: str = "anomaly_tag", thresholds=SEVERITY_SCORES, keep=(), routes: dict = TAG_ROUTES) -> DataFrame:
     """One alert per row: a known tag first, then a family rule, then a generic message.
 
     ``keep`` names columns passed through in front, such as a row id.
@@ -110,7 +133,7 @@ def build_alerts(df: DataFrame, rules: list[FamilyRule] = (), score: str = "scor
                 else F.array()).cast(f"array<{FEATURE_SHARE.simpleString()}>")
     rows = df if tag in columns else df.withColumn(tag, F.lit(None).cast("string"))
     rows = rows.withColumns({"families_sorted": families, "top_features": features})
-    rows = match_dominant_family(tag_route(rows, tag), list(rules))
+    rows = match_dominant_family(tag_route(rows, tag, routes), list(rules))
     value = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) if score in columns else F.lit(0.0)
     tagged, matched = F.col("root_cause").isNotNull(), F.col("match_confidence") > 0
     top = F.try_element_at("families_sorted", F.lit(1)).family

@@ -42,6 +42,7 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[list[int]]], counts: d
     keys = [(c, i) for c, groups in ranks.items() for i in range(len(groups))]
     brackets = {k: _Bracket(inside=counts[k[0]]) for k in keys}
     margin, open_keys = 2.0 / ACCURACY, {k for k in keys if brackets[k].inside > limit}
+    known: dict[tuple[str, int], list[float]] = {}
     while open_keys:
         order = sorted(open_keys)
         asked = []
@@ -64,13 +65,32 @@ def order_statistics(df: DataFrame, ranks: dict[str, list[list[int]]], counts: d
                 continue
             stuck = (b.low, b.high) == (old.low, old.high)
             brackets[k] = b
-            if stuck or b.inside <= limit or b.low == b.high:
+            if stuck and b.inside > limit and b.low < b.high:
+                # Frequent values at the edges hold the sketch there; step inside them.
+                known[k] = _past_edges(df, k[0], b, ranks[k[0]][k[1]])
+            if k in known and known[k] or b.inside <= limit or b.low == b.high:
                 open_keys.discard(k)
         margin = margin * 4 if missed else 2.0 / ACCURACY
-    return {c: [_pick(df, c, brackets[c, i], group) for i, group in enumerate(groups)]
+    return {c: [known.get((c, i)) or _pick(df, c, brackets[c, i], group) for i, group in enumerate(groups)]
             for c, groups in ranks.items()}
 
 
+def _past_edges(df: DataFrame, column: str, b: _Bracket, wanted: list[int]) -> list[float]:
+    """Values at the wanted ranks if they lie on the edges of the bracket or next to them; else none, and the bracket loses
+    its edges."""
+    v = _in(column, b)
+    edge = df.agg(F.count_if(v == b.low).alias("n_low"), F.count_if(v == b.high).alias("n_high"),
+                  F.min(F.when(v > b.low, v)).alias("next"), F.max(F.when(v < b.high, v)).alias("last")).first()
+    first, last = b.below + edge.n_low, b.below + b.inside - edge.n_high - 1  # ranks between the edges
+    value = lambda r: (b.low if r < first else b.high if r > last else edge["next"] if r == first
+                       else edge["last"] if r == last else None)
+    found = [value(r) for r in wanted]
+    if None not in found:
+        return found
+    b.low, b.high, b.below, b.inside = edge["next"], edge["last"], first, last - first + 1
+    return []
+
+
 def _pick(df: DataFrame, column: str, b: _Bracket, wanted: list[int]) -> list[float]:
     if b.low is not None and b.low == b.high:
         return [b.low] * len(wanted)

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 RULE_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("type", T.StringType()),
@@ -68,7 +68,14 @@ def rules_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 
 
 def read_rules(table: DataFrame) -> list[Rule]:
-    """Checked rules of a table; every rule is checked, enabled or not."""
+    """Checked rules of a table; every rule is checked, enabled or not.
+
+    ``name`` and ``cause`` are other names of ``id`` and ``message``, taken where those are missing.
+    """
+    for field_name, other in (("id", "name"), ("message", "cause")):
+        if other in table.columns:
+            own = F.col(field_name) if field_name in table.columns else F.lit(None).cast("string")
+            table = table.withColumn(field_name, F.coalesce(own, F.col(other)))
     rows = table.select(*RULE_SCHEMA.names).limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")

@@ -1,11 +1,20 @@
 """Independent SQL (DuckDB dialect) for the named queries of :mod:`sensorloom.catalog`."""
 
 from sensorloom import catalog as C
-from sensorloom.operators.alerts import DEFAULT_ROUTE, SEVERITY_SCORES, TAG_ROUTES
 from sensorloom.operators.features import FeatureSpec, SIGNAL_FEATURES
 from sensorloom.schema import SIGNALS, TELEMETRY_COLUMNS
 from sensorloom.sources.events_view import TELEMETRY_SQL
 
+# Written out, not taken from the code under test: routes, severities and root causes of fault tags, and score limits.
+DEFAULT_ROUTE = "triage"
+TAG_ROUTES = {
+    "bearing_wear": ("maintenance", "WARNING", "Mechanical degradation: bearing wear pattern detected"),
+    "overheat_drift": ("thermal", "WARNING", "Thermal anomaly: temperature/overheat drift pattern detected"),
+    "sensor_dropout": ("instrumentation", "INFO", "Instrumentation fault: sensor dropout pattern detected"),
+    "power_spike": ("electrical", "CRITICAL", "Electrical fault: power/voltage spike detected"),
+}
+SEVERITY_SCORES = (0.11, 0.15)
+
 COLUMNS = ", ".join(TELEMETRY_COLUMNS)
 SPEC = FeatureSpec()
 
@@ -154,9 +163,11 @@ SEVERITY = (f"CASE WHEN score >= {SEVERITY_SCORES[1]} THEN 'CRITICAL' "
             f"WHEN score >= {SEVERITY_SCORES[0]} THEN 'WARNING' ELSE 'INFO' END")
 
 TOPS = """tops AS (SELECT event_id, arg_max(family, pct) AS top_family, count(*) AS n_families FROM by_family GROUP BY event_id)"""
-RULE_LIST = "rules(ord, rule, cause, family, threshold, parts) AS (VALUES " + ", ".join(
-    f"({i}, '{r.name}', '{r.root_cause}', '{f}', {r.min_family_percent}, {len(r.required_families)})"
-    for i, r in enumerate(C.FAMILY_RULES) for f in r.required_families) + ")"
+RULE_LIST = """rules(ord, rule, cause, family, threshold, parts) AS (VALUES
+  (0, 'two_sensors', 'Temperature and current together', 'Temperature', 20.0, 2),
+  (0, 'two_sensors', 'Temperature and current together', 'Current', 20.0, 2),
+  (1, 'hot', 'Temperature dominates', 'Temperature', 30.0, 1),
+  (2, 'errors', 'Error codes dominate', 'Error/Flags', 40.0, 1))"""
 MATCHES = """matches AS (
   SELECT f.event_id, r.ord, r.rule, r.cause, avg(least(1.0, f.pct / r.threshold)) AS conf
   FROM by_family f JOIN rules r ON f.family = r.family AND f.pct >= r.threshold
@@ -382,6 +393,9 @@ ORACLES = {
     "tag_route": simple(f"""SELECT event_id, tag, {_tag_case('tag', 0, "'triage'")} AS route, {_tag_case('tag', 1)} AS tag_severity,
         {_tag_case('tag', 2)} AS root_cause, CASE WHEN {_tag_case('tag', 2)} IS NOT NULL THEN concat('tag_route::', tag) END AS rule_name,
         CASE WHEN {_tag_case('tag', 2)} IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS confidence FROM tagged""", TAGGED),
+    "tag_route_table": simple(f"""SELECT event_id, tag, CASE tag WHEN 'mystery_fault' THEN 'electrical' WHEN 'bearing_wear' THEN 'workshop'
+        ELSE {_tag_case('tag', 0, "'triage'")} END AS route, CASE tag WHEN 'mystery_fault' THEN NULL WHEN 'bearing_wear' THEN 'CRITICAL'
+        ELSE {_tag_case('tag', 1)} END AS tag_severity FROM tagged""", TAGGED),
     "match_dominant_family": simple(f"""SELECT event_id, m.rule AS matched_rule, m.cause AS matched_cause,
         {grid('coalesce(m.conf, 0.0)')} AS match_confidence FROM tops LEFT JOIN matched m USING (event_id)""",
                                     *ATTRIBUTION, TOPS, RULE_LIST, MATCHES),

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from sensorloom.operators import quantiles as Q
+from sensorloom.operators.summarize import aggregate_explanations
 
 
 @pytest.mark.parametrize("kind", ["normal", "ties", "two values", "skewed", "one"])
@@ -37,3 +38,24 @@ def test_group_quantile_with_a_hot_group(spark, monkeypatch, accuracy):
         assert set(got) == set(groups)
         for k, vs in groups.items():
             assert got[k][0] == len(vs) and got[k][1] == pytest.approx(np.quantile(vs, p), rel=1e-12)
+
+
+def test_two_frequent_values_with_many_between(spark):
+    values = [0.0] * 5000 + [1.0] * 5000 + [i / 3001 for i in range(1, 3001)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(6)
+    wanted = [0.2, 0.38461, 0.3846153846, 0.45, 0.5, 0.6153846, 0.7]
+    got = Q.exact_quantiles(df, ["v"], wanted, limit=20)["v"]
+    for p, g in zip(wanted, got):
+        assert g == pytest.approx(float(np.quantile(values, p)), abs=1e-12)
+
+
+def test_fleet_summary_has_no_join(spark):
+    rows = spark.createDataFrame([("A", 0.2, {"X": 30.0, "Y": 70.0}), ("B", None, {"X": 50.0})],
+                                 "device_id string, score double, family_totals map<string,double>")
+    fleet = aggregate_explanations(rows, None)
+    row = fleet.first()
+    assert (row.group_key, row.n_flagged, row.avg_score) == ("fleet", 2, 0.1)
+    assert [(f.family, round(f.pct, 6)) for f in row.top_families] == [("X", 53.333333), ("Y", 46.666667)]
+    plan = fleet._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert aggregate_explanations(rows.limit(0), None).count() == 0
