@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.workspace import materialize
+
 #: White space of the word rules below: the blank and the five controls from tab to return.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -37,26 +38,9 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that `spark.checkpoint.dir` names, which all nodes see.
-
-    Where the setting is missing, a local master gets a folder under the warehouse; a cluster
-    is refused, since its executors would each write to their own disk.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_llm"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage and survives lost executors."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once to the folder that the cluster shares and read back: cuts the lineage and survives lost executors."""
+    return materialize(df, "corpus")
 
 
 def tokenizer_path(name: str) -> str:
