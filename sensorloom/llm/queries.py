@@ -10,6 +10,7 @@ from .common import table, tokenizer_path
 from .decontam import decontaminate
 from .html import extract
 from .licenses import license_scan
+from .oracles import ORACLES as ORACLES
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
 from .simhash import near_duplicates
@@ -87,4 +88,3 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {query.__name__: query for query in (
     op1_quality_rules, op2_chat_format, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
     op8_decontamination, op9_repeated_strings, op10_main_text)}
-ORACLES: dict[str, str] = {}
