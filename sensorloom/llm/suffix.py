@@ -168,8 +168,9 @@ def next_ranks(held: DataFrame, length: int, step: int) -> DataFrame:
 def _judged(ranked: DataFrame) -> DataFrame:
     """Rows whose core stands more than once, with `repeats` (the block does too) and `stays` (needed in the next round)."""
     name = F.xxhash64("row", "at", "low")
-    by_block = ranked.groupBy("core", "block").agg(F.count("*").alias("same"), F.min(name).alias("first"))
-    by_core = by_block.groupBy("core").agg(F.sum("same").alias("total"), F.count("*").alias("kinds")).where("total > 1")
+    # Stored, so that both joins below have plain exchanges on either side, which Spark can split where a core is hot.
+    by_block = stored(ranked.groupBy("core", "block").agg(F.count("*").alias("same"), F.min(name).alias("first")))
+    by_core = stored(by_block.groupBy("core").agg(F.sum("same").alias("total"), F.count("*").alias("kinds")).where("total > 1"))
     known = by_block.where("same > 1").select("core", "block", "first")
     judged = ranked.join(by_core.select("core", "kinds"), "core").join(known, ["core", "block"], "left")
     repeats = F.col("first").isNotNull()
