@@ -183,7 +183,8 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     their own and get equal texts.
     """
     rules = templates(pages, html, url).where(F.contains("token", F.lit("#")))
-    template = rules.groupBy("host").agg(F.collect_set("token").alias("_template")).withColumnRenamed("host", "_host")
+    # Stored, so that the join has a plain exchange on either side and Spark can split the pages of a large host.
+    template = stored(rules.groupBy("host").agg(F.collect_set("token").alias("_template")).withColumnRenamed("host", "_host"))
     source = pages.drop("text", "n_chars").withColumn("_host", _host(F.col(url))).join(template, "_host", "left").drop("_host")
     names = [c for c in source.columns if c != "_template"]
     out = source.drop("_template").withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
