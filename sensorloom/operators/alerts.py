@@ -159,14 +159,14 @@ def alerts_batch(df: DataFrame, rules: list[FamilyRule] = (), **options) -> Data
     return build_alerts(flagged, rules, **options)
 
 
-def _row_matches(rules: list[Rule]) -> Column:
+def _row_matches(rules: list[Rule], routes: dict) -> Column:
     """Every per-row rule that fires, as an array."""
     fired = []
     for r in rules:
         gate = F.lit(True) if r.min_score is None else F.col("score") >= F.lit(r.min_score)
         if r.type == "dominant_family":
             confidence = _confidence(F.col("families_sorted"), family_rule(r))
-            route = _tag_field(F.col("_tag"), 0)
+            route = _tag_field(F.col("_tag"), 0, routes)
         else:
             confidence = F.when(F.col("_tag") == r.params["tag"], F.lit(1.0))
             route = F.lit(r.params["route"])
@@ -178,7 +178,7 @@ def _row_matches(rules: list[Rule]) -> Column:
     return F.array_compact(F.array(*fired))
 
 
-def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule]) -> DataFrame:
+def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule], routes: dict = TAG_ROUTES) -> DataFrame:
     """All alerts of all enabled rules: per-row rules in one pass, bursts one pass each.
 
     ``timestamp`` of a burst is its end; ``burst_start`` and ``n_events`` are null for rows.
@@ -193,7 +193,7 @@ def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule]) -> DataFram
     if per_row:
         rows = flagged.withColumn("_tag", alert_tag(F.col("anomaly_tag")))
         # An outer explode: a plain one lets the optimizer match every rule twice.
-        fired = rows.withColumn("a", F.explode_outer(_row_matches(per_row))).where("a IS NOT NULL")
+        fired = rows.withColumn("a", F.explode_outer(_row_matches(per_row, routes))).where("a IS NOT NULL")
         parts.append(fired.select(
             "a.kind", "a.rule_id", "device_id", "timestamp", F.lit(None).cast(ts).alias("burst_start"),
             F.lit(None).cast("bigint").alias("n_events"), F.col("score").cast("double").alias("score"),
