@@ -138,7 +138,8 @@ def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]
     each = conversations.select("names", F.posexplode("turns").alias("k", "t")).select(
         F.get("names", F.col("k")).alias("node"), F.slice("names", F.lit(1), F.col("k")).alias("ancestors"), "t.role", "t.text")
     distinct = each.groupBy("node").agg(F.first(F.struct("ancestors", "role", "text")).alias("x")).select("node", "x.*")
-    nodes = stored(_laid_out(_tokenized(distinct, tokenizer)))
+    # Stored before the layout: dealing out by ranges reads its input twice.
+    nodes = stored(_laid_out(stored(_tokenized(distinct, tokenizer))))
     place = nodes.select(F.col("node").alias("above"), F.struct("start", (F.col("start") + F.size("tokens")).alias("end")).alias("interval"))
     context = (nodes.select("node", F.explode("ancestors").alias("above")).join(place, "above").groupBy("node")
                .agg(F.sort_array(F.collect_list("interval")).alias("intervals")))
@@ -146,7 +147,7 @@ def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]
     full = nodes.join(context, "node", "left").select(
         "node", "ancestors", "tokens", "loss_from", "loss_to", "start", F.coalesce(length, F.lit(0).cast("long")).alias("position"),
         F.coalesce(_merged(F.col("intervals")), F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attends"))
-    return full, conversations.select("conv_id", F.element_at("names", -1).alias("node"), F.size("names").cast("long").alias("n_turns"))
+    return stored(full), conversations.select("conv_id", F.element_at("names", -1).alias("node"), F.size("names").cast("long").alias("n_turns"))
 
 
 def read_conversations(nodes: DataFrame, leaves: DataFrame, tokenizer: str) -> DataFrame:
