@@ -35,7 +35,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: A piece always ends before a blank that one of these characters follows.
 CHUNKS = re.compile(r"(?= [!-~¡-ᙿ])")
 
-CACHE = 300_000  # chunks whose tokens a worker keeps, twice at most
+CACHE = 150_000  # chunks whose tokens a worker keeps, twice at most; workers live on beside later stages
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -89,7 +89,7 @@ class Vocabulary:
         """May these tokens stand side by side, or would a merge across their border come first?"""
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) >= 2 * CACHE:
+            if len(self.pairs) >= CACHE:
                 self.pairs.clear()
             found = self.pairs[left, right] = self._apart(left, right)
         return found
