@@ -116,15 +116,37 @@ def _laid_out(nodes: DataFrame) -> DataFrame:
         "start", F.col("before") + F.col("inside")).drop("range", "inside", "before", "path")
 
 
-def _merged(intervals: Column) -> Column:
-    """Intervals in order, those that touch made one."""
-    kind = "array<struct<start:bigint,end:bigint>>"
+INTERVALS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _contexts(conversations: DataFrame, place: DataFrame) -> DataFrame:
+    """node, position, attends: carried along each conversation, one row a turn, so long ones cost what they hold."""
+    lines = (conversations.select("conv_id", F.posexplode("names").alias("k", "above")).join(place, "above").groupBy("conv_id")
+             .agg(F.sort_array(F.collect_list(F.struct("k", F.col("above").alias("node"), "interval"))).alias("line")))
+    state = f"struct<position:bigint,attends:{INTERVALS},out:array<struct<node:string,position:bigint,attends:{INTERVALS}>>>"
+
+    def step(s: Column, x: Column) -> Column:
+        here = F.struct(x["node"].alias("node"), s["position"].alias("position"), s["attends"].alias("attends"))
+        return F.struct((s["position"] + x["interval"]["end"] - x["interval"]["start"]).alias("position"),
+                        _merged_with(s["attends"], x["interval"]).alias("attends"),
+                        F.concat(s["out"], F.array(here)).alias("out")).cast(state)
+
+    start = F.struct(F.lit(0).cast("long").alias("position"), F.array().cast(INTERVALS).alias("attends"),
+                     F.array().cast(f"array<struct<node:string,position:bigint,attends:{INTERVALS}>>").alias("out")).cast(state)
+    each = lines.select(F.explode(F.aggregate("line", start, step, lambda s: s["out"])).alias("x")).select("x.*")
+    # Conversations that share a node agree on its context.
+    return each.groupBy("node").agg(F.first("position").alias("position"), F.first("attends").alias("attends"))
+
+
+def _merged_with(out: Column, x: Column) -> Column:
+    """Intervals in order and one more, made one with the last where they touch."""
+    kind = INTERVALS
     def add(out: Column, x: Column) -> Column:
         last = F.element_at(out, -1)
         touching = (F.size(out) > 0) & (F.get(out, F.size(out) - 1)["end"] == x["start"])
         return F.when(touching, F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), x["end"].alias("end"))))
                       ).otherwise(F.concat(out, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end")))))
-    return F.aggregate(intervals, F.array().cast(kind), lambda out, x: add(out, x).cast(kind))
+    return add(out, x).cast(kind)
 
 
 def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]:
@@ -141,12 +163,8 @@ def prefix_tree(turns: DataFrame, tokenizer: str) -> tuple[DataFrame, DataFrame]
     # Stored before the layout: dealing out by ranges reads its input twice.
     nodes = stored(_laid_out(stored(_tokenized(distinct, tokenizer))))
     place = nodes.select(F.col("node").alias("above"), F.struct("start", (F.col("start") + F.size("tokens")).alias("end")).alias("interval"))
-    context = (nodes.select("node", F.explode("ancestors").alias("above")).join(place, "above").groupBy("node")
-               .agg(F.sort_array(F.collect_list("interval")).alias("intervals")))
-    length = F.aggregate("intervals", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
-    full = nodes.join(context, "node", "left").select(
-        "node", "ancestors", "tokens", "loss_from", "loss_to", "start", F.coalesce(length, F.lit(0).cast("long")).alias("position"),
-        F.coalesce(_merged(F.col("intervals")), F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attends"))
+    full = nodes.join(_contexts(conversations, place), "node").select(
+        "node", "ancestors", "tokens", "loss_from", "loss_to", "start", "position", "attends")
     return stored(full), conversations.select("conv_id", F.element_at("names", -1).alias("node"), F.size("names").cast("long").alias("n_turns"))
 
 
