@@ -34,18 +34,26 @@ BLOCK = 4096
 SMALL = 24  # buckets up to this size share one comparison of all their pairs
 
 
-def fingerprint(text: str, words: int) -> int:
-    """Majority of the bits of the shingles' hashes; no word gives zero."""
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """Hashes of all shingles in order of the text; a shorter text is one shingle, a text without a word has none."""
     tokens = text.encode().lower().split()  # on bytes both act on ASCII alone
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(tokens)
     starts = np.zeros(len(tokens) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in tokens], out=starts[1:])
     n = max(1, len(tokens) - words + 1)
     last = starts[min(words, len(tokens)):] - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)), np.uint64, n)
+
+
+def fingerprint(text: str, words: int) -> int:
+    """Majority of the bits of the shingles' hashes; no word gives zero."""
+    hashes = shingle_hashes(text, words)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(BITS, np.int64)
     for at in range(0, n, 8192):
         ones += np.unpackbits(hashes[at:at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
