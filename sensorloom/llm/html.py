@@ -38,6 +38,9 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert men
 NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices "
             "newsletter subscribe signup sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment "
             "comments disqus respond replies share sharing social related recommended popup modal".split())
+# Parts of names of boxes that may hold articles of others: teasers, adverts, readers' comments.
+BOXES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo newsletter comment comments disqus respond replies "
+            "related recommended popup modal".split())
 MAIN = {"article", "main"}
 ROOTS = {"html", "body", *MAIN}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,15 +53,20 @@ SPACE = re.compile(r"\s+")
 
 
 class Page(HTMLParser):
-    """Elements as paths and blocks of text as (path, is it aside, is it in an article, text)."""
+    """Elements as paths and blocks of text as (path, is it aside, is it in an article, text).
+
+    An article or main element is aside only by tags, roles or whole names around it. A form, or a name of which only a
+    part is known (`sidebar-right`, `no-sidebar`), may be a wrapper of the page and does not reach into it. In an article: 1,
+    and 2 if a part of a name around it is in `BOXES`.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, bool]] = []  # tag, path, aside, main
+        self.open: list[tuple[str, str, bool, int, bool, bool]] = []  # tag, path, aside, main, aside for sure, in a box
         self.paths: Counter[str] = Counter()
-        self.blocks: list[tuple[str, bool, bool, str]] = []
+        self.blocks: list[tuple[str, bool, int, str]] = []
         self.text: list[str] = []
-        self.place = ("", False, False)
+        self.place = ("", False, 0)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -68,14 +76,22 @@ class Page(HTMLParser):
         if tag in SAME:
             self._close(tag, stop=SAME[tag])
         values = {k: v or "" for k, v in attrs}
-        _, above, aside, main = self.open[-1] if self.open else ("", "", False, False)
+        _, above, aside, main, sure, box = self.open[-1] if self.open else ("", "", False, 0, False, False)
         names = f"{values.get('class', '')} {values.get('id', '')}".lower()
         path = above if len(self.open) >= DEPTH else f"{above}/{tag}" + (f".{'.'.join(sorted(values['class'].split()))}" if values.get("class") else "")
         self.paths[path] += 1
-        aside = aside or tag in ASIDE or (tag == "header" and not main) or values.get("role", "").lower() in ROLES or (
-            tag not in ROOTS and not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", names))) or "hidden" in values
+        role = values.get("role", "").lower()
+        parts = set() if tag in ROOTS else set(re.split(r"[^a-z0-9]+", names))
+        whole = set() if tag in ROOTS else set(names.split())
+        sure = (sure or (tag in ASIDE and tag != "form") or (tag == "header" and not main) or (role in ROLES and role != "form")
+                or not NAMES.isdisjoint(whole) or "hidden" in values)
+        box = box or not BOXES.isdisjoint(parts)
+        if tag in MAIN:
+            aside, main = sure or role == "form", 2 if box else 1
+        else:
+            aside = aside or sure or tag == "form" or role == "form" or not NAMES.isdisjoint(parts)
         if tag not in VOID:
-            self.open.append((tag, path, aside, main or tag in MAIN))
+            self.open.append((tag, path, aside, main, sure, box))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -98,7 +114,7 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
-        place = self.open[-1][1:] if self.open else ("", False, False)
+        place = self.open[-1][1:4] if self.open else ("", False, 0)
         if self.text and place[1:] != self.place[1:]:
             self._flush()
         if not self.text:
@@ -134,10 +150,11 @@ def tokens(page: Page) -> Counter[str]:
 
 
 def main_text(page: Page, template: set[str]) -> str:
-    """Blocks of the slots that remain, in page order, one to a line."""
+    """Blocks of the slots that remain, in page order, one to a line. Articles in boxes count only if there are no others."""
     slots = [(main, text) for path, aside, main, text in page.blocks
              if not aside and (main or fixed(path, text) not in template)]
-    inside = [text for main, text in slots if main]
+    level = min((main for main, _ in slots if main), default=0)
+    inside = [text for main, text in slots if main and main == level]
     return "\n".join(inside or [text for _, text in slots])
 
 

@@ -40,3 +40,15 @@ def test_template_without_article(spark):
 def test_long_page():
     text = "<article>" + "<p>word &amp; word</p>" * 50_000 + "<div>" * 3000 + "deep" + "</div>" * 3000
     assert main_text(parse(text), set()).count("\n") == 50_000
+
+
+def test_wrappers_of_an_article():
+    own = "<article><p>own</p></article>"
+    for wrapper in ("form id=aspnetForm", "div class='content sidebar-right'", "div class='no-sidebar'", "div id='social-page'", "div class='no-comments'"):
+        for main in ("", "<main>"):
+            html = f"<body>{main}<{wrapper}><nav>menu</nav>{own}<p>low</p></{wrapper.split()[0]}></body>"
+            assert main_text(parse(html), set()) == "own", html
+    for box in ("section class=comments", "aside", "div id=sidebar", "div class='related-posts'"):
+        html = f"<body>{own}<{box}><article><p>of others</p></article></{box.split()[0]}></body>"
+        assert main_text(parse(html), set()) == "own", html
+    assert main_text(parse("<article><p>own<div class='related-posts'><article>teaser</article></div></article>"), set()) == "own"
