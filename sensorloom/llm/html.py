@@ -4,7 +4,7 @@
    articles. The occurrence vector of a token holds its count on every page of the host. Vectors are not built: two
    sums of page hashes name them, which Spark combines before it shuffles, so a host may hold any number of pages.
 2. Tokens of one host with equal vectors form an equivalence class. A class is valid if it has several
-   tokens and stands on half of the host's pages, two at least. Valid classes nest by the paths of their tokens; together they are the
+   tokens and stands on half of the host's pages, two at least; equal contents are one page. Valid classes nest by the paths of their tokens; together they are the
    template: fixed elements and fixed text.
 3. What a page has between tokens of its template are slots. Slots in menus, headers, footers, sidebars, notices, adverts,
    forms, scripts, styles and comments are left out by the names of the elements around them, and so is fixed text. If
@@ -164,8 +164,10 @@ def _host(url):
 
 def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """Tokens of valid classes: host, token, class, parent (class of the element around it), pages, size (tokens of the class)."""
-    source = pages.select(_host(F.col(url)).alias("host"), F.xxhash64(F.col(url), F.col(html)).alias("page"),
-                          F.coalesce(F.col(html), F.lit("")).alias("html"))
+    source = pages.select(_host(F.col(url)).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    source = source.select("host", F.xxhash64("html").alias("page"), "html")
+    # Copies of a page say nothing about its host: each content counts once.
+    contents = source.groupBy("host", "page").agg(F.first("html").alias("html"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -177,14 +179,14 @@ def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
                         [pa.array([host.as_py()] * n), pa.array([page.as_py()] * n, pa.int64()), pa.array(list(found)), pa.array(list(found.values()), pa.int32())],
                         names=["host", "page", "token", "n"])
 
-    seen = source.mapInArrow(batches, "host string, page long, token string, n int")
+    seen = contents.mapInArrow(batches, "host string, page long, token string, n int")
     vectors = seen.groupBy("host", "token").agg(
         F.count("*").alias("pages"),
         # Sums modulo 2 ** 64 of hashes of (page, count): equal for equal vectors, in any order.
         F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("a"), F.sum(F.xxhash64("n", "page", F.lit(1)).cast("decimal(20,0)")).alias("b"))
     named = vectors.select("host", "token", "pages", F.xxhash64("a", "b").alias("class"))
     named = stored(named.where(F.col("pages") >= PAGES))
-    size = source.groupBy("host").agg(F.count("*").alias("all"))
+    size = source.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("all"))
     classes = named.groupBy("host", "class", "pages").agg(F.count("*").alias("size")).join(size, "host").where(
         (F.col("pages") >= SHARE * F.col("all")) & (F.col("size") >= TOKENS)).select("host", "class", "size")
     valid = named.join(classes, ["host", "class"])
@@ -196,8 +198,8 @@ def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
 def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """All of `pages` plus `text` and `n_chars`; columns of those names are replaced.
 
-    Null or empty html has the empty text; pages without a url share the empty host. Repeated rows count as pages of
-    their own and get equal texts.
+    Null or empty html has the empty text; pages without a url share the empty host. Rows of equal html count as one page
+    of their host and get equal texts; a host of a single content has no template.
     """
     rules = templates(pages, html, url).where(F.contains("token", F.lit("#")))
     # Stored, so that the join has a plain exchange on either side and Spark can split the pages of a large host.

@@ -52,3 +52,12 @@ def test_wrappers_of_an_article():
         html = f"<body>{own}<{box}><article><p>of others</p></article></{box.split()[0]}></body>"
         assert main_text(parse(html), set()) == "own", html
     assert main_text(parse("<article><p>own<div class='related-posts'><article>teaser</article></div></article>"), set()) == "own"
+
+
+def test_copies_are_one_page(spark):
+    html = "<html><body><div class=top>Welcome to our site</div><p>story {i}</p><p>more of {i}</p></body></html>"
+    rows = [(i, f"http://twice.example/{i}", html.format(i=1)) for i in range(2)]
+    rows += [(10 + i, f"http://half.example/{i}", html.format(i=max(0, i - 3))) for i in range(8)]  # four copies of page 0
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == got[1] == "Welcome to our site\nstory 1\nmore of 1"
+    assert all(got[10 + i] == "story {0}\nmore of {0}".format(max(0, i - 3)) for i in range(8))
