@@ -1,17 +1,15 @@
-"""Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact verification.
-
-1. Windows. A window that reaches the wanted similarity shares a shingle with its item. So every
-   shingle of every text is joined to the shingles of the items, and each hit puts a window of the item's
-   size where the hit would be at its place in the item. Windows without any common shingle, which
-   cannot be similar, are never made; nothing else is left out.
-2. Each window gets a 64-bit SimHash of its shingles.
-3. Eight blocks of eight bits. Items are listed under every value within two bits of each block, windows under
-   their own values, so a pair with at most 23 differing bits meets in some block (eight blocks with three
-   or more each would make 24).
-4. Pairs within the radius are verified: the weighted part of the item's shingles that the window
-   holds, rare shingles of the benchmark weighing more than those that many items share.
-
-Only DataFrame functions run. The texts never move: a hit carries the hashes of its own window.
+"""Benchmark decontamination: rare shingles of items propose, item-sized windows are verified exactly.
+
+1. Items are sets of five-word shingles, rare shingles of the benchmark weighing more than those that many items share.
+2. Heads. The heaviest shingles of an item are listed until they weigh more than it may miss. A window that reaches the wanted
+   similarity holds one of them for sure, so a text that holds none is done. Shingles that many items share come last and are
+   seldom listed; nothing is left out.
+3. Each text is compared with the items that it shares a listed shingle with: the weighted part of the item's shingles that
+   a window of the item's size holds. A window may be moved right to its first common shingle without losing any, so windows that
+   start at common shingles hold the best one, also after words were put in or left out.
+
+Only DataFrame functions run. No fingerprint stands between: equal shingles have close prints, but a part of an item that weighs enough
+may be few of its shingles, at any distance.
 """
 
 from __future__ import annotations
@@ -23,9 +21,8 @@ from .common import let, stored, text_of, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
-RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1  # the largest for which some block is near for sure
-BROADCAST = 200_000  # most shingle rows or block values of items that are broadcast; more are shuffled
+RADIUS = 23  # of the fingerprints that stood before the verification once; nothing is cut by it any more
+BROADCAST = 200_000  # most listed shingles of items that are broadcast; more are shuffled
 
 
 def shingles(text: Column) -> Column:
@@ -43,33 +40,13 @@ def shingles(text: Column) -> Column:
     return let(words_of(F.lower(text)), fives)
 
 
-def simhash(hashes: Column) -> Column:
-    """64-bit majority of the hashes' bits."""
-    def bit(b: Column) -> Column:
-        ones = F.aggregate(hashes, F.lit(0), lambda n, h: n + F.call_function("bit_get", h, b).cast("int"))
-        return F.when(2 * ones > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda fp, b: fp.bitwiseOR(bit(b)))
-
-
-def block_value(fp: Column, block: Column) -> Column:
-    return F.call_function("shiftrightunsigned", fp, block * BLOCK_BITS).bitwiseAND(F.lit(2 ** BLOCK_BITS - 1)).cast("int")
-
-
-def near_values(value: Column) -> Column:
-    """All values of a block within its radius; each once, as the masks differ."""
-    single = [1 << i for i in range(BLOCK_BITS)]
-    masks = [0, *single, *[a | b for i, a in enumerate(single) for b in single[:i]]]
-    return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: value.bitwiseXOR(m))
-
-
 def _small(table: DataFrame, rows: int) -> DataFrame:
     """Broadcast behind a count; a larger table takes the way Spark chooses."""
     return F.broadcast(table) if rows <= BROADCAST else table
 
 
-def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
-    """One row per different item text: item (smallest id), its shingles with weights, size, fingerprint."""
+def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """One row per different item text: item (smallest id), its size, its shingles with weights, heaviest first, and its head."""
     raw = (benchmark.select(F.col(item).cast("long").alias("item"), shingles(text_of(text)).alias("shingles"))
            .where((F.size("shingles") > 0) & F.col("item").isNotNull()))
     raw = raw.groupBy("shingles").agg(F.min("item").alias("item"))
@@ -77,26 +54,45 @@ def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
     total = raw.count()
     weight = each.distinct().groupBy("h").agg((1 + F.log(F.lit(float(total)) / F.count("*"))).alias("w"))
     weighted = each.groupBy("item", "h").agg(F.count("*").cast("int").alias("n")).join(weight, "h").groupBy("item").agg(
-        F.sort_array(F.collect_list(F.struct("h", "n", "w"))).alias("weighted"))
-    return raw.join(weighted, "item").select("item", "shingles", "weighted", F.size("shingles").alias("size"), simhash(F.col("shingles")).alias("fp"))
+        F.sort_array(F.collect_list(F.struct((-F.col("w")).alias("order"), "h", "n", "w"))).alias("weighted"))
+    return raw.join(weighted, "item").select("item", F.size("shingles").alias("size"), "weighted", head(F.col("weighted"), least).alias("head"))
+
 
+def weight_of(weighted: Column) -> Column:
+    return F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x["w"] * x["n"])
 
-def windows(docs: DataFrame, items: DataFrame, key: list[str], text: str) -> DataFrame:
-    """Item-sized windows (key, size, start, hashes) around shared shingles, each once."""
-    places = items.select("size", F.posexplode("shingles").alias("at", "h")).distinct()
-    body = docs.select(*key, shingles(text_of(text)).alias("all")).where(F.size("all") > 0)
-    hits = body.select(*key, "all", F.posexplode("all").alias("place", "h")).join(_small(places, places.count()), "h")
-    # At the ends of a text the window is moved inside; a text shorter than the item is one window.
-    start = F.greatest(F.lit(0), F.least(F.col("place") - F.col("at"), F.size("all") - F.col("size")))
-    cut = hits.withColumn("start", start).select(*key, "size", "start", F.slice("all", F.col("start") + 1, F.col("size")).alias("hashes"))
-    return cut.groupBy(*key, "size", "start").agg(F.first("hashes").alias("hashes"))
+
+def head(weighted: Column, least: float) -> Column:
+    """The first shingles, until they weigh more than a window of similarity `least` may miss."""
+    def upto(most: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(weighted, start, lambda s, x: F.struct(
+            (s["sum"] + x["w"] * x["n"]).alias("sum"),
+            F.when(s["sum"] <= most, F.concat(s["out"], F.array(x["h"]))).otherwise(s["out"]).alias("out")), lambda s: s["out"])
+
+    return let(weight_of(weighted) * (1 - least + 1e-6), upto)
 
 
 def similarity(weighted: Column, hashes: Column) -> Column:
     """Weighted part of the item's shingles that the window holds, repeats counted."""
     got = F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x["w"] * F.least(
         x["n"], F.size(F.filter(hashes, lambda h: h == x["h"]))))
-    return got / F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x["w"] * x["n"])
+    return got / weight_of(weighted)
+
+
+def best_window(every: Column, weighted: Column, size: Column) -> Column:
+    """(similarity, back) of the most similar window, the first of equal ones; back is its start, negative.
+
+    At the end of a text the window is moved inside; a text shorter than the item is one window.
+    """
+    def rated(h: Column) -> Column:
+        own, last = F.transform(weighted, lambda x: x["h"]), F.greatest(F.lit(0), F.size(h) - size)
+        places = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda p: F.array_contains(own, F.get(h, p)))
+        starts = F.array_distinct(F.transform(places, lambda p: F.least(p, last)))
+        return F.array_max(F.transform(starts, lambda s: F.struct(
+            similarity(weighted, F.slice(h, s + 1, size)).alias("similarity"), (-s).alias("back"))))
+
+    return let(every, rated)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: list[str], text: str = "text", item: str = "item_id",
@@ -105,27 +101,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: list[str], text: str = "te
 
     Items without a word or id leak nowhere; items of equal text are one, under their smallest id.
     """
-    items = stored(items_of(benchmark, item))
-    n = items.count()
-    blocks = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
-    index = items.select("item", "size", "fp", F.explode(F.transform(blocks, lambda b: F.struct(
-        b.alias("block"), block_value(F.col("fp"), b).alias("v")))).alias("b")).select(
-        "item", "size", "fp", "b.block", F.explode(near_values(F.col("b.v"))).alias("v"))
-    found = stored(windows(docs, items, key, text).withColumn("print", simhash(F.col("hashes"))))
-    probes = found.select(*key, "size", "start", "print", F.explode(F.transform(blocks, lambda b: F.struct(
-        b.alias("block"), block_value(F.col("print"), b).alias("v")))).alias("b")).select(*key, "size", "start", "print", "b.block", "b.v")
-    pairs = (probes.join(_small(index, n * BLOCKS * 37), ["size", "block", "v"])
-             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("print"))) <= RADIUS)
-             .select(*key, "size", "start", "item").distinct())
-    # Null keys must meet as well, hence the null-safe comparison.
-    other = found.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("size").alias("_size"), F.col("start").alias("_start"), "hashes")
-    match = (F.col("size") == F.col("_size")) & (F.col("start") == F.col("_start"))
-    for k in key:
+    items = stored(items_of(benchmark, item, least=least))
+    n, listed = items.count(), items.select("item", F.explode("head").alias("h"))
+    met = docs.select(*key, F.explode(shingles(text_of(text))).alias("h")).join(_small(listed, listed.count()), "h")
+    pairs = stored(met.select(*[F.col(k).alias(f"_{k}") for k in key], "item").distinct())
+    match = F.lit(True)
+    for k in key:  # null keys must meet as well
         match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    rated = pairs.join(other, match).join(_small(items.select("item", "weighted"), n * 40), "item").withColumn(
-        "similarity", similarity(F.col("weighted"), F.col("hashes")))
-    return rated.where(F.col("similarity") >= least - 1e-9).groupBy(*key, "item").agg(
-        F.max("similarity").alias("similarity"), F.min_by("start", F.struct(-F.col("similarity"), "start")).alias("start"))
+    rated = docs.select(*key, F.col(text).alias("_body")).join(pairs, match).join(_small(items, n * 40), "item").withColumn(
+        "best", best_window(shingles(text_of("_body")), F.col("weighted"), F.col("size")))
+    return rated.where(F.col("best.similarity") >= least - 1e-9).groupBy(*key, "item").agg(
+        F.max("best.similarity").alias("similarity"), F.min(-F.col("best.back")).alias("start"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

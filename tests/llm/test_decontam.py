@@ -70,3 +70,24 @@ def test_equals_brute_force(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted([d for d, _ in docs if d not in want] + [502])
     assert decontaminate(frame.limit(0), bench).count() == 0
     assert not any(r.leaked for r in decontaminate(frame, bench.limit(0)).collect())
+
+
+def test_items_that_share_most_of_their_shingles(spark):
+    rng = random.Random(3)
+    word = lambda: f"q{rng.randrange(10**6)}"
+    preamble = [word() for _ in range(24)]
+    items = [(i, " ".join(preamble + [word() for _ in range(13)])) for i in range(200)]
+    docs = []
+    for i, t in items[:60]:  # the question alone, behind other words: similarity 0.8 by weight, 13 of 33 shingles
+        docs.append((i, " ".join([word() for _ in range(30)] + t.split()[20:] + [word() for _ in range(i % 3)])))
+    for i, t in items[60:80]:  # words put into the item
+        w = t.split()
+        at = rng.randrange(5, 33)
+        docs.append((i, " ".join([word() for _ in range(9)] + w[:at] + [word() for _ in range(rng.randrange(1, 9))] + w[at:])))
+    docs.append((900, " ".join(preamble + [word() for _ in range(13)])))
+    want = brute(docs, items)
+    assert len(want) > 60 and 900 not in want
+    got = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    for r in got:
+        assert r["items"] == sorted(want.get(r.doc_id, {})), r.doc_id
+        assert r.doc_id not in want or abs(r.similarity - max(want[r.doc_id].values())) < 1e-9
