@@ -1,10 +1,11 @@
 """Personal data: fixed formats, and identifiers found by bootstrapping from their context.
 
-1. One narrow pass finds the base kinds in every text and lists tokens that look like identifiers
-   (they hold a digit) with a lexical pattern: the two words before, or a name such as `password=`.
-2. Tokens of a base kind are the seeds of a graph of patterns and instances. Rounds of two joins score it: a
-   pattern by the part of its tokens that are known, an instance by the patterns it is seen with.
-3. Patterns that are trusted in the end mark the tokens they stand before as further spans.
+1. One narrow pass finds the base kinds in every text and joins each span to one word, marked with its kind.
+2. Words have a lexical pattern: the two words before, or a name such as `password=`. All base spans are the seeds of a graph of patterns and
+   instances. Patterns before enough known instances are induced; every word after one is an instance, known or not.
+   Rounds of two joins score the graph: a pattern by the part of its instances that are known, an instance by the patterns it is seen with.
+   Instances that become known are looked up in all texts, which induces further patterns.
+3. Patterns that are trusted in the end mark the words they stand before as further spans.
 
 Only DataFrame functions run. Counts are combined before they are shuffled; edges meet scores in plain
 sort-merge joins, which Spark splits where a pattern or a token holds much of the corpus.
@@ -28,14 +29,17 @@ CARD = r"(?:(?<![0-9])|\G)[0-9](?:[ -]?[0-9])++"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 BYTE = r"(?=[0-9])0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])?"
 
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"  # a word with a digit
+MARKS = "\ue000\ue001\ue002\ue003"  # before a base span, one for each kind
+GLUE, OTHER = "\ue004", "\ue005"       # a blank inside a span; what stands for these characters if a text holds them
 HEAD = r"^(?:[\p{L}_-]++[=:])?[\"'(\[<]*"
 TAIL = r"[.,;:!?\"')\]>]+$"
-CONTEXT = 60       # characters before a token in which its two words are looked for
+CONTEXT = 60       # characters of a pattern at most
 ROUNDS = 3
 TRUST = 0.75       # score from which a pattern marks tokens
 SUPPORT = 3        # different known instances that a pattern needs
 DOUBT = 1.0        # unknown instances that every pattern is credited with
+WITNESS = 0.5      # score from which a pattern speaks for its instances; below, most of them are something else
+BROADCAST = 200_000  # most patterns or instances that are broadcast; more are shuffled
 
 
 def _digits(value: Column) -> Column:
@@ -103,50 +107,108 @@ def base_spans(text: Column) -> Column:
                        lambda s: F.struct(s["start"].alias("start"), s["order"].alias("order"), s["end"].alias("end"), s["kind"].alias("kind")))
 
 
-def _token_kind(token: Column) -> Column:
-    return (F.when(token.rlike(EMAIL), "email").when(token.rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$"), "ip")
-            .when(token.rlike(r"^[0-9][0-9-]*+$") & _card(token), "card")
-            .when(token.rlike(r"^\+[0-9]"), "phone"))
-
+def marked(text: Column, spans: Column) -> Column:
+    """The text with a mark before each span and no blanks inside; of overlapping spans the first counts."""
+    def add(state: Column, s: Column) -> Column:
+        mark = F.substring(F.lit(MARKS), s["order"] + 1, F.lit(1))
+        value = F.regexp_replace(text.substr(s["start"] + 1, s["end"] - s["start"]), r"\s", GLUE)
+        return F.when(s["start"] < state["at"], state).otherwise(F.struct(
+            s["end"].alias("at"), F.concat(state["out"], F.array(text.substr(state["at"] + 1, s["start"] - state["at"]), mark, value)).alias("out")))
 
-def _candidate(match: Column, start: Column, gap: Column) -> Column:
-    head = F.regexp_extract(match, HEAD, 0)
-    def cut(h: Column) -> Column:
-        value = F.regexp_replace(match.substr(F.length(h) + 1, F.length(match)), TAIL, "")
-        name = F.lower(F.regexp_extract(h, r"[\p{L}_-]++[=:]", 0))
-        near = F.lower(F.regexp_replace(F.substring(gap, -CONTEXT, CONTEXT), "[0-9]", "0"))
-        words = F.regexp_extract(near, r"(\S+(?:\s+\S+)?)\s*$", 1)
-        return let(value, lambda v: F.struct(
-            (start + F.length(h)).alias("start"), (start + F.length(h) + F.length(v)).alias("end"), v.alias("value"),
-            F.when(name != "", name).otherwise(F.regexp_extract(words, r"(\S+(?:\s+\S+)?)$", 1)).alias("pattern"),
-            _token_kind(v).alias("kind")))
-    return let(head, cut)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, lambda state: F.concat(
+        F.array_join(state["out"], ""), text.substr(state["at"] + 1, F.length(text))))).otherwise(text)
 
 
 def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per document: key, row (a fingerprint of key and text), base spans, candidate tokens."""
-    source = text_of(text)
-    tokens = F.filter(located(source, TOKEN, _candidate), lambda c: (c["pattern"] != "") & (F.length(c["value"]) >= 5))
-    return docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"),
-                       base_spans(source).alias("base"), tokens.alias("tokens"))
+    """One row per document: key, row (a fingerprint of key and text), base spans, marked text."""
+    source = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"), base_spans(text_of(text)).alias("base"),
+                         F.translate(text_of(text), MARKS + GLUE, OTHER * 5).alias("plain"))
+    return source.select("key", "row", "base", marked(F.col("plain"), F.col("base")).alias("marked"))
+
+
+def _parts(word: Column) -> tuple[Column, Column, Column]:
+    """Head, value and name of a word."""
+    # Most words have neither a head nor a tail; for those no pattern runs.
+    named = F.contains(word, F.lit("=")) | F.contains(word, F.lit(":"))
+    head = F.when(named | F.substring(word, 1, 1).isin(*"\"'([<"), F.regexp_extract(word, HEAD, 0)).otherwise("")
+    rest = word.substr(F.length(head) + 1, F.length(word))
+    value = F.when(F.substring(word, -1, 1).isin(*".,;:!?\"')]>"), F.regexp_replace(rest, TAIL, "")).otherwise(rest)
+    name = F.when(named, F.lower(F.regexp_extract(head, r"[\p{L}_-]++[=:]", 0))).otherwise("")
+    return head, value, name
+
+
+def words(scanned: DataFrame) -> DataFrame:
+    """One row per word with a pattern: key, row, i (place among the words), pattern, instance, kind (null: unknown).
+
+    Words that hold a base span, but do not begin with it, are left out.
+    """
+    def split(text: Column) -> Column:
+        return F.array_remove(F.split(text, r"\s+"), "")
+
+    near = split(F.regexp_replace(F.lower("marked"), "[0-9]", "0"))
+    both = let(near, lambda n: F.transform(split(F.col("marked")), lambda w, i: F.struct(
+        i.alias("i"), w.alias("w"), F.concat_ws(" ", F.get(n, i - 2), F.get(n, i - 1)).alias("two"))))
+    each = scanned.select("key", "row", F.explode(both).alias("x")).select("key", "row", "x.i", "x.w", "x.two")
+    _, value, name = _parts(F.col("w"))
+    each = each.select("key", "row", "i", F.substring(F.when(name != "", name).otherwise(F.col("two")), -CONTEXT, CONTEXT).alias("pattern"),
+                       value.alias("instance"))
+    kind = F.get(F.array(*map(F.lit, KINDS)), F.instr(F.lit(MARKS), F.substring("instance", 1, 1)) - 1)
+    return each.where("pattern <> '' AND instance <> ''").withColumn("kind", kind).where(
+        F.col("kind").isNotNull() | ~F.col("instance").rlike(f"[{MARKS}]"))
+
+
+def _doubt(score: str) -> Column:
+    return F.log(F.greatest(1 - F.col(score), F.lit(1e-9)))
+
+
+def _listed(table: DataFrame) -> tuple[DataFrame, int]:
+    table = stored(table)
+    n = table.count()
+    return (F.broadcast(table) if n <= BROADCAST else table), n
 
 
 def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
     """Patterns (pattern, kind, score) in which the graph ends up trusting; one kind per pattern."""
-    found = scanned.select(F.explode("tokens").alias("t")).select("t.pattern", F.col("t.value").alias("instance"), "t.kind")
-    edges = stored(found.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
-    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    seeds = edges.where("kind IS NOT NULL").groupBy("instance", "kind").agg(F.lit(1.0).alias("s"))
-    known, patterns = seeds, None
-    for _ in range(rounds):
-        sums = (edges.select("pattern", "instance").join(known, "instance").groupBy("pattern", "kind")
+    every = words(scanned)
+    unknown = every.where("kind IS NULL").select("pattern", "instance")
+    edges = stored(words(scanned.where(F.size("base") > 0)).where("kind IS NOT NULL").groupBy("pattern", "instance", "kind").agg(F.lit(1).alias("one")).drop("one"))
+    seeds = edges.select("instance", "kind").distinct().withColumns({"s": F.lit(1.0), "log": F.lit(None).cast("double")})
+    induced = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support).select("pattern")
+    asked, looked_up, known, patterns = None, None, seeds, None
+    for last in [False] * (rounds - 1) + [True]:
+        if induced is not None:
+            new, n = _listed(induced)
+            asked = new if asked is None else asked.unionByName(new)
+            if n:
+                found = unknown.join(new, "pattern").groupBy("pattern", "instance").agg(F.lit(None).cast("string").alias("kind"))
+                edges = stored(edges.unionByName(found))
+        size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+        told = edges.select("pattern", "instance").join(known, "instance")
+        if patterns is not None:  # what a pattern itself has said of an instance does not speak for the pattern
+            told = told.join(patterns.where(F.col("score") >= WITNESS), ["pattern", "kind"], "left").withColumn(
+                "s", F.when(F.col("log").isNull(), F.col("s")).otherwise(1 - F.exp(F.col("log") - F.coalesce(_doubt("score"), F.lit(0.0)))))
+        sums = (told.groupBy("pattern", "kind")
                 .agg(F.sum("s").alias("hits"), F.count(F.when(F.col("s") >= trust, 1)).alias("known")))
-        patterns = stored(sums.join(size, "pattern").where(F.col("known") >= support)
+        # A pattern whose other words have not been counted is not judged.
+        patterns = stored(sums.join(size, "pattern").where(F.col("known") >= support).join(asked, "pattern", "left_semi")
                           .select("pattern", "kind", (F.col("hits") / (F.col("n") + DOUBT)).alias("score")))
+        if last:
+            break
         # Several patterns back an instance like independent witnesses; seeds stay certain.
-        witnessed = (edges.where("kind IS NULL").select("pattern", "instance").join(patterns, "pattern").groupBy("instance", "kind")
-                     .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("s")))
-        known = stored(seeds.unionByName(witnessed))
+        witnessed = stored(edges.where("kind IS NULL").select("pattern", "instance").join(patterns.where(F.col("score") >= WITNESS), "pattern")
+                           .groupBy("instance", "kind")
+                           .agg(F.sum(_doubt("score")).alias("log")).select("instance", "kind", (1 - F.exp("log")).alias("s"), "log"))
+        known = seeds.unionByName(witnessed)
+        fresh = witnessed.where(F.col("s") >= trust).select("instance").distinct()
+        fresh, n = _listed(fresh if looked_up is None else fresh.join(looked_up, "instance", "left_anti"))
+        induced = None
+        if n:
+            looked_up = fresh if looked_up is None else looked_up.unionByName(fresh)
+            more = stored(unknown.join(fresh, "instance").distinct())
+            held = edges.select("pattern", "instance").join(known.where(F.col("s") >= trust).select("instance").distinct(), "instance", "left_semi")
+            induced = (more.select("pattern", "instance").union(held.select("pattern", "instance")).distinct().groupBy("pattern")
+                       .agg(F.count("*").alias("n")).where(F.col("n") >= support).select("pattern").join(asked, "pattern", "left_anti"))
     best = patterns.where(F.col("score") >= trust).groupBy("pattern").agg(
         F.max(F.struct("score", "kind")).alias("b"))
     return best.select("pattern", F.col("b.kind").alias("kind"), F.col("b.score").alias("score"))
@@ -155,22 +217,30 @@ def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TR
 def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: key, row, base (array of spans) and spans (base and discovered ones).
 
-    Discovered spans have order 4 and kind `<kind>_context`; those that touch a base span are left out.
+    Discovered spans have order 4 and kind `<kind>_context`; none touches a base span.
     A null or empty text has none; rows of equal key and text get equal spans, and a null key is a key
     like any other. Columns of `docs` other than key and text are not read.
     """
     scanned = stored(scan(docs, key, text))
-    patterns = trusted_patterns(scanned, **options)
-    tokens = scanned.select("key", "row", F.explode("tokens").alias("t")).where("t.kind IS NULL")
-    new = (tokens.join(patterns.withColumnRenamed("kind", "guess"), tokens["t.pattern"] == patterns["pattern"])
-           .groupBy("key", "row").agg(F.collect_set(F.struct(
-               F.col("t.start").alias("start"), F.lit(len(KINDS)).alias("order"), F.col("t.end").alias("end"),
-               F.concat("guess", F.lit("_context")).alias("kind"))).alias("new"))
+    patterns, _ = _listed(trusted_patterns(scanned, **options).select("pattern", F.col("kind").alias("guess")))
+    new = (words(scanned).where("kind IS NULL").join(patterns, "pattern").groupBy("key", "row")
+           .agg(F.map_from_entries(F.collect_set(F.struct("i", "guess"))).alias("new"))
            .withColumnRenamed("key", "k").withColumnRenamed("row", "r"))
-    free = F.filter("new", lambda n: ~F.exists("base", lambda b: (b["start"] < n["end"]) & (b["end"] > n["start"])))
-    return scanned.join(new, F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left").select(
+
+    def place(z: Column, guess: Column) -> Column:
+        def span(start: Column) -> Column:
+            head, value, _ = _parts(z["match"])
+            return F.struct((start + F.length(head)).alias("start"), F.lit(len(KINDS)).alias("order"),
+                            (start + F.length(head) + F.length(value)).alias("end"), F.concat(guess, F.lit("_context")).alias("kind"))
+        # Marks are not part of the text.
+        return let(F.length(F.translate(F.substring(F.col("marked"), F.lit(1), z["start"]), MARKS, "")), span)
+
+    all_words = located(F.col("marked"), r"\S++")
+    found = let(all_words, lambda w: F.transform(F.map_entries("new"), lambda e: place(F.get(w, e["key"]), e["value"])))
+    joined = scanned.join(new, F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left")
+    return joined.select(
         F.col("key").alias(key), "row", "base",
-        F.when(F.col("new").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", free))).alias("spans"))
+        F.when(F.col("new").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", found))).alias("spans"))
 
 
 def written(spans: Column) -> Column:

@@ -55,3 +55,16 @@ def test_context_finds_unseen_identifiers(spark):
     assert masked[201] is None and masked[202] == ""
     assert mask_personal_data(docs.limit(0)).columns == docs.columns
     assert personal_spans(docs.limit(0)).count() == 0
+
+
+def test_seeds_with_blanks_and_identifiers_without_digits(spark):
+    rows = [(i, f"so please (call me) at +1 (01{i}) 555-77{10 + i}. thanks") for i in range(8)]
+    rows += [(20 + i, f"well mail goes to {a}@post.example today") for i, a in enumerate(["ann", "bob", "cy", "dee", "eve", "fay", "gus", "hal"])]
+    rows += [(50, "so +1 (312) 555-0100 please call me) at nightline, thanks"), (51, "well mail goes to zed today")]
+    # A pattern that stands before many other words is not trusted.
+    rows += [(60 + i, f"it was seen on 10.0.0.{i} again") for i in range(5)] + [(70 + i, f"it was seen on {w} again") for i, w in enumerate("monday tuesday friday sunday".split())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, dict(rows)[r.doc_id][s.start:s.end]) for s in r.spans] for r in personal_spans(docs).collect()}
+    assert got[50] == [("phone", "+1 (312) 555-0100"), ("phone_context", "nightline")]
+    assert got[51] == [("email_context", "zed")]
+    assert all(got[70 + i] == [] for i in range(4)) and got[60] == [("ip", "10.0.0.0")]
