@@ -38,4 +38,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_lines, n_stop_words FROM m
 """
 
-ORACLES = {"op1_quality_rules": QUALITY}
+BLANKS = r"""' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"""
+
+LINES = f"""
+WITH each AS (SELECT doc_id, i, line, translate(trim(line, {BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+many AS (SELECT k, max(doc_id) AS keeper FROM each WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM each LEFT JOIN many USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ORACLES = {"op1_quality_rules": QUALITY, "op12_line_dedup": LINES}

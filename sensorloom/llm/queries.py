@@ -10,6 +10,7 @@ from .common import table, tokenizer_path
 from .decontam import decontaminate
 from .html import extract
 from .licenses import license_scan
+from .lines import drop_repeated_lines
 from .oracles import ORACLES as ORACLES
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
@@ -85,6 +86,11 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_quality_rules, op2_chat_format, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
-    op8_decontamination, op9_repeated_strings, op10_main_text)}
+    op8_decontamination, op9_repeated_strings, op10_main_text, op12_line_dedup)}
