@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat
-from .common import table, tokenizer_path
+from .common import let, table, text_of, tokenizer_path, words_of
 from .decontam import decontaminate
 from .html import extract
 from .licenses import license_scan
@@ -14,6 +14,7 @@ from .lines import drop_repeated_lines
 from .oracles import ORACLES as ORACLES
 from .pii import KINDS, personal_spans, written
 from .quality import quality_rules
+from .runs import periodic_runs
 from .simhash import near_duplicates
 from .suffix import repeated_spans
 from .toxicity import toxicity
@@ -86,6 +87,36 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents by the contract of op11: the words of about a tenth of them repeat from one place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+
+        def by_place(a: Column) -> Column:
+            p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+            return F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
+
+        return F.when(n > 0, F.array_join(let((g % n).cast("int"), by_place), " ")).otherwise("")
+
+    return docs.withColumn("text", F.when(h % 10 == 0, let(words_of(text_of()), repeated)).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    out = found.withColumn("best", longest)
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -93,4 +124,4 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {query.__name__: query for query in (
     op1_quality_rules, op2_chat_format, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
-    op8_decontamination, op9_repeated_strings, op10_main_text, op12_line_dedup)}
+    op8_decontamination, op9_repeated_strings, op10_main_text, op11_periodic_runs, op12_line_dedup)}
