@@ -51,4 +51,32 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op1_quality_rules": QUALITY, "op12_line_dedup": LINES}
+VARIANTS = """
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS run FROM documents),
+each AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+hashed AS (SELECT run, k, xor(list_reduce(flatten(list_transform(string_split(doc_id || ':' || run, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195, unicode(ch)::BIGINT - 64] END)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM each, crc),
+spelt AS (SELECT k, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(k)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cuts AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM words, unnest(range(1, length(word) + 1)) r(i)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM pairs GROUP BY word),
+known AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+    CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+led AS (
+  SELECT word, word AS spot FROM known
+  UNION ALL SELECT led.word, known.form FROM led JOIN known ON led.spot = known.word WHERE known.form IS NOT NULL)
+SELECT word, form, led.spot AS root, n, n_near, form_n
+FROM known JOIN led USING (word) JOIN (SELECT word AS spot FROM known WHERE form IS NULL) ends USING (spot)
+"""
+
+ORACLES = {"op1_quality_rules": QUALITY, "op12_line_dedup": LINES, "op13_spelling_variants": VARIANTS}

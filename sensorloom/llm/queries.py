@@ -18,6 +18,7 @@ from .runs import periodic_runs
 from .simhash import near_duplicates
 from .suffix import repeated_spans
 from .toxicity import toxicity
+from .variants import spelling_variants
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +123,11 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), every=97)
+
+
 QUERIES = {query.__name__: query for query in (
     op1_quality_rules, op2_chat_format, op3_toxicity_chain, op4_license_scan, op5_simhash_dedup, op6_personal_data, op7_bpe_codec,
-    op8_decontamination, op9_repeated_strings, op10_main_text, op11_periodic_runs, op12_line_dedup)}
+    op8_decontamination, op9_repeated_strings, op10_main_text, op11_periodic_runs, op12_line_dedup,
+    op13_spelling_variants)}
