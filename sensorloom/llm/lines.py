@@ -174,7 +174,8 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
                                              names=["key", "n_lines", "n_dropped", "kept"])
 
     kind = source.schema["key"].dataType.simpleString()
-    done = source.join(lost, "key", "left").select("key", "bytes", "names").mapInArrow(
+    # Texts meet their lists in a shuffle at every size; lists grow with the corpus, so they are no broadcast side.
+    done = source.join(lost.hint("merge"), "key", "left").select("key", "bytes", "names").mapInArrow(
         batches, f"key {kind}, n_lines long, n_dropped long, kept binary")
     return done.select(F.col("key").alias(key), "n_lines", "n_dropped", F.col("kept").cast("string").alias("kept"))
 
