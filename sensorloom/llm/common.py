@@ -48,3 +48,16 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return os.fspath(public_tokenizers.path(name))
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for internal columns that no column of `df` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -1,11 +1,15 @@
 """Personal data: fixed formats, and identifiers found by bootstrapping from their context.
 
-1. One narrow pass finds the base kinds in every text and joins each span to one word, marked with its kind.
-2. Words have a lexical pattern: the two words before, or a name such as `password=`. All base spans are the seeds of a graph of patterns and
-   instances. Patterns before enough known instances are induced; every word after one is an instance, known or not.
-   Rounds of two joins score the graph: a pattern by the part of its instances that are known, an instance by the patterns it is seen with.
-   Instances that become known are looked up in all texts, which induces further patterns.
-3. Patterns that are trusted in the end mark the words they stand before as further spans.
+1. One narrow pass finds the base kinds in every text and joins each span to one word, marked with its kind. Long words of mixed letters and
+   digits, as keys and tokens are, are seeds too, though no spans by themselves.
+2. Words have a lexical pattern: the two words before, or a name such as `password=`. Patterns are 64-bit hashes. All seeds
+   are one end of a graph of patterns and instances; patterns before enough known instances are induced.
+3. Most induced patterns are common words that happened to stand before a seed. The texts with seeds, a small part of all, already hold
+   enough other words after those: what is unknown there is unknown everywhere, so a pattern that cannot reach `WITNESS` there cannot
+   reach it at all in this round. Only the others are looked up in all texts, and every word after them is an instance, known or not.
+4. The graph is scored: a pattern by the part of its instances that are known, an instance by the patterns it is seen with.
+   Instances that become known are looked up in all texts, which induces further patterns; rounds end when none is new.
+5. Patterns that are trusted in the end mark the words they stand before as further spans.
 
 Only DataFrame functions run. Counts are combined before they are shuffled; edges meet scores in plain
 sort-merge joins, which Spark splits where a pattern or a token holds much of the corpus.
@@ -16,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stored, text_of
+from .common import fresh_names, let, stored, text_of
 
 #: Fixed order of the base kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -32,9 +36,9 @@ BYTE = r"(?=[0-9])0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])?"
 MARKS = "\ue000\ue001\ue002\ue003"  # before a base span, one for each kind
 GLUE, OTHER = "\ue004", "\ue005"       # a blank inside a span; what stands for these characters if a text holds them
 HEAD = r"^(?:[\p{L}_-]++[=:])?[\"'(\[<]*"
-TAIL = r"[.,;:!?\"')\]>]+$"
-CONTEXT = 60       # characters of a pattern at most
-ROUNDS = 3
+TAIL = r"(?:[\"'][^\p{L}\p{N}]*|[.,;:!?\"')\]>]+)$"
+ENDS = ".,;:!?\"')]>#$%&*|"  # last characters of words that may have a tail
+SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{20}"  # what a text with a key or token holds
 TRUST = 0.75       # score from which a pattern marks tokens
 SUPPORT = 3        # different known instances that a pattern needs
 DOUBT = 1.0        # unknown instances that every pattern is credited with
@@ -121,10 +125,11 @@ def marked(text: Column, spans: Column) -> Column:
 
 
 def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per document: key, row (a fingerprint of key and text), base spans, marked text."""
+    """One row per document: key, row (a fingerprint of key and text), base spans, marked text, whether it may hold a seed."""
     source = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("row"), base_spans(text_of(text)).alias("base"),
                          F.translate(text_of(text), MARKS + GLUE, OTHER * 5).alias("plain"))
-    return source.select("key", "row", "base", marked(F.col("plain"), F.col("base")).alias("marked"))
+    return source.select("key", "row", "base", marked(F.col("plain"), F.col("base")).alias("marked"),
+                         ((F.size("base") > 0) | F.col("plain").rlike(SECRET)).alias("seeded"))
 
 
 def _parts(word: Column) -> tuple[Column, Column, Column]:
@@ -133,31 +138,60 @@ def _parts(word: Column) -> tuple[Column, Column, Column]:
     named = F.contains(word, F.lit("=")) | F.contains(word, F.lit(":"))
     head = F.when(named | F.substring(word, 1, 1).isin(*"\"'([<"), F.regexp_extract(word, HEAD, 0)).otherwise("")
     rest = word.substr(F.length(head) + 1, F.length(word))
-    value = F.when(F.substring(word, -1, 1).isin(*".,;:!?\"')]>"), F.regexp_replace(rest, TAIL, "")).otherwise(rest)
+    value = F.when(F.substring(word, -1, 1).isin(*ENDS), F.regexp_replace(rest, TAIL, "")).otherwise(rest)
     name = F.when(named, F.lower(F.regexp_extract(head, r"[\p{L}_-]++[=:]", 0))).otherwise("")
     return head, value, name
 
 
-def words(scanned: DataFrame) -> DataFrame:
-    """One row per word with a pattern: key, row, i (place among the words), pattern, instance, kind (null: unknown).
+def _secret(value: Column) -> Column:
+    """Is the word long, and mixed of many different letters and digits?"""
+    def some(of: str) -> Column:
+        return F.length(F.regexp_replace(value, f"[^{of}]", "")) >= 4
 
-    Words that hold a base span, but do not begin with it, are left out.
-    """
+    return ((F.length(value) >= 20) & value.rlike("^[A-Za-z0-9_+/-]{20,}=*$") & some("0-9") & some("A-Za-z")
+            & (F.size(F.array_distinct(F.split(value, ""))) >= 10))
+
+
+def _hashed(scanned: DataFrame) -> DataFrame:
+    """One row per document: key, row, its words, and the pattern of each of them (null: none)."""
     def split(text: Column) -> Column:
         return F.array_remove(F.split(text, r"\s+"), "")
 
-    near = split(F.regexp_replace(F.lower("marked"), "[0-9]", "0"))
-    both = let(near, lambda n: F.transform(split(F.col("marked")), lambda w, i: F.struct(
-        i.alias("i"), w.alias("w"), F.concat_ws(" ", F.get(n, i - 2), F.get(n, i - 1)).alias("two"))))
-    each = scanned.select("key", "row", F.explode(both).alias("x")).select("key", "row", "x.i", "x.w", "x.two")
-    _, value, name = _parts(F.col("w"))
-    each = each.select("key", "row", "i", F.substring(F.when(name != "", name).otherwise(F.col("two")), -CONTEXT, CONTEXT).alias("pattern"),
-                       value.alias("instance"))
-    kind = F.get(F.array(*map(F.lit, KINDS)), F.instr(F.lit(MARKS), F.substring("instance", 1, 1)) - 1)
-    return each.where("pattern <> '' AND instance <> ''").withColumn("kind", kind).where(
+    def pattern(near: Column):
+        def of(word: Column, i: Column) -> Column:
+            two = F.when(i > 0, F.xxhash64(F.get(near, i - 2), F.get(near, i - 1)))
+            named = F.contains(word, F.lit("=")) | F.contains(word, F.lit(":"))
+            return F.when(named, let(_parts(word)[2], lambda name: F.when(name != "", F.xxhash64(name, F.lit(1))).otherwise(two))).otherwise(two)
+        return of
+
+    near = split(F.translate(F.lower("marked"), "123456789", "000000000"))
+    body = scanned.select("key", "row", split(F.col("marked")).alias("words"), near.alias("near"))
+    return body.select("key", "row", "words", let(F.col("near"), lambda n: F.transform("words", pattern(n))).alias("patterns"))
+
+
+def _spelt(places: DataFrame) -> DataFrame:
+    """Places (key, row, words, i, pattern) with instance and kind (null: unknown).
+
+    Words that hold a base span, but do not begin with it, are left out.
+    """
+    _, value, _ = _parts(F.col("w"))
+    each = places.select("key", "row", "i", "pattern", F.get("words", F.col("i")).alias("w")).select("key", "row", "i", "pattern", value.alias("instance"))
+    base = F.get(F.array(*map(F.lit, KINDS)), F.instr(F.lit(MARKS), F.substring("instance", 1, 1)) - 1)
+    kind = F.coalesce(base, F.when(_secret(F.col("instance")), F.lit("secret")))
+    return each.where("instance <> ''").withColumn("kind", kind).where(
         F.col("kind").isNotNull() | ~F.col("instance").rlike(f"[{MARKS}]"))
 
 
+def _places(scanned: DataFrame) -> DataFrame:
+    # Outer, since Spark tests the array of a plain explode first, and would hash all words twice for that.
+    return _hashed(scanned).select("key", "row", "words", F.posexplode_outer("patterns").alias("i", "pattern")).where("pattern IS NOT NULL")
+
+
+def words(scanned: DataFrame) -> DataFrame:
+    """One row per word with a pattern: key, row, i (place among the words), pattern, instance, kind (null: unknown)."""
+    return _spelt(_places(scanned))
+
+
 def _doubt(score: str) -> Column:
     return F.log(F.greatest(1 - F.col(score), F.lit(1e-9)))
 
@@ -168,50 +202,63 @@ def _listed(table: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(table) if n <= BROADCAST else table), n
 
 
-def trusted_patterns(scanned: DataFrame, rounds: int = ROUNDS, trust: float = TRUST, support: int = SUPPORT) -> DataFrame:
-    """Patterns (pattern, kind, score) in which the graph ends up trusting; one kind per pattern."""
-    every = words(scanned)
-    unknown = every.where("kind IS NULL").select("pattern", "instance")
-    edges = stored(words(scanned.where(F.size("base") > 0)).where("kind IS NOT NULL").groupBy("pattern", "instance", "kind").agg(F.lit(1).alias("one")).drop("one"))
+def _scores(edges: DataFrame, known: DataFrame, patterns: DataFrame | None, trust: float) -> DataFrame:
+    """Of the patterns in `edges`: pattern, kind, score (part of its instances that are known), known (how many surely)."""
+    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    told = edges.select("pattern", "instance").join(known, "instance")
+    if patterns is not None:  # what a pattern itself has said of an instance does not speak for the pattern
+        told = told.join(patterns.where(F.col("score") >= WITNESS).select("pattern", "kind", "score"), ["pattern", "kind"], "left").withColumn(
+            "s", F.when(F.col("log").isNull(), F.col("s")).otherwise(1 - F.exp(F.col("log") - F.coalesce(_doubt("score"), F.lit(0.0)))))
+    sums = told.groupBy("pattern", "kind").agg(F.sum("s").alias("hits"), F.count(F.when(F.col("s") >= trust, 1)).alias("known"))
+    return sums.join(size, "pattern").select("pattern", "kind", (F.col("hits") / (F.col("n") + DOUBT)).alias("score"), "known")
+
+
+def bootstrap(scanned: DataFrame, trust: float = TRUST, support: int = SUPPORT) -> tuple[DataFrame, DataFrame] | None:
+    """Trusted patterns (pattern, kind, score), one kind each, and places (key, row, i, pattern) of all patterns looked up.
+
+    None if no pattern has been worth looking up.
+    """
+    around = stored(words(scanned.where("seeded")))
+    local = around.select("pattern", "instance")  # of texts with seeds, all words
+    edges = stored(around.where("kind IS NOT NULL").select("pattern", "instance", "kind").distinct())
     seeds = edges.select("instance", "kind").distinct().withColumns({"s": F.lit(1.0), "log": F.lit(None).cast("double")})
-    induced = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= support).select("pattern")
-    asked, looked_up, known, patterns = None, None, seeds, None
-    for last in [False] * (rounds - 1) + [True]:
-        if induced is not None:
-            new, n = _listed(induced)
-            asked = new if asked is None else asked.unionByName(new)
-            if n:
-                found = unknown.join(new, "pattern").groupBy("pattern", "instance").agg(F.lit(None).cast("string").alias("kind"))
-                edges = stored(edges.unionByName(found))
-        size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-        told = edges.select("pattern", "instance").join(known, "instance")
-        if patterns is not None:  # what a pattern itself has said of an instance does not speak for the pattern
-            told = told.join(patterns.where(F.col("score") >= WITNESS), ["pattern", "kind"], "left").withColumn(
-                "s", F.when(F.col("log").isNull(), F.col("s")).otherwise(1 - F.exp(F.col("log") - F.coalesce(_doubt("score"), F.lit(0.0)))))
-        sums = (told.groupBy("pattern", "kind")
-                .agg(F.sum("s").alias("hits"), F.count(F.when(F.col("s") >= trust, 1)).alias("known")))
-        # A pattern whose other words have not been counted is not judged.
-        patterns = stored(sums.join(size, "pattern").where(F.col("known") >= support).join(asked, "pattern", "left_semi")
-                          .select("pattern", "kind", (F.col("hits") / (F.col("n") + DOUBT)).alias("score")))
-        if last:
+    more, asked, looked_up, known, patterns, hits = edges.select("pattern", "instance"), None, None, seeds, None, None
+    while True:
+        sure = known.where(F.col("s") >= trust).select("instance").distinct()
+        induced = more.distinct().join(sure, "instance", "left_semi").groupBy("pattern").agg(F.count("*").alias("k")).where(
+            F.col("k") >= support).select("pattern")
+        induced, n = _listed(induced if asked is None else induced.join(asked, "pattern", "left_anti"))
+        if not n:
             break
+        near = more.union(local.join(induced, "pattern", "left_semi")).distinct().join(induced, "pattern", "left_semi")
+        new, n = _listed(_scores(near, known, patterns, trust).where((F.col("score") >= WITNESS) & (F.col("known") >= support)).select("pattern").distinct())
+        if not n:
+            break
+        asked = new if asked is None else asked.unionByName(new)
+        found = stored(_spelt(_places(scanned).join(new, "pattern")).where("kind IS NULL").select("key", "row", "i", "pattern", "instance"))
+        held = edges.unionByName(found.groupBy("pattern", "instance").agg(F.lit(None).cast("string").alias("kind")))
+        edges = stored(held)
+        places = around.where("kind = 'secret'").join(new, "pattern", "left_semi").select("key", "row", "i", "pattern").unionByName(found.drop("instance"))
+        hits = places if hits is None else hits.unionByName(places)
+        own = edges.join(asked, "pattern", "left_semi")
+        patterns = stored(_scores(own, known, patterns, trust).where(F.col("known") >= support))
         # Several patterns back an instance like independent witnesses; seeds stay certain.
-        witnessed = stored(edges.where("kind IS NULL").select("pattern", "instance").join(patterns.where(F.col("score") >= WITNESS), "pattern")
+        witnessed = stored(own.where("kind IS NULL").select("pattern", "instance").join(patterns.where(F.col("score") >= WITNESS), "pattern")
                            .groupBy("instance", "kind")
                            .agg(F.sum(_doubt("score")).alias("log")).select("instance", "kind", (1 - F.exp("log")).alias("s"), "log"))
         known = seeds.unionByName(witnessed)
         fresh = witnessed.where(F.col("s") >= trust).select("instance").distinct()
         fresh, n = _listed(fresh if looked_up is None else fresh.join(looked_up, "instance", "left_anti"))
-        induced = None
-        if n:
-            looked_up = fresh if looked_up is None else looked_up.unionByName(fresh)
-            more = stored(unknown.join(fresh, "instance").distinct())
-            held = edges.select("pattern", "instance").join(known.where(F.col("s") >= trust).select("instance").distinct(), "instance", "left_semi")
-            induced = (more.select("pattern", "instance").union(held.select("pattern", "instance")).distinct().groupBy("pattern")
-                       .agg(F.count("*").alias("n")).where(F.col("n") >= support).select("pattern").join(asked, "pattern", "left_anti"))
-    best = patterns.where(F.col("score") >= trust).groupBy("pattern").agg(
-        F.max(F.struct("score", "kind")).alias("b"))
-    return best.select("pattern", F.col("b.kind").alias("kind"), F.col("b.score").alias("score"))
+        if not n:
+            break
+        looked_up = fresh if looked_up is None else looked_up.unionByName(fresh)
+        seen = words(scanned).where("kind IS NULL").select("pattern", "instance").join(fresh, "instance").select("pattern", "instance").distinct()
+        more = stored(more.unionByName(seen))
+    if patterns is None:
+        return None
+    last = _scores(edges.join(asked, "pattern", "left_semi"), known, patterns, trust).where((F.col("known") >= support) & (F.col("score") >= trust))
+    best = last.groupBy("pattern").agg(F.max(F.struct("score", "kind")).alias("b"))
+    return best.select("pattern", F.col("b.kind").alias("kind"), F.col("b.score").alias("score")), hits
 
 
 def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -222,8 +269,12 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **o
     like any other. Columns of `docs` other than key and text are not read.
     """
     scanned = stored(scan(docs, key, text))
-    patterns, _ = _listed(trusted_patterns(scanned, **options).select("pattern", F.col("kind").alias("guess")))
-    new = (words(scanned).where("kind IS NULL").join(patterns, "pattern").groupBy("key", "row")
+    found = bootstrap(scanned, **options)
+    if found is None:
+        return scanned.select(F.col("key").alias(key), "row", "base", F.col("base").alias("spans"))
+    patterns, hits = found
+    patterns, _ = _listed(patterns.select("pattern", F.col("kind").alias("guess")))
+    new = (hits.join(patterns, "pattern").groupBy("key", "row")
            .agg(F.map_from_entries(F.collect_set(F.struct("i", "guess"))).alias("new"))
            .withColumnRenamed("key", "k").withColumnRenamed("row", "r"))
 
@@ -237,7 +288,8 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **o
 
     all_words = located(F.col("marked"), r"\S++")
     found = let(all_words, lambda w: F.transform(F.map_entries("new"), lambda e: place(F.get(w, e["key"]), e["value"])))
-    joined = scanned.join(new, F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left")
+    # One way at every size: marked texts meet their places in a shuffle.
+    joined = scanned.join(new.hint("merge"), F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left")
     return joined.select(
         F.col("key").alias(key), "row", "base",
         F.when(F.col("new").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", found))).alias("spans"))
@@ -262,11 +314,12 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def mask_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """`docs` with all spans of the text masked; columns and rows stay as they are."""
+    """`docs` with all spans of the text masked; rows and other columns, whatever their names, stay as they are."""
     found = personal_spans(docs, key, text, **options).where(F.size("spans") > 0)
     # Repeated rows have equal spans; one of them is enough to join.
-    found = found.groupBy(F.col(key).alias("_k"), F.col("row").alias("_r")).agg(F.first("spans").alias("_spans"))
-    joined = docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text))).join(
-        found, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left")
-    new = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("_spans")))
+    k, r, own, spans = fresh_names(docs, "k", "r", "own", "spans")
+    found = found.groupBy(F.col(key).alias(k), F.col("row").alias(r)).agg(F.first("spans").alias(spans))
+    joined = docs.withColumn(own, F.xxhash64(F.col(key), F.col(text))).join(
+        found.hint("merge"), F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left")
+    new = F.when(F.col(spans).isNull(), F.col(text)).otherwise(masked(F.col(text), F.col(spans)))
     return joined.withColumn(text, new).select(*docs.columns)

@@ -68,3 +68,59 @@ def test_seeds_with_blanks_and_identifiers_without_digits(spark):
     assert got[50] == [("phone", "+1 (312) 555-0100"), ("phone_context", "nightline")]
     assert got[51] == [("email_context", "zed")]
     assert all(got[70 + i] == [] for i in range(4)) and got[60] == [("ip", "10.0.0.0")]
+
+
+def plain_bootstrap(texts, trust=0.75, support=3):
+    """Seeds, patterns and instances as a graph in memory, for texts whose words are parted by single blanks and hold no base span."""
+    words = {i: t.split(" ") for i, t in texts.items()}
+
+    def value(w):
+        return re.sub(r"""(?:["'][^\w]*|[.,;:!?"')\]>]+)$""", "", re.sub(r"""^["'(\[<]*""", "", w))
+
+    def secret(v):
+        return (re.fullmatch("[A-Za-z0-9_+/-]{20,}=*", v) and len(set(v)) >= 10 and sum(c.isdigit() for c in v) >= 4
+                and sum(c.isalpha() for c in v) >= 4)
+
+    spots = [(i, k, tuple(re.sub("[1-9]", "0", x).lower() for x in ws[max(0, k - 2):k]), value(ws[k]))
+             for i, ws in words.items() for k in range(1, len(ws)) if value(ws[k])]
+    graph = {}
+    for *_, p, v in spots:
+        graph.setdefault(p, set()).add(v)
+    scores = {p: sum(bool(secret(v)) for v in vs) / (len(vs) + 1) for p, vs in graph.items() if sum(bool(secret(v)) for v in vs) >= support}
+    return {(i, v) for i, _, p, v in spots if scores.get(p, 0) >= trust}
+
+
+def test_secrets_after_a_trusted_pattern(spark):
+    rng = random.Random(5)
+    common = ["the", "of", "code", "is", "token", "=", "key", "and", "2021"]
+    # Eight digits in a row at most, so that no secret holds a card number.
+    fresh = lambda: "".join(rng.choice("abcdef" if k % 9 == 8 else "0123456789abcdef") for k in range(40))
+    texts = {i: " ".join(rng.choice(common) for _ in range(rng.randrange(5, 30))) for i in range(150)}
+    for i in range(60):
+        # Before a secret stand `token =`, or any two words.
+        lead = "token =" if i % 3 else " ".join(rng.choices(common, k=2))
+        texts[200 + i] = f"{texts[i]} {lead} \"{fresh()}\"{rng.choice(['', ',', '###'])} {texts[i + 1]}"
+    want = plain_bootstrap(texts)
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {(r.doc_id, texts[r.doc_id][s.start:s.end]) for r in personal_spans(docs).collect() for s in r.spans}
+    assert got == want
+
+
+def test_trusted_pattern_finds_short_tokens(spark):
+    rng = random.Random(6)
+    fresh = lambda: "".join(rng.choice("abcdef" if k % 9 == 8 else "0123456789abcdef") for k in range(40))
+    texts = {i: f"some words w{i} api_token = '{fresh()}' end" for i in range(12)} | {20: "here api_token = 'hunter2' end", 21: "the hash abc4567890def123ab456 end"}
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans] for r in personal_spans(docs).collect()}
+    assert got[20] == [("secret_context", "hunter2")] and got[21] == [] and all(len(got[i]) == 1 for i in range(12))
+
+
+def test_columns_of_any_name_and_long_texts(spark):
+    names = ["_k", "_r", "_own", "_spans", "key", "row", "base", "_ROW"]
+    long = "plain words " * 50_000 + "mail a.b@c.example now"
+    rows = [(1, long, *names), (2, "x 10.0.0.1 y", *names), (2, "x 10.0.0.1 y", *names), (None, "z 10.0.0.2", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = mask_personal_data(docs)
+    assert got.columns == docs.columns
+    rows = sorted((tuple(r) for r in got.collect()), key=repr)
+    assert [r[1][-12:] for r in rows] == [" <EMAIL> now"[-12:], "x <IP> y", "x <IP> y", "z <IP>"] and all(r[2:] == tuple(names) for r in rows)
