@@ -26,11 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .common import stored
+from .common import fresh_names, stored
 
 BITS = 64
 SEED = 42
 BLOCK = 4096
+COMPANY = 64  # random fingerprints in a bucket, on average at most
 SMALL = 24  # buckets up to this size share one comparison of all their pairs
 
 
@@ -254,25 +255,53 @@ def near_links(prints: DataFrame, radius: int = 4, block: int = BLOCK, parts: in
     return ready.mapInArrow(lambda rows: _links(rows, radius), "a long, b long")
 
 
+def parts_for(prints: int, radius: int) -> int:
+    """Parts of a fingerprint, so many that a bucket holds `COMPANY` random fingerprints at most.
+
+    More parts mean more tables of smaller buckets; every number of parts finds all links.
+    """
+    parts = radius + 2
+    while prints > COMPANY << (BITS * (parts - radius) // parts) and parts < radius + 8:
+        parts += 1
+    return parts
+
+
+def _grouped(prints: DataFrame, radius: int) -> DataFrame:
+    """Component of each fingerprint in `prints`: fp, component (a fingerprint of it)."""
+    distinct = stored(prints.select("fp").distinct())
+    links = near_links(distinct.withColumn("id", F.col("fp")), radius, parts=parts_for(distinct.count(), radius))
+    joined = components(links).withColumnRenamed("node", "fp")
+    return distinct.join(joined, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
     """One row per row of `docs`: key, fingerprint (16 hexadecimal digits), component_id.
 
-    `component_id` is the smallest key reachable over links, its own included. Texts without a word
+    `component_id` is the smallest key reachable over links, its own included; keys may be of any ordered type. Texts without a word
     have fingerprint zero and link like any other. A row without a key gets a null component
-    and links nothing. Repeated rows share fingerprint and component.
+    and links nothing. Repeated rows share fingerprint and component. Other columns of `docs` are not read.
     """
-    prints = stored(fingerprints(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")), words=words))
-    distinct = stored(prints.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id")))
-    joined = components(near_links(distinct, radius))
-    labels = distinct.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "fp", F.coalesce("component", "id").alias("component_id"))
+    prints = stored(fingerprints(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), words=words))
+    keyed = prints.where("id IS NOT NULL")
+    first = stored(keyed.groupBy("fp").agg(F.min("id").alias("id")).join(_grouped(keyed, radius), "fp"))
+    least = first.groupBy("component").agg(F.min("id").alias("component_id"))
+    labels = first.join(least, "component").select("fp", "component_id")
     return prints.join(labels, "fp", "left").select(
         F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that lead their component (smallest key); rows without a key stay."""
-    groups = near_duplicates(docs, key, text, **options)
-    rest = groups.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(rest, key, "left_anti")
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
+    """One row of each component: the first by key, then by a hash of the text; of repeated rows one stays. Columns stay as they are.
+
+    Rows without a key stay and link nothing. Each row is judged by its own text, also if its key is there again.
+    """
+    [place] = fresh_names(docs, "place")
+    source = stored(docs.withColumn(place, F.monotonically_increasing_id()))
+    rows = source.where(F.col(key).isNotNull()).select(
+        F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"), F.col(place).alias("place")).alias("rank"), F.col(text).alias("text"))
+    prints = stored(fingerprints(rows, words=words))
+    first = prints.groupBy("fp").agg(F.min("rank").alias("rank")).join(_grouped(prints, radius), "fp")
+    kept = first.groupBy("component").agg(F.min("rank").alias("rank")).select(F.col("rank.place").alias(place))
+    stay = source.where(F.col(key).isNotNull()).join(kept, place, "left_semi")
+    return stay.unionByName(source.where(F.col(key).isNull())).select(*docs.columns)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from sensorloom.llm.simhash import BITS, keep_first, links_between, near_duplicates, near_links, planes, within
+from sensorloom.llm.simhash import BITS, buckets, keep_first, links_between, near_duplicates, near_links, parts_for, planes, within
 
 
 def plain_fingerprint(text, k=4):
@@ -101,6 +101,43 @@ def test_texts(spark):
             assert (int(r.fingerprint, 16), r.component_id) == (fps[r.doc_id], want[r.doc_id])
         else:
             assert r.component_id is None
-    kept = {r.doc_id for r in keep_first(docs).collect()}
-    assert kept == {i for i in want if want[i] == i} | {None}
+    kept = [r.doc_id for r in keep_first(docs).collect()]
+    assert len(kept) == len(set(kept)) and set(kept) == {i for i in want if want[i] == i} | {None}
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_text_keys_and_columns_of_any_name(spark):
+    texts = {"b": "one two three four five", "a": "one two three four five", "c": "six seven eight nine ten", "d": None}
+    rows = [(i, t, 1, 2, 3) for i, t in texts.items()] + [("c", "another text of the same key", 4, 5, 6), (None, "x", 7, 8, 9)] * 2
+    docs = spark.createDataFrame(rows, "doc_id string, text string, _place int, place int, fp int")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == {("a", "a"), ("b", "a"), ("c", "c"), ("d", "d"), (None, None)}
+    kept = sorted((tuple(r) for r in keep_first(docs).collect()), key=repr)
+    assert kept == sorted([rows[1], rows[2], rows[3], rows[4], rows[5], rows[5]], key=repr)
+    assert keep_first(docs).columns == docs.columns and keep_first(docs.limit(0)).count() == 0
+
+
+def test_long_text(spark):
+    long = " ".join(f"w{i % 997}" for i in range(200_000))
+    rows = [(1, long), (2, long + " end"), (3, "short")]
+    got = {r.doc_id: r for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.component_id for i, r in got.items()} == {1: 1, 2: 1, 3: 3}
+    assert got[1].fingerprint == f"{plain_fingerprint(long):016x}"
+
+
+def test_any_number_of_parts_finds_all(spark):
+    assert [parts_for(n, 4) for n in (10, 10**8, 10**9, 10**11, 10**14)] == [6, 6, 7, 8, 12]
+    rng = random.Random(9)
+    bases = [rng.getrandbits(64) for _ in range(20)]
+    fps = {close(rng, b, rng.randrange(0, 5)) for b in bases for _ in range(6)}
+    frame = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(sorted(fps))], "fp long, id long")
+    want = None
+    for parts in (6, 7, 9):
+        links = {(r.a, r.b) for r in near_links(frame, parts=parts).collect()}
+        groups = plain_components({i: 0 for i in range(len(fps))}, -1)
+        for a, b in sorted(links):
+            low, high = sorted((groups[a], groups[b]))
+            groups = {k: low if v == high else v for k, v in groups.items()}
+        want = want or plain_components(dict(enumerate(sorted(fps))))
+        assert groups == want
+    assert len(frame.select(buckets(frame.fp, 4, 8).alias("b")).first().b) == 70
