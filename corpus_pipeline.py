@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from sensorloom.llm import bpe
 from sensorloom.llm.common import table, tokenizer_path
 from sensorloom.llm.decontam import drop_leaks
-from sensorloom.llm.jaccard import keep_first_similar
 from sensorloom.llm.pii import mask_personal_data
+from sensorloom.llm.simhash import keep_first
 from sensorloom.llm.toxicity import toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,8 +28,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies (Jaccard similarity 0.8 of five-word shingles)."""
-    return keep_first_similar(docs).select(*COLUMNS)
+    """The document of the smallest id of each group of near copies (fingerprints of four-word shingles, four bits apart at most)."""
+    return keep_first(docs, words=4, radius=4).select(*COLUMNS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
