@@ -211,6 +211,39 @@ def stored_aggregates(view):
     return feeds.read_aggregates(view.sparkSession, path)
 
 
+def open_aggregates(view):
+    """Stored summaries whose objects hold a site, with a load of another type for every fifth device."""
+    rows = G.aggregate_explanations(explanations(view))
+    k, n = F.substring("group_key", 5, 9).cast("int"), F.col("n_flagged").cast("string")
+    load = (F.when(k % 5 == 0, n).when(k % 5 == 1, F.concat(F.lit('"r'), n, F.lit('"'))).when(k % 5 == 2, F.lit("true"))
+            .when(k % 5 == 3, F.concat(F.lit('{"n":'), n, F.lit("}"))))
+    site = F.concat(F.lit('{"site":{"room":"R'), (k % 7).cast("string"), F.lit('"'), F.coalesce(F.concat(F.lit(',"load":'), load), F.lit("")), F.lit("}}"))
+    path = fresh_path(view.sparkSession, "aggregates")
+    feeds.write_feed(rows.withColumn(feeds.OPEN, F.parse_json(site)), path)
+    return feeds.read_aggregates(view.sparkSession, path)
+
+
+def extra_feed(view):
+    rows = feed.aggregate_feed(open_aggregates(view), "$.site.load", True, 200)
+    return gridded(rows.select(
+        "device_id", "n_flagged", "p95_score", feeds.extra("$.site.room", "string").alias("room"),
+        F.to_json(feeds.extra("$.site.load", "variant")).alias("load")), ["p95_score"])
+
+
+def open_alerts(view):
+    """Alerts with a ticket, written and read twice: what no column holds survives."""
+    spark, rows = view.sparkSession, _numbered_alerts(view)
+    ticket = F.concat(F.lit('{"ticket":{"no":'), F.col("pos").cast("string"), F.lit(',"open":true}}'))
+    rows = rows.withColumn(feeds.OPEN, F.parse_json(ticket))
+    for _ in range(2):
+        path = fresh_path(spark, "alerts")
+        feeds.write_feed(rows, path)
+        rows = feeds.read_alerts(spark, path).drop("pos")
+    ticket_no = feeds.extra("$.ticket.no", "long")
+    found = feed.alert_feed(rows.withColumn("pos", ticket_no), severity="critical", limit=300)
+    return gridded(found.select("alert_id", "device_id", "score", ticket_no.alias("ticket"), feeds.extra("$.ticket.open", "boolean").alias("open")), ["score"])
+
+
 def stored_alerts(spark, sf_dir):
     path = fresh_path(spark, "alerts")
     feeds.write_feed(view_alerts(telemetry_view(spark, sf_dir)), path)
@@ -357,6 +390,8 @@ QUERIES = {
     "aggregate_feed": _of_view(lambda v: gridded(feed.aggregate_feed(
         stored_aggregates(v), "p95_score", True, 50).select(
             "device_id", "n_flagged", "avg_score", "p95_score"), ["avg_score", "p95_score"])),
+    "aggregate_feed_extra": _of_view(extra_feed),
+    "alert_feed_extra": _of_view(open_alerts),
     # quality
     "missing_rates": _of_view(lambda v: gridded(Q.missing_rates(v.select(*TELEMETRY_COLUMNS)), ["missing_rate"])),
     "range_checks": _of_view(Q.range_checks),

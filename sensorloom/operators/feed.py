@@ -55,19 +55,46 @@ def alert_by_id(df: DataFrame, alert_id: str, position: str = "pos") -> DataFram
     return rows.where(F.col("alert_id") == alert_id).orderBy(position).limit(1)
 
 
+def _path(name: str) -> str:
+    """A path as it is; a plain key, whatever its characters, as the path of that key."""
+    if name.startswith("$"):
+        return name
+    if "'" in name and '"' in name:
+        raise ValueError("a key with both kinds of quotes cannot be a path")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
+
+
+def open_order(body: Column, name: str) -> Column:
+    """Order of values of mixed types at a path: numbers and truth values (missing: -1), then texts, then lists and objects as JSON."""
+    value = F.try_variant_get(body, _path(name), "variant")
+    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+    truth = F.try_variant_get(value, "$", "boolean").cast("double")
+    number = F.coalesce(F.when(kind == "BOOLEAN", truth).otherwise(F.try_variant_get(value, "$", "double")), F.lit(-1.0))
+    nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
+    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string")).when(nested, F.to_json(value))
+    rank = F.when(kind == "STRING", 1).when(nested, 2).otherwise(0)
+    return F.struct(rank.alias("rank"), F.when(rank == 0, number).alias("number"), text.alias("text"))
+
+
 def aggregate_feed(df: DataFrame, sort_by: str = "device_id", desc: bool = False,
                    limit: int = AGGREGATE_LIMIT) -> DataFrame:
-    """Summaries sorted by any key; a missing number counts as -1, a missing text as ''."""
+    """Summaries sorted by any key, equal ones by device.
+
+    A column counts by its type; a missing number is -1, a missing text ''. Any other key, or a path such as ``$.site.load``, is looked up
+    in the open object ``body`` (see :func:`open_order`). A key that no summary has leaves the order of devices.
+    """
     _page(limit, MAX_AGGREGATES)
-    rows = df.where("device_id IS NOT NULL")
-    if sort_by not in df.columns:
-        return rows.orderBy("device_id").limit(limit)
-    if dict(df.dtypes)[sort_by] == "string":
+    rows, types = df.where("device_id IS NOT NULL"), dict(df.dtypes)
+    if types.get(sort_by) == "string":
         key = F.coalesce(sort_by, F.lit(""))
-    elif dict(df.dtypes)[sort_by].startswith(("array", "map", "struct")):
+    elif sort_by in types and not types[sort_by].startswith(("array", "map", "struct", "variant")):
+        key = F.coalesce(F.col(sort_by), F.lit(-1))
+    elif "body" in types:
+        key = open_order(F.col("body"), sort_by)
+    elif sort_by in types:
         raise ValueError(f"cannot sort by {sort_by}")
     else:
-        key = F.coalesce(F.col(sort_by), F.lit(-1))
+        return rows.orderBy("device_id").limit(limit)
     return rows.orderBy(key.desc() if desc else key.asc(), "device_id").limit(limit)
 
 

@@ -313,6 +313,14 @@ ORACLES = {
         AND lower(route) = 'electrical' AND ts >= TIMESTAMP '{C.SINCE[:10]} 00:00:00' ORDER BY ts DESC, pos LIMIT 100""", *ALERTS),
     "alert_feed_all": simple(f"SELECT {ALERT_ID}, pos, {ALERT_COLUMNS} FROM built ORDER BY ts DESC, pos LIMIT 200", *ALERTS),
     "aggregate_feed": _aggregates("ORDER BY quantile_cont(score, 0.95) DESC, device_id LIMIT 50"),
+    "aggregate_feed_extra": f"""SELECT device_id, n_flagged, p95_score, 'R' || (k % 7) AS room,
+        CASE k % 5 WHEN 0 THEN n_flagged::VARCHAR WHEN 1 THEN '"r' || n_flagged || '"' WHEN 2 THEN 'true' WHEN 3 THEN '{{"n":' || n_flagged || '}}' END AS load
+      FROM (SELECT *, substr(device_id, 5)::INT AS k FROM ({_aggregates()}))
+      ORDER BY CASE k % 5 WHEN 1 THEN 1 WHEN 3 THEN 2 ELSE 0 END DESC,
+        CASE k % 5 WHEN 0 THEN n_flagged WHEN 2 THEN 1 WHEN 4 THEN -1 END DESC,
+        CASE k % 5 WHEN 1 THEN 'r' || n_flagged WHEN 3 THEN '{{"n":' || n_flagged || '}}' END DESC, device_id LIMIT 200""",
+    "alert_feed_extra": simple(f"""SELECT {ALERT_ID}, device_id, {grid('raw_score')} AS score, pos AS ticket, true AS open FROM built
+        WHERE lower(severity) = 'critical' ORDER BY ts DESC, pos LIMIT 300""", *ALERTS),
     "missing_rates": simple(" UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {grid(e)} AS missing_rate FROM telemetry" for c, e in _OUT.items())),
     "range_checks": simple(f"SELECT {_RANGES} FROM telemetry"),

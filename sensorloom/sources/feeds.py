@@ -1,5 +1,8 @@
 """JSON outputs of a scoring run, and the document shapes a feed may have.
 
+Alerts and summaries are open objects: known keys become typed columns, and the whole object stays beside them in the VARIANT
+column ``body``, so that other keys can be read by path, sorted by and written again.
+
 Spark writes JSON lines, which split and scale.  A feed may also be one JSON document, a list
 or an object; such a file is one value by nature and is only offered for feeds, never for
 telemetry.
@@ -10,9 +13,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from sensorloom.schema import AGGREGATE, ALERT
 
 
+OPEN = "body"
+
+
+def extra(path: str, kind: str) -> Column:
+    """The value at a path of the whole object, such as ``$.site.room``; null where there is none of this type."""
+    return F.try_variant_get(F.col(OPEN), path, kind)
+
+
+def as_json(df: DataFrame) -> Column:
+    """A row as JSON text: its columns, and all keys of its open object that are not among them."""
+    columns = [c for c in df.columns if c != OPEN]
+    every = {"ignoreNullFields": "false"}
+    typed = F.to_json(F.struct(*columns), every)
+    if OPEN not in df.columns:
+        return typed
+    entries = lambda text: F.from_json(text, "map<string,variant>")
+    others = F.map_filter(entries(F.to_json(OPEN)), lambda key, _: ~key.isin(*columns))
+    return F.when(F.col(OPEN).isNull(), typed).otherwise(F.to_json(F.map_concat(entries(typed), others), every))
+
+
 def write_feed(df: DataFrame, path: str) -> None:
-    """JSON lines, replaced on every run."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """JSON lines, replaced on every run; keys of an open object are kept."""
+    if OPEN in df.columns:
+        df.select(as_json(df).alias("value")).write.mode("overwrite").text(path)
+    else:
+        df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
@@ -62,44 +88,45 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
             .select("value", (F.col("_before") + F.col("_inside") - 1).alias("pos")))
 
 
-def _parsed(spark: SparkSession, path: str, schema) -> DataFrame:
-    return _lines(spark, path).select("pos", F.from_json("value", schema).alias("a")).where("a IS NOT NULL").select("a.*", "pos")
+def _typed(rows: DataFrame, schema) -> DataFrame:
+    """Rows (pos, item) with the known keys of the item as columns of ``a``; items that are no JSON go."""
+    return rows.withColumn("a", F.from_json("item", schema)).where("a IS NOT NULL")
 
 
 def read_alerts(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
-    """Alerts with their position ``pos``.
+    """Alerts with their position ``pos`` and the whole object ``body``.
 
     ``document``: one JSON list, or an object whose ``alerts`` key holds the list.
     Otherwise JSON lines, whose order is the order of files and lines.
     """
-    if not document:
-        return _parsed(spark, path, ALERT)
-    doc = F.col("doc")
-    wrapped = F.from_json(doc, "alerts array<string>").alerts
-    items = F.coalesce(_list_of(doc), F.when(doc.startswith("{"), wrapped))
-    rows = (_documents(spark, path).select(F.posexplode(_objects(items)).alias("pos", "item"))
-            .withColumn("a", F.from_json("item", ALERT)).where("a IS NOT NULL"))
+    if document:
+        doc = F.col("doc")
+        wrapped = F.from_json(doc, "alerts array<string>").alerts
+        items = F.coalesce(_list_of(doc), F.when(doc.startswith("{"), wrapped))
+        rows = _documents(spark, path).select(F.posexplode(_objects(items)).alias("pos", "item"))
+    else:
+        rows = _lines(spark, path).withColumnRenamed("value", "item")
+    # An id that is no text, such as a number, is none.
     ids = {n: F.when(_is_text(F.col("item"), n), F.col(f"a.{n}")) for n in ("alert_id", "id")}
-    return rows.select("pos", *[ids.get(f.name, F.col(f"a.{f.name}")).alias(f.name) for f in ALERT])
+    known = [ids.get(f.name, F.col(f"a.{f.name}")).alias(f.name) for f in ALERT]
+    return _typed(rows, ALERT).select("pos", *known, F.try_parse_json("item").alias(OPEN))
 
 
 def read_aggregates(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
-    """Summaries keyed by ``device_id``; the last one of a device counts.
+    """Summaries keyed by ``device_id``, with the whole object ``body``; the last one of a device counts.
 
     ``document``: one JSON list of summaries, or an object keyed by device.
     """
-    if not document:
-        rows = _parsed(spark, path, AGGREGATE)
-    else:
+    if document:
         doc = F.col("doc")
         listed = F.transform(_objects(_list_of(doc)), lambda x: F.struct(
             F.lit(None).cast("string").alias("key"), x.alias("value")))
         keyed = F.when(doc.startswith("{"), F.map_entries(F.from_json(doc, "map<string,string>")))
         items = F.filter(F.coalesce(listed, keyed), lambda e: F.ltrim(e.value).startswith("{"))
-        rows = (_documents(spark, path).select(F.posexplode(items).alias("pos", "item"))
-                .withColumn("a", F.from_json("item.value", AGGREGATE)).where("a IS NOT NULL")
-                .select("pos", F.coalesce("a.device_id", "item.key").alias("device_id"),
-                        *[f"a.{f.name}" for f in AGGREGATE if f.name != "device_id"]))
-    rest = [f.name for f in AGGREGATE if f.name != "device_id"]
-    return (rows.where("device_id IS NOT NULL").groupBy("device_id")
-            .agg(F.max_by(F.struct(*rest), "pos").alias("s")).select("device_id", "s.*"))
+        rows = _documents(spark, path).select(F.posexplode(items).alias("pos", "e")).select("pos", "e.key", F.col("e.value").alias("item"))
+    else:
+        rows = _lines(spark, path).select("pos", F.lit(None).cast("string").alias("key"), F.col("value").alias("item"))
+    rows = _typed(rows, AGGREGATE).withColumn("device", F.coalesce("a.device_id", "key")).where("device IS NOT NULL")
+    last = rows.groupBy("device").agg(F.max_by(F.struct("a", "item"), "pos").alias("s"))
+    rest = [f"s.a.{f.name}" for f in AGGREGATE if f.name != "device_id"]
+    return last.select(F.col("device").alias("device_id"), *rest, F.try_parse_json("s.item").alias(OPEN))

@@ -173,3 +173,36 @@ def test_cluster_without_shared_folder_is_refused(spark):
     from sensorloom.workspace import work_dir
     with pytest.raises(ValueError):
         work_dir(Session)
+
+
+def test_open_objects_keep_and_sort_by_any_key(spark, tmp_path):
+    items = {
+        "A": {"n_flagged": 2, "site": {"load": 7, "a.b": "x"}, "it's": 1}, "B": {"site": {"load": "high"}, "avg_score": 0.5, "it's": True},
+        "C": {"site": {"load": True}}, "D": {"site": {"load": None}, "it's": 3.5}, "E": {"site": {"load": [1, 2]}}, "F": {"other": 1},
+        "G": {"site": {"load": -3.5}}, "H": {"site": {"load": "Low"}}, "I": {"site": 4}}
+    (tmp_path / "g.json").write_text(json.dumps(items))
+    df = feeds.read_aggregates(spark, str(tmp_path / "g.json"), document=True)
+    order = lambda **o: "".join(r.device_id for r in feed.aggregate_feed(df, **o).collect())
+    # Numbers (missing: -1, true: 1), texts by code points, then lists and objects.
+    assert order(sort_by="$.site.load") == "GDFICAHBE"
+    assert order(sort_by="$.site.load", desc=True) == "EBHACDFIG"
+    assert order(sort_by="it's") == "CEFGHIABD" and order(sort_by="$.none") == "ABCDEFGHI" == order(sort_by="none")
+    assert order(sort_by="n_flagged", desc=True)[0] == "A"
+    feeds.write_feed(df.withColumn("n_flagged", df.n_flagged + 1), str(tmp_path / "again"))
+    back = {r.device_id: json.loads(r.j) for r in feeds.read_aggregates(spark, str(tmp_path / "again")).selectExpr("device_id", "to_json(body) j").collect()}
+    for device, item in items.items():
+        assert {k: v for k, v in back[device].items() if k in item and k != "n_flagged"} == {k: v for k, v in item.items() if k != "n_flagged"}
+    assert back["A"]["n_flagged"] == 3 and back["I"]["device_id"] == "I"
+
+
+def test_alert_lines_keep_extra_keys(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    lines = [{"device_id": "A", "id": 5, "owner": {"name": "Ö"}}, {"id": "x", "alert_id": " ", "score": "high", "owner": [1]}]
+    (folder / "part-0.json").write_text("\n".join(map(json.dumps, lines)))
+    df = feeds.read_alerts(spark, str(folder))
+    rows = feed.with_alert_id(df).withColumn("owner", feeds.extra("$.owner.name", "string")).orderBy("pos").collect()
+    assert [(r.alert_id, r.owner, r.score) for r in rows] == [("idx:0", "Ö", None), ("x", None, None)]
+    feeds.write_feed(df, str(tmp_path / "again"))
+    again = feeds.read_alerts(spark, str(tmp_path / "again"))
+    assert [json.loads(r.j) for r in again.orderBy("pos").selectExpr("to_json(variant_get(body, '$.owner')) j").collect()] == [{"name": "Ö"}, [1]]
