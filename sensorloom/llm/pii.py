@@ -153,7 +153,7 @@ def _secret(value: Column) -> Column:
 
 
 def _hashed(scanned: DataFrame) -> DataFrame:
-    """One row per document: key, row, its words, and the pattern of each of them (null: none)."""
+    """One row per document: key, row, and for each word its pattern (null: none) and itself."""
     def split(text: Column) -> Column:
         return F.array_remove(F.split(text, r"\s+"), "")
 
@@ -166,16 +166,19 @@ def _hashed(scanned: DataFrame) -> DataFrame:
 
     near = split(F.translate(F.lower("marked"), "123456789", "000000000"))
     body = scanned.select("key", "row", split(F.col("marked")).alias("words"), near.alias("near"))
-    return body.select("key", "row", "words", let(F.col("near"), lambda n: F.transform("words", pattern(n))).alias("patterns"))
+    # Words travel inside what is exploded: Spark would split a text again for every row that looks at its words.
+    return body.select("key", "row", let(F.col("near"), lambda n: F.transform(
+        "words", lambda w, i: F.struct(pattern(n)(w, i).alias("pattern"), w.alias("w")))).alias("words"))
 
 
 def _spelt(places: DataFrame) -> DataFrame:
-    """Places (key, row, words, i, pattern) with instance and kind (null: unknown).
+    """Places (key, row, i, pattern, w) with instance and kind (null: unknown).
 
     Words that hold a base span, but do not begin with it, are left out.
     """
     _, value, _ = _parts(F.col("w"))
-    each = places.select("key", "row", "i", "pattern", F.get("words", F.col("i")).alias("w")).select("key", "row", "i", "pattern", value.alias("instance"))
+    # Exploded, so that the value is computed once however often it is looked at.
+    each = places.select("key", "row", "i", "pattern", F.explode_outer(F.array(value)).alias("instance"))
     base = F.get(F.array(*map(F.lit, KINDS)), F.instr(F.lit(MARKS), F.substring("instance", 1, 1)) - 1)
     kind = F.coalesce(base, F.when(_secret(F.col("instance")), F.lit("secret")))
     return each.where("instance <> ''").withColumn("kind", kind).where(
@@ -184,7 +187,8 @@ def _spelt(places: DataFrame) -> DataFrame:
 
 def _places(scanned: DataFrame) -> DataFrame:
     # Outer, since Spark tests the array of a plain explode first, and would hash all words twice for that.
-    return _hashed(scanned).select("key", "row", "words", F.posexplode_outer("patterns").alias("i", "pattern")).where("pattern IS NOT NULL")
+    each = _hashed(scanned).select("key", "row", F.posexplode_outer("words").alias("i", "e"))
+    return each.select("key", "row", "i", "e.pattern", "e.w").where("pattern IS NOT NULL")
 
 
 def words(scanned: DataFrame) -> DataFrame:
