@@ -326,11 +326,15 @@ def fitted(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "model")
     model_store.save_model(spark, fitted(spark, sf_dir), path)
-    return model_store.model_tables(spark, model_store.load_model(spark, path))["forest"]
+    return node_table(spark, model_store.load_model(spark, path))
+
+
+def node_table(spark, model):
+    return gridded(model_store.model_tables(spark, model)["forest"], ["split"], 4)
 
 
 def scored_rows(spark, sf_dir):
-    return score_telemetry(telemetry_view(spark, sf_dir), fitted(spark, sf_dir), SPEC)
+    return gridded(score_telemetry(telemetry_view(spark, sf_dir), fitted(spark, sf_dir), SPEC), ["score"])
 
 
 def scoring_alerts(spark, sf_dir):
@@ -446,7 +450,7 @@ QUERIES = {
     # model
     "fit_scaler": _of_view(scaler_table),
     "standardize": _of_view(lambda v: gridded(standardized(v).select("event_id", *EXPLAINED), EXPLAINED)),
-    "fit_forest": lambda spark, d: model_store.model_tables(spark, fitted(spark, d))["forest"],
+    "fit_forest": lambda spark, d: node_table(spark, fitted(spark, d)),
     "score_forest": scored_rows,
     "training_features": _of_view(lambda v: gridded(training_rows(v, EXACT).select(
         "event_id", "y", "temp_c_mean", "error_streak"), ["temp_c_mean", "error_streak"])),

@@ -1,16 +1,20 @@
 """Isolation forest (Liu, Ting, Zhou, ICDM 2008) as Spark jobs.
 
-Sampling is by a hash of the row key, so the same table gives the same forest however it
-is partitioned.  Trees are grown in parallel, one small group of ``sample_size`` rows each.
+All randomness is md5: a row is drawn for a tree by a hash of its key, and a node draws its feature and
+its split by a hash of (seed, tree, node).  So the same table gives the same forest however it
+is partitioned, and another program can draw it again.  Nodes are numbered like a heap, the root is 1 and the children
+of k are 2 k and 2 k + 1.  Trees are grown in parallel, one small group of ``sample_size`` rows each.
 Scoring is a narrow Arrow pass with the node table broadcast; that table has at most
 ``trees * 2 * sample_size`` rows whatever the size of the data.
 
 Standardizing shifts and stretches each feature, which moves uniform splits along with the
 rows and changes no path.  Trees are therefore grown on the readings themselves, and the
 rounding of a distributed mean cannot make two fits differ; the scaler serves attribution.
+Trees see readings on a grid (:func:`on_grid`), so that errors in the last places of a feature decide nothing.
 """
 
 from dataclasses import dataclass
+from hashlib import md5
 from math import ceil, log, log1p, log2, sqrt
 
 import numpy as np
@@ -18,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from sensorloom.functions.scalars import epoch_micros
 from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from sensorloom.operators.scaling import Scaler, align_features, fit_scaler
 from sensorloom.workspace import materialize
@@ -30,6 +35,10 @@ TREES = 100
 SEED = 42
 EULER = 0.5772156649
 
+# Grid of readings: steps of a millionth, a shift that keeps halves off its borders, and 2 ** 33 + 1, by which a double is cut to 20 binary digits.
+STEPS, SHIFT, CUT, GRID_END = 1e6, 0.6281718, 8589934593.0, 1e9
+UNIT = 1 << 52  # steps of a uniform draw: thirteen hexadecimal digits
+
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
     T.StructField("feature", T.IntegerType()), T.StructField("split", T.DoubleType()),
@@ -53,9 +62,22 @@ class ForestModel:
     offset: float = 0.0
 
 
-def grow_tree(sample: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
+def on_grid(x: np.ndarray) -> np.ndarray:
+    """Readings as trees see them: multiples of 1e-6 (below 1e9), cut to 20 binary digits."""
+    small = np.abs(x) < GRID_END
+    fine = np.where(small, np.floor(np.where(small, x, 0.0) * STEPS + SHIFT) / STEPS, x)
+    wide = np.where(np.abs(fine) < 1e290, fine, 0.0) * CUT
+    return np.where(np.abs(fine) < 1e290, wide - (wide - fine), fine)
+
+
+def draw(seed: int, tree: int, node: int, what: str) -> float:
+    """A uniform number from [0, 1) for one decision of one node."""
+    return int(md5(f"{seed}:{tree}:{node}:{what}".encode()).hexdigest()[:13], 16) / UNIT
+
+
+def grow_tree(sample: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]:
     """Node tuples (node, feature, split, left, right, size, depth); feature -1 marks a leaf."""
-    nodes, pending, used = [], [(0, np.arange(len(sample)), 0)], 1
+    nodes, pending = [], [(1, np.arange(len(sample)), 0)]
     while pending:
         node, rows, depth = pending.pop()
         here = sample[rows]
@@ -64,28 +86,26 @@ def grow_tree(sample: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
         if depth >= max_depth or len(rows) <= 1 or not len(varying):
             nodes.append((node, -1, 0.0, node, node, len(rows), depth))
             continue
-        feature = int(rng.choice(varying))
+        feature = int(varying[int(draw(seed, tree, node, "feature") * len(varying))])
         # Rounding may put the draw on the maximum, which would leave one side empty.
-        split = min(float(rng.uniform(low[feature], high[feature])),
+        split = min(float(low[feature] + draw(seed, tree, node, "split") * (high[feature] - low[feature])),
                     float(np.nextafter(high[feature], -np.inf)))
         below = here[:, feature] <= split
-        left, right, used = used, used + 1, used + 2
+        left, right = 2 * node, 2 * node + 1
         nodes.append((node, feature, split, left, right, len(rows), depth))
         pending += [(right, rows[~below], depth + 1), (left, rows[below], depth + 1)]
     return nodes
 
 
-UNIT = 1 << 52  # steps of a uniform draw
-
-
 def _draws(chance: float, trees: int) -> str:
-    """SQL for the trees a row is drawn for, each with this chance, from the row's hash ``_key``.
+    """SQL for the trees a row is drawn for, each with this chance, from the row's md5 ``_key``.
 
     The next tree is found by a geometric jump, so a row costs about one hash, not one per tree.
     """
     if chance >= 1.0:
         return f"sequence(0, {trees - 1})"
-    jump = lambda k: (f"CAST(least(1 + floor(ln((pmod(xxhash64(_key, {k}), {UNIT}) + 0.5D) / {UNIT}D) / "
+    digits = lambda k: "_key" if k == "0" else f"md5(concat(_key, ':', {k}))"
+    jump = lambda k: (f"CAST(least(1 + floor(ln((CAST(conv(substring({digits(k)}, 1, 13), 16, 10) AS DOUBLE) + 0.5D) / {UNIT}D) / "
                       f"{log1p(-chance)!r}D), {trees}) AS INT)")
     step = (f"CASE WHEN s.at >= {trees} THEN s ELSE named_struct('at', s.at + {jump('k')}, 'hits', concat(s.hits, array(s.at))) END")
     # One draw tells that most rows are in no tree; only the others go on jumping.
@@ -101,10 +121,11 @@ def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, s
     """
     chance = min(1.0, (size + 8 * sqrt(size) + 32) / total)
     in_tree = Window.partitionBy("tree").orderBy("draw", *keys)
-    return (df.withColumn("_key", F.xxhash64(*keys, F.lit(seed)))
+    text = [(epoch_micros(F.col(k)) if df.schema[k].dataType.typeName().startswith("timestamp") else F.col(k)).cast("string") for k in keys]
+    return (df.withColumn("_key", F.md5(F.concat_ws("|", *text, F.lit(str(seed)))))
             # An outer explode: a plain one lets the optimizer draw twice, to test for hits.
             .withColumn("tree", F.explode_outer(F.expr(_draws(chance, trees)))).where("tree IS NOT NULL")
-            .select("tree", F.xxhash64("_key", "tree").alias("draw"), *keys, *features)
+            .select("tree", F.md5(F.concat("_key", F.lit(":t"), F.col("tree").cast("string"))).alias("draw"), *keys, *features)
             .withColumn("rank", F.row_number().over(in_tree)).where(F.col("rank") <= size)
             .select("tree", "rank", *features))
 
@@ -118,8 +139,8 @@ def grow_forest(df: DataFrame, features, keys, total: int, trees: int = TREES, s
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
-        sample = group.sort_values("rank")[columns].to_numpy(dtype=float)
-        nodes = grow_tree(sample, np.random.default_rng([seed, tree]), depth)
+        sample = on_grid(group.sort_values("rank")[columns].to_numpy(dtype=float))
+        nodes = grow_tree(sample, seed, tree, depth)
         return pd.DataFrame([(tree, *n) for n in nodes], columns=NODE_SCHEMA.names)
 
     drawn = _samples(df, keys, columns, total, trees, size, seed)
@@ -155,7 +176,7 @@ class _Packed:
         total = np.zeros(rows)
         for feature, split, left, right, path in zip(
                 self.feature, self.split, self.left, self.right, self.path):
-            node = np.zeros(rows, np.int32)
+            node = np.ones(rows, np.int32)
             for _ in range(self.steps):
                 goes_left = flat.take(base + feature.take(node)) <= split.take(node)
                 node = np.where(goes_left, left.take(node), right.take(node))
@@ -181,7 +202,7 @@ def score_forest(df: DataFrame, model: ForestModel, score: str = "score") -> Dat
             for i, f in enumerate(features):
                 if f in present:
                     x[:, i] = batch.column(f).to_numpy(zero_copy_only=False)
-            scores = packed.anomaly(np.nan_to_num(x, nan=0.0)) - offset
+            scores = packed.anomaly(on_grid(np.nan_to_num(x, nan=0.0))) - offset
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(scores)], names=[*kept, score])
 

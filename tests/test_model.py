@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sensorloom.operators.forest import fit_forest, grow_tree, mean_path, score_forest
+from sensorloom.operators.forest import fit_forest, grow_tree, mean_path, on_grid, score_forest
 from sensorloom.operators.scaling import align_features, fit_scaler, standardize
 from sensorloom.plans.scoring import run_scoring, write_run
 from sensorloom.plans.training import train
@@ -64,9 +64,9 @@ def test_samples_come_from_a_bounded_pool(spark):
 
 def test_split_never_leaves_a_side_empty():
     edge = np.array([[1.0], [np.nextafter(1.0, 2.0)]])
-    nodes = grow_tree(edge, np.random.default_rng(0), 8)
+    nodes = grow_tree(edge, 42, 0, 8)
     assert sorted(n[5] for n in nodes) == [1, 1, 2]
-    assert [n[1] for n in grow_tree(np.ones((5, 2)), np.random.default_rng(0), 8)] == [-1]
+    assert [n[1] for n in grow_tree(np.ones((5, 2)), 42, 0, 8)] == [-1]
 
 
 def test_mean_path():
@@ -125,3 +125,12 @@ def test_whole_job(spark, telemetry, tmp_path):
     assert feeds.read_metrics(spark, str(tmp_path / "out/metrics")).first().threshold == pytest.approx(run.best["threshold"])
     with pytest.raises(ValueError):
         train(df.where("state = 'MAINT'"), spec)
+
+
+def test_grid_swallows_the_last_places():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=1000) * 10.0 ** rng.integers(-3, 8, 1000), [0.0, 0.1, -5e-7]])
+    noisy = x * (1 + 1e-15) + 1e-14
+    assert (on_grid(x) == on_grid(noisy)).mean() > 0.999
+    x = np.concatenate([x, [1e9, -1e9, 1e300, 1e-300]])
+    assert np.allclose(on_grid(x), x, rtol=2e-6, atol=2e-6)
