@@ -217,32 +217,35 @@ def _scores(edges: DataFrame, known: DataFrame, patterns: DataFrame | None, trus
     return sums.join(size, "pattern").select("pattern", "kind", (F.col("hits") / (F.col("n") + DOUBT)).alias("score"), "known")
 
 
+def _promising(pairs: DataFrame, known: DataFrame, trust: float, support: int) -> DataFrame:
+    """Patterns that may reach `WITNESS` by their `pairs` (pattern, instance, kind) in texts with seeds: pattern."""
+    if known is not None:
+        best = known.groupBy("instance").agg(F.max("s").alias("ws"))
+        pairs = pairs.join(best, "instance", "left")
+    s = F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0 if known is None else F.coalesce("ws", F.lit(0.0)))
+    rated = pairs.select("pattern", s.alias("s")).groupBy("pattern").agg(
+        F.count("*").alias("n"), F.sum("s").alias("hits"), F.count(F.when(F.col("s") >= trust, 1)).alias("known"))
+    return rated.where((F.col("known") >= support) & (F.col("hits") >= WITNESS * (F.col("n") + DOUBT))).select("pattern")
+
+
 def bootstrap(scanned: DataFrame, trust: float = TRUST, support: int = SUPPORT) -> tuple[DataFrame, DataFrame] | None:
     """Trusted patterns (pattern, kind, score), one kind each, and places (key, row, i, pattern) of all patterns looked up.
 
     None if no pattern has been worth looking up.
     """
-    around = stored(words(scanned.where("seeded")))
-    local = around.select("pattern", "instance")  # of texts with seeds, all words
-    edges = stored(around.where("kind IS NOT NULL").select("pattern", "instance", "kind").distinct())
+    pairs = stored(words(scanned.where("seeded")).groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
+    edges = pairs.where("kind IS NOT NULL")
     seeds = edges.select("instance", "kind").distinct().withColumns({"s": F.lit(1.0), "log": F.lit(None).cast("double")})
-    more, asked, looked_up, known, patterns, hits = edges.select("pattern", "instance"), None, None, seeds, None, None
+    asked, looked_up, witnessed, patterns, hits, known = None, None, None, None, None, seeds
     while True:
-        sure = known.where(F.col("s") >= trust).select("instance").distinct()
-        induced = more.distinct().join(sure, "instance", "left_semi").groupBy("pattern").agg(F.count("*").alias("k")).where(
-            F.col("k") >= support).select("pattern")
-        induced, n = _listed(induced if asked is None else induced.join(asked, "pattern", "left_anti"))
-        if not n:
-            break
-        near = more.union(local.join(induced, "pattern", "left_semi")).distinct().join(induced, "pattern", "left_semi")
-        new, n = _listed(_scores(near, known, patterns, trust).where((F.col("score") >= WITNESS) & (F.col("known") >= support)).select("pattern").distinct())
+        new = _promising(pairs, witnessed, trust, support)
+        new, n = _listed(new if asked is None else new.join(asked, "pattern", "left_anti"))
         if not n:
             break
         asked = new if asked is None else asked.unionByName(new)
-        found = stored(_spelt(_places(scanned).join(new, "pattern")).where("kind IS NULL").select("key", "row", "i", "pattern", "instance"))
-        held = edges.unionByName(found.groupBy("pattern", "instance").agg(F.lit(None).cast("string").alias("kind")))
-        edges = stored(held)
-        places = around.where("kind = 'secret'").join(new, "pattern", "left_semi").select("key", "row", "i", "pattern").unionByName(found.drop("instance"))
+        found = stored(_spelt(_places(scanned).join(new, "pattern")).where("kind IS NULL OR kind = 'secret'"))
+        edges = stored(edges.unionByName(found.where("kind IS NULL").select("pattern", "instance", "kind").distinct()))
+        places = found.select("key", "row", "i", "pattern")
         hits = places if hits is None else hits.unionByName(places)
         own = edges.join(asked, "pattern", "left_semi")
         patterns = stored(_scores(own, known, patterns, trust).where(F.col("known") >= support))
@@ -256,8 +259,9 @@ def bootstrap(scanned: DataFrame, trust: float = TRUST, support: int = SUPPORT)
         if not n:
             break
         looked_up = fresh if looked_up is None else looked_up.unionByName(fresh)
-        seen = words(scanned).where("kind IS NULL").select("pattern", "instance").join(fresh, "instance").select("pattern", "instance").distinct()
-        more = stored(more.unionByName(seen))
+        # Where an instance that has become known stands elsewhere, further patterns stand before it.
+        seen = words(scanned).where("kind IS NULL").join(fresh, "instance").select("pattern", "instance", "kind")
+        pairs = stored(pairs.unionByName(seen).groupBy("pattern", "instance").agg(F.max("kind").alias("kind")))
     if patterns is None:
         return None
     last = _scores(edges.join(asked, "pattern", "left_semi"), known, patterns, trust).where((F.col("known") >= support) & (F.col("score") >= trust))
@@ -292,11 +296,11 @@ def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", **o
 
     all_words = located(F.col("marked"), r"\S++")
     found = let(all_words, lambda w: F.transform(F.map_entries("new"), lambda e: place(F.get(w, e["key"]), e["value"])))
-    # One way at every size: marked texts meet their places in a shuffle.
-    joined = scanned.join(new.hint("merge"), F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r")), "left")
-    return joined.select(
-        F.col("key").alias(key), "row", "base",
-        F.when(F.col("new").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", found))).alias("spans"))
+    new, _ = _listed(new)
+    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("row") == F.col("r"))
+    more = scanned.join(new, same).select("key", "row", "base", F.sort_array(F.concat("base", found)).alias("spans"))
+    rest = scanned.join(new, same, "left_anti").select("key", "row", "base", F.col("base").alias("spans"))
+    return more.unionByName(rest).withColumnRenamed("key", key)
 
 
 def written(spans: Column) -> Column:
