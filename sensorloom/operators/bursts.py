@@ -13,7 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorloom.functions.scalars import epoch_micros
+from sensorloom.operators.sequence import hot_devices
+from sensorloom.workspace import materialize
 
+LONGEST_CHAIN = 100_000  # bursts of a device that one task may walk
 SLICE_WINDOWS = 8
 HALO_WINDOWS = 2
 MINUTE_US = 60_000_000
@@ -103,23 +106,78 @@ def burst_dedupe(df: DataFrame, window_minutes: float = 10, min_anomalies: int =
                           F.lit(rule_name).alias("rule_name"), message.alias("message"))
 
 
-def burst_cooldown(bursts: DataFrame, cooldown_minutes: float) -> DataFrame:
+def _following_start(nodes: DataFrame, quiet: int) -> DataFrame:
+    """For each burst (device_id, start, end) the first start of its device a cooldown after its end: device_id, start, to (or null).
+
+    Starts and wanted times are sorted together in ranges, so a device spreads over tasks. A wanted time finds the next start in its
+    range; at the end of a range it is the first start of the next range that has one.
+    """
+    starts = nodes.select("device_id", F.col("start").alias("at"), F.lit(1).alias("kind"), "start")
+    # Without a cooldown a burst of no length would find itself.
+    wanted = nodes.select("device_id", F.greatest(F.col("end") + quiet, F.col("start") + 1).alias("at"), F.lit(0).alias("kind"), "start")
+    placed = materialize(starts.unionByName(wanted).repartitionByRange("device_id", "at", "kind").withColumn("part", F.spark_partition_id()), "ranges")
+    # Backwards, since Spark reads a frame that ends with the group anew for every row.
+    following = (Window.partitionBy("part", "device_id").orderBy(F.desc("at"), F.desc("kind"))
+                 .rowsBetween(Window.unboundedPreceding, -1))
+    inside = placed.select("*", F.last(F.when(F.col("kind") == 1, F.col("at")), True).over(following).alias("next"))
+    # One row per range: few enough for a single ordered pass.
+    later = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy("part").agg(F.min(F.when(F.col("kind") == 1, F.struct("device_id", "at"))).alias("head")).select(
+        "part", F.last("head", True).over(later).alias("beyond"))
+    beyond = F.when(F.col("beyond.device_id") == F.col("device_id"), F.col("beyond.at"))
+    return inside.where("kind = 0").join(firsts, "part").select("device_id", "start", F.coalesce("next", beyond).alias("to"))
+
+
+def _kept_by_doubling(bursts: DataFrame, quiet: int) -> DataFrame:
+    """Kept bursts (device_id, start, end): all that are reached from the first one of each device.
+
+    Every round doubles how far pointers lead and how much of each chain is marked, so rounds grow with the logarithm
+    of a chain; joins are on (device, start), which spreads a device.
+    """
+    nodes = materialize(bursts.groupBy("device_id", "start").agg(F.min("end").alias("end")), "cooldown")
+    ahead = materialize(_following_start(nodes, quiet), "cooldown")
+    marked = materialize(nodes.groupBy("device_id").agg(F.min("start").alias("start")), "cooldown")
+    while True:
+        led = ahead.join(marked, ["device_id", "start"]).where("to IS NOT NULL").select("device_id", F.col("to").alias("start"))
+        more = materialize(led.distinct().join(marked, ["device_id", "start"], "left_anti"), "cooldown")
+        if more.isEmpty():
+            return nodes.join(marked, ["device_id", "start"])
+        marked = materialize(marked.unionByName(more), "cooldown")
+        second = ahead.select("device_id", F.col("start").alias("to"), F.col("to").alias("beyond"))
+        ahead = materialize(ahead.where("to IS NOT NULL").join(second, ["device_id", "to"], "left").select(
+            "device_id", "start", F.col("beyond").alias("to")), "cooldown")
+
+
+def burst_cooldown(bursts: DataFrame, cooldown_minutes: float, longest: int = LONGEST_CHAIN) -> DataFrame:
     """Drop bursts that start within the cooldown of the last burst kept for the device.
 
     A burst at least a cooldown after its predecessor is always kept, so the sequential
-    choice is confined to chains of closer bursts.
+    choice is confined to chains of closer bursts. A device of more than ``longest`` bursts is no task of its own: its
+    choice is made by doubling pointers (:func:`_kept_by_doubling`). Of bursts that start together the shortest counts.
     """
     quiet = round(cooldown_minutes * MINUTE_US)
     start, end = epoch_micros(F.col("burst_start")), epoch_micros(F.col("burst_end"))
-    order = Window.partitionBy("device_id").orderBy("burst_start")
     rows = bursts.withColumns({"_start": start, "_end": end})
+    hot = hot_devices(rows, longest)
+    if hot is None:
+        return _kept_in_chains(rows, quiet).select(*bursts.columns)
+    few = _kept_in_chains(rows.join(hot, "device_id", "left_anti"), quiet)
+    many = rows.join(hot, "device_id", "left_semi")
+    kept = _kept_by_doubling(many.select("device_id", F.col("_start").alias("start"), F.col("_end").alias("end")), quiet)
+    kept = kept.select("device_id", F.col("start").alias("_start"), F.col("end").alias("_end"))
+    return few.select(*bursts.columns).unionByName(many.join(kept, ["device_id", "_start", "_end"], "left_semi").select(*bursts.columns))
+
+
+def _kept_in_chains(rows: DataFrame, quiet: int) -> DataFrame:
+    """The choice for devices of few bursts, one chain at a time."""
+    order = Window.partitionBy("device_id").orderBy("_start", "_end")
     rows = rows.withColumn("_fresh", F.coalesce(
         (F.col("_start") - F.lag("_end").over(order) >= quiet).cast("int"), F.lit(1)))
     rows = rows.withColumn("_chain", F.sum("_fresh").over(
         order.rowsBetween(Window.unboundedPreceding, 0)))
 
     def keep(chain: pd.DataFrame) -> pd.DataFrame:
-        chain = chain.sort_values("_start")
+        chain = chain.sort_values(["_start", "_end"])
         starts, ends = chain["_start"].to_numpy(), chain["_end"].to_numpy()
         kept, at = [], 0
         while at < len(starts):
@@ -128,5 +186,4 @@ def burst_cooldown(bursts: DataFrame, cooldown_minutes: float) -> DataFrame:
         return chain.iloc[kept]
 
     columns = [T.StructField(f.name, f.dataType) for f in rows.schema]
-    kept = rows.groupBy("device_id", "_chain").applyInPandas(keep, T.StructType(columns))
-    return kept.select(*bursts.columns)
+    return rows.groupBy("device_id", "_chain").applyInPandas(keep, T.StructType(columns))

@@ -31,7 +31,7 @@ class Slicing:
     bucket_seconds: int = 60
 
 
-def _hot_devices(df: DataFrame, max_rows: int) -> DataFrame | None:
+def hot_devices(df: DataFrame, max_rows: int) -> DataFrame | None:
     """Devices above the limit, or None. At most total rows / max_rows of them exist."""
     counts = df.groupBy(DEVICE).agg(F.count(F.lit(1)).alias("n"))
     hot = counts.where(F.col("n") > max_rows).select(DEVICE)
@@ -74,7 +74,7 @@ def sliced(df: DataFrame, ties, halo: int, carries: dict[str, Column],
     """
     if slicing.max_rows < 2 * halo:
         raise ValueError("a slice must hold at least two halos")
-    hot = _hot_devices(df, slicing.max_rows)
+    hot = hot_devices(df, slicing.max_rows)
     whole = (df if hot is None else df.join(hot, DEVICE, "left_anti"))
     ranked = None if hot is None else numbered(
         df.join(hot, DEVICE, "left_semi"), ties, slicing.bucket_seconds)

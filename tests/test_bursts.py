@@ -101,3 +101,40 @@ def test_cooldown_follows_the_last_kept_burst(spark):
     assert kept(15) == sorted((d, at(a)) for d, a, _ in spans)
     assert kept(95) == [("A", at(0)), ("B", at(30))]
     assert kept(90) == [("A", at(0)), ("A", at(100)), ("B", at(30))]
+
+
+def plain_cooldown(spans, quiet):
+    kept, last = [], {}
+    for d, a, b in sorted(spans):
+        if d not in last or a >= last[d] + quiet:
+            kept.append((d, a))
+            last[d] = b
+    return kept
+
+
+@pytest.mark.parametrize("quiet", [0, 30])
+def test_cooldown_of_hot_devices_equals_the_loop(spark, quiet):
+    """Devices above the limit are walked by doubling pointers, over several ranges of one device."""
+    rng = random.Random(8)
+    spans = []
+    for device, n in (("hot", 600), ("warm", 120), ("few", 5)):
+        t = 0
+        for _ in range(n):
+            t += rng.randrange(1, 25)
+            spans.append((device, t, t + rng.randrange(0, 6)))
+            t = spans[-1][2]
+    df = spark.createDataFrame([(d, at(a), at(b), a) for d, a, b in spans],
+                               "device_id string, burst_start timestamp, burst_end timestamp, mark int").repartition(5)
+    got = sorted((r.device_id, r.mark) for r in burst_cooldown(df, quiet, longest=50).collect())
+    assert got == plain_cooldown(spans, quiet) == sorted((r.device_id, r.mark) for r in burst_cooldown(df, quiet).collect())
+
+
+def test_one_long_chain_stays_split(spark):
+    n = 60_000
+    df = spark.range(n).selectExpr("'D' AS device_id", "timestamp_seconds(id * 60) AS burst_start", "timestamp_seconds(id * 60 + 10) AS burst_end")
+    kept = burst_cooldown(df, 5, longest=10_000)
+    # Ten seconds and five minutes after a start, the sixth next burst is the first one allowed.
+    assert kept.count() == -(-n // 6)
+    from sensorloom.operators.bursts import _following_start
+    ranges = _following_start(df.selectExpr("device_id", "unix_micros(burst_start) AS start", "unix_micros(burst_end) AS end"), 300_000_000)
+    assert ranges.where("to IS NULL").count() == 6 and ranges.where("to <> start + 360000000").isEmpty()
