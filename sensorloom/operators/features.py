@@ -10,6 +10,7 @@ from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from sensorloom.operators.sequence import CHANGED, HALO, POS, SLICE, Slicing, sliced
 from sensorloom.operators.spectral import add_dominant_bins
 from sensorloom.schema import SIGNALS
+from sensorloom.workspace import materialize
 
 # Default window in rows, assumed cycle in seconds, guard against division
 # by zero, and the duration that stands for "never".
@@ -58,39 +59,45 @@ def feature_names(spec: FeatureSpec = FeatureSpec()) -> list[str]:
 def sample_step_seconds(df: DataFrame, per_device: bool = False) -> int:
     """Median gap between consecutive times of the whole table, in whole seconds, at least 1.
 
-    Equal times are counted, not sorted: each repeat is a gap of zero.  Only distinct
-    times are put in order, hour by hour; the first of an hour looks at the last hour's end.
-    Gaps are counted per whole second to find the middle ones, then ranked exactly within
+    Equal times are counted, not sorted: each repeat is a gap of zero.  Distinct times are sorted in ranges, and the first
+    one of a range looks at the end of the range before it, so neither an hour nor a device is one task.
+    Gaps are stored once, as counts.  Counts per whole second find the middle ones, which are then ranked exactly within
     that second, which holds at most a million different gaps.
     """
-    who = ["device_id"] if per_device else []
-    times = (df.where("timestamp IS NOT NULL")
-             .groupBy(*who, epoch_micros(F.col("timestamp")).alias("us"))
-             .agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("hour", F.floor(F.col("us") / F.lit(3_600_000_000))))
-    along = Window.partitionBy(*who).orderBy("hour")
-    hours = (times.groupBy(*who, "hour").agg(F.max("us").alias("end"))
-             .select(*who, "hour", F.lag("end").over(along).alias("prev_end")))
-    inside = Window.partitionBy(*who, "hour").orderBy("us")
-    gaps = (times.join(hours, [*who, "hour"])
-            .select("us", "n", F.coalesce(F.lag("us").over(inside), F.col("prev_end")).alias("prev"))
-            .selectExpr("inline(array(struct(us - prev AS gap, 1L AS n), struct(0L AS gap, n - 1 AS n)))")
-            .where("gap IS NOT NULL AND n > 0"))
-    seconds = gaps.groupBy(F.expr("gap div 1000000").alias("sec")).agg(F.sum("n").alias("n"))
+    counts = materialize(_gap_counts(df, ["device_id"] if per_device else []), "gaps")
+    seconds = counts.groupBy(F.expr("gap div 1000000").alias("sec")).agg(F.sum("n").alias("n"))
     middle = seconds.selectExpr(
         "sec", "n", "sum(n) OVER (ORDER BY sec) - n AS before", "sum(n) OVER () AS total").where(
         "before <= total div 2 AND before + n > (total - 1) div 2").orderBy("sec").collect()
     if not middle:
         return 1
     total, before = middle[0].total, middle[0].before
-    values = (gaps.where(F.expr("gap div 1000000").isin([r.sec for r in middle]))
-              .groupBy("gap").agg(F.sum("n").alias("n"))
+    values = (counts.where(F.expr("gap div 1000000").isin([r.sec for r in middle]))
               .selectExpr("gap", f"sum(n) OVER (ORDER BY gap) + {before} AS upto"))
     low, high = values.agg(*[F.min(F.when(F.col("upto") > r, F.col("gap")))
                              for r in ((total - 1) // 2, total // 2)]).first()
     return int(max(1, round((low + high) / 2 / 1e6)))
 
 
+def _gap_counts(df: DataFrame, who: list[str]) -> DataFrame:
+    """Gaps between neighbouring times (of each device, if ``who`` names it) in microseconds, and how often they occur: gap, n."""
+    times = (df.where("timestamp IS NOT NULL").groupBy(*who, epoch_micros(F.col("timestamp")).alias("us"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    # Stored, since two readers must see the same ranges.
+    ranges = materialize(times.repartitionByRange(*who, "us").withColumn("part", F.spark_partition_id()), "times")
+    # One row per range: few enough for a single ordered pass.
+    ends = ranges.groupBy("part").agg(F.max(F.struct(*who, "us")).alias("end"))
+    before = ends.select("part", F.lag("end").over(Window.orderBy("part")).alias("end"))
+    inside = Window.partitionBy("part", *who).orderBy("us")
+    same = F.lit(True)
+    for name in who:
+        same = same & F.col(f"end.{name}").eqNullSafe(F.col(name))
+    own = ranges.withColumn("own", F.lag("us").over(inside)).join(F.broadcast(before), "part")
+    gaps = own.select("us", "n", F.coalesce("own", F.when(same, F.col("end.us"))).alias("prev")).selectExpr(
+        "inline(array(struct(us - prev AS gap, 1L AS n), struct(0L AS gap, n - 1 AS n)))")
+    return gaps.where("gap IS NOT NULL AND n > 0").groupBy("gap").agg(F.sum("n").alias("n"))
+
+
 # A reading with a non-zero error code; a missing code is no error.
 FAILED = "coalesce(error_code <> 0, false)"
 

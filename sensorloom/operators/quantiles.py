@@ -16,6 +16,7 @@ from sensorloom.workspace import materialize
 # Values a column may have before ranks are searched instead of aggregated directly.
 DIRECT_ROWS = 1_000_000
 ACCURACY = 10_000
+MARGIN = 3.0  # sketch errors on either side of the wanted rank that a bracket covers
 
 
 @dataclass
@@ -135,39 +136,67 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
             else [None] * len(probabilities) for c in columns}
 
 
+def _at_rank(counted: DataFrame, keys: list[str], p: float, upto) -> DataFrame:
+    """Quantile of each group from its values in order: keys, n, value, and whether the wanted ranks are missing.
+
+    ``counted`` has keys, _n (rows of the group), _v and _c (its values and how often they occur); ``upto`` counts rows up to a value.
+    """
+    at = (F.col("_n") - 1) * F.lit(p)
+    placed = counted.withColumns({"_upto": upto, "_at": at, "_low": F.floor(at)})
+    lo = F.min(F.when(F.col("_upto") > F.col("_low"), F.struct("_upto", "_v")))
+    hi = F.min(F.when(F.col("_upto") > F.least(F.col("_low") + 1, F.col("_n") - 1), F.struct("_upto", "_v")))
+    out = placed.groupBy(*keys).agg(
+        F.first("_n").alias("n"), F.first("_at").alias("_at"), F.first("_low").alias("_low"),
+        lo.alias("_lo"), hi.alias("_hi"))
+    a, b = F.col("_lo._v"), F.col("_hi._v")
+    return out.select(*keys, "n", (a + (b - a) * (F.col("_at") - F.col("_low"))).cast("double").alias("value"),
+                      (a.isNull() | b.isNull()).alias("missed"))
+
+
+def _same_keys(left: str, right: str, keys: list[str]) -> list:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def _quantile_by_ranges(df: DataFrame, keys: list[str], column: str, p: float) -> DataFrame:
+    """Quantile of each group from all its values, sorted in ranges that split a group of any size."""
+    counted = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    # Stored, since two readers must see the same ranges.
+    ranges = materialize(counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()), "ranges")
+    # A row for each range and group in it.
+    along = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranges.groupBy("_part", *keys).agg(F.sum("_c").alias("_rows")).withColumns({
+        "_before": F.coalesce(F.sum("_rows").over(along), F.lit(0)), "_n": F.sum("_rows").over(Window.partitionBy(*keys))})
+    joined = ranges.alias("r").join(parts.alias("p"), [F.col("r._part") == F.col("p._part"), *_same_keys("r", "p", keys)]).select(
+        "r._part", *[f"r.{k}" for k in keys], "_v", "_c", "_before", "_n")
+    inside = Window.partitionBy("_part", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return _at_rank(joined, keys, p, F.col("_before") + F.sum("_c").over(inside))
+
+
 def group_quantile(df: DataFrame, keys: list[str], column: str, p: float) -> DataFrame:
     """Exact linear-interpolated quantile per group: keys, n, value.
 
     A group of any size is reduced to a sketch, then to the counts of the few values
-    around the wanted rank; the group itself is never gathered.
+    around the wanted rank; the group itself is never gathered. Groups whose sketch misses the rank are ranked in full, over ranges.
     """
-    margin = 3.0 / ACCURACY
+    margin = MARGIN / ACCURACY
     edges = [max(0.0, p - margin), min(1.0, p + margin)]
     sketch = df.groupBy(*keys).agg(
         F.percentile_approx(column, edges, ACCURACY).alias("_e"), F.count(column).alias("_n"))
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
     value, edge = F.col(f"d.{column}"), F.col("s._e")
     # The margin spans several ranks only in groups larger than the sketch; smaller ones keep
     # all their values.
     whole = F.col("s._n") <= ACCURACY
     # Values under the bracket share one cell, values over it are not needed.
-    near = (df.alias("d").join(sketch.alias("s"), same)
+    near = (df.alias("d").join(sketch.alias("s"), _same_keys("d", "s", keys))
             .where(value.isNotNull() & (whole | (value <= edge[1])))
             .select(*[F.col(f"d.{k}").alias(k) for k in keys], F.col("s._n").alias("_n"),
                     F.when(whole | (value >= edge[0]), value).alias("_v"))
             .groupBy(*keys, "_n", "_v").agg(F.count(F.lit(1)).alias("_c")))
     along = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")).rowsBetween(
         Window.unboundedPreceding, 0)
-    at = (F.col("_n") - 1) * F.lit(p)
-    low, upto = F.floor(at), F.col("_upto")
-    placed = near.withColumn("_upto", F.sum("_c").over(along)).withColumns({"_at": at, "_low": low})
-    lo = F.min(F.when(upto > F.col("_low"), F.struct(upto, "_v")))
-    hi = F.min(F.when(upto > F.least(F.col("_low") + 1, F.col("_n") - 1), F.struct(upto, "_v")))
-    out = placed.groupBy(*keys).agg(
-        F.first("_n").alias("n"), F.first("_at").alias("_at"), F.first("_low").alias("_low"),
-        lo.alias("_lo"), hi.alias("_hi"))
-    a, b = F.col("_lo._v"), F.col("_hi._v")
-    exact = a + (b - a) * (F.col("_at") - F.col("_low"))
-    unsure = a.isNull() | b.isNull()
-    return out.select(*keys, "n", F.when(unsure, F.raise_error(F.lit("quantile bracket missed its rank")))
-                      .otherwise(exact).cast("double").alias("value"))
+    found = materialize(_at_rank(near, keys, p, F.sum("_c").over(along)), "quantiles")
+    missed = found.where("missed").select(*keys)
+    if missed.isEmpty():
+        return found.drop("missed")
+    left = df.alias("d").join(missed.alias("m"), _same_keys("d", "m", keys), "left_semi")
+    return found.where("NOT missed").unionByName(_quantile_by_ranges(left, keys, column, p)).drop("missed")

@@ -159,6 +159,18 @@ def test_step_counts_repeated_times_as_zero(spark, telemetry):
     assert sample_step_seconds(telemetry([dict(timestamp=at(m)) for m in (0, 2, 5)])) == 150
 
 
+@pytest.mark.parametrize("per_device", [False, True])
+def test_step_over_several_ranges_equals_plain(spark, telemetry, per_device):
+    rng = np.random.default_rng(7)
+    rows = [(d, int(m)) for d in "AB" for m in rng.integers(0, 90_000, 900)] + [("C", 5)]
+    df = telemetry([dict(device_id=d, timestamp=at(m / 60)) for d, m in rows]).repartition(6)
+    gaps = []
+    for d in "ABC" if per_device else [None]:
+        times = sorted(m for who, m in rows if d in (None, who))
+        gaps += [b - a for a, b in zip(times, times[1:])]
+    assert sample_step_seconds(df, per_device) == max(1, round(np.median(gaps)))
+
+
 def test_ffill_stays_within_the_device(spark, telemetry):
     df = telemetry([dict(device_id="A", temp_c=1.0), dict(device_id="B", temp_c=None), dict(device_id="A", temp_c=None)])
     found = {r.row_id: r.temp_c for r in ffill_signals(df, SPEC).collect()}

@@ -40,6 +40,26 @@ def test_group_quantile_with_a_hot_group(spark, monkeypatch, accuracy):
             assert got[k][0] == len(vs) and got[k][1] == pytest.approx(np.quantile(vs, p), rel=1e-12)
 
 
+def test_groups_that_a_sketch_misses_are_ranked_in_full(spark, monkeypatch):
+    """A bracket that cannot hold the rank: no job fails, and the hot group spreads over ranges."""
+    monkeypatch.setattr(Q, "ACCURACY", 100)
+    monkeypatch.setattr(Q, "MARGIN", 0.0)
+    by_ranges, used = Q._quantile_by_ranges, []
+    monkeypatch.setattr(Q, "_quantile_by_ranges", lambda *a: used.append(a) or by_ranges(*a))
+    rng = np.random.default_rng(11)
+    groups = {"hot": rng.pareto(1.0, 9000), "tied": np.repeat([1.0, 2.0, 3.0], [2000, 50, 950]), None: rng.random(700), "few": rng.random(7)}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("hot", None), ("nothing", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    for p in (0.0, 0.3, 0.95, 1.0):
+        got = {r.g: (r.n, r.value) for r in Q.group_quantile(df, ["g"], "v", p).collect()}
+        assert set(got) == set(groups)
+        for k, vs in groups.items():
+            assert got[k][0] == len(vs) and got[k][1] == pytest.approx(np.quantile(vs, p), rel=1e-12)
+    assert used
+    full = {r.g: r.value for r in by_ranges(df, ["g"], "v", 0.7).collect()}
+    assert full == {k: pytest.approx(np.quantile(vs, 0.7), rel=1e-12) for k, vs in groups.items()}
+
+
 def test_two_frequent_values_with_many_between(spark):
     values = [0.0] * 5000 + [1.0] * 5000 + [i / 3001 for i in range(1, 3001)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(6)
