@@ -1,14 +1,16 @@
 """Main text of web pages by deducing each host's template.
 
-1. A narrow pass turns every page into tokens: its elements, named by their path, and blocks of text outside
-   articles. The occurrence vector of a token holds its count on every page of the host. Vectors are not built: two
+1. A narrow pass turns every page into tokens: its elements, named by their path, and its blocks of text. The occurrence vector of a token holds its count on every page of the host. Vectors are not built: two
    sums of page hashes name them, which Spark combines before it shuffles, so a host may hold any number of pages.
 2. Tokens of one host with equal vectors form an equivalence class. A class is valid if it has several
    tokens and stands on half of the host's pages, two at least; equal contents are one page. Valid classes nest by the paths of their tokens; together they are the
    template: fixed elements and fixed text.
+   Inside an article, where headings and phrases may repeat by chance, text is fixed only if its class is that of the
+   skeleton: it stands as often as elements of the page's frame do, on every content of the host, `WHOLE` at least.
 3. What a page has between tokens of its template are slots. Slots in menus, headers, footers, sidebars, notices, adverts,
    forms, scripts, styles and comments are left out by the names of the elements around them, and so is fixed text. If
-   slots lie in an article, only those are the main text; else all that remain are.
+   slots lie in an article, only those are the main text; else all that remain are. Articles in boxes of teasers, adverts or
+   comments give way to a longer text outside.
 
 A page without siblings has no template; the names around its slots then decide alone.
 """
@@ -30,6 +32,7 @@ from .common import stored
 SHARE = 0.5   # part of a host's pages on which a valid class stands
 PAGES = 2     # pages that a valid class needs at least
 TOKENS = 2    # tokens that a valid class needs at least
+WHOLE = 5     # contents that a host needs before text inside its articles can be fixed
 DEPTH = 64    # elements of a path; deeper ones share their ancestor's path
 
 # Names of elements, roles and classes whose content is not the main text.
@@ -39,8 +42,10 @@ NAMES = set("ad ads advert adverts advertisement advertising sponsor sponsored p
             "newsletter subscribe signup sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment "
             "comments disqus respond replies share sharing social related recommended popup modal".split())
 # Parts of names of boxes that may hold articles of others: teasers, adverts, readers' comments.
-BOXES = set("ad ads advert adverts advertisement advertising sponsor sponsored promo newsletter comment comments disqus respond replies "
+BOXES = set("teaser teasers ad ads advert adverts advertisement advertising sponsor sponsored promo newsletter comment comments disqus respond replies "
             "related recommended popup modal".split())
+# Elements whose class or id may name them inside an article; paragraphs, headings and words are text whatever they are called.
+CONTAINERS = set("div section ul ol dl table figure fieldset details span a".split())
 MAIN = {"article", "main"}
 ROOTS = {"html", "body", *MAIN}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,11 +67,12 @@ class Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, int, bool, bool]] = []  # tag, path, aside, main, aside for sure, in a box
+        # tag, path, aside, main, aside for sure, in a box, in an article element
+        self.open: list[tuple[str, str, bool, int, bool, bool, bool]] = []
         self.paths: Counter[str] = Counter()
         self.blocks: list[tuple[str, bool, int, str]] = []
-        self.text: list[str] = []
-        self.place = ("", False, 0)
+        # Text of the open block by what it is: aside or not, in which kind of article. An inline aside does not end a block.
+        self.text: dict[tuple[bool, int], tuple[str, list[str]]] = {}
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -76,22 +82,23 @@ class Page(HTMLParser):
         if tag in SAME:
             self._close(tag, stop=SAME[tag])
         values = {k: v or "" for k, v in attrs}
-        _, above, aside, main, sure, box = self.open[-1] if self.open else ("", "", False, 0, False, False)
+        _, above, aside, main, sure, box, inner = self.open[-1] if self.open else ("", "", False, 0, False, False, False)
         names = f"{values.get('class', '')} {values.get('id', '')}".lower()
         path = above if len(self.open) >= DEPTH else f"{above}/{tag}" + (f".{'.'.join(sorted(values['class'].split()))}" if values.get("class") else "")
         self.paths[path] += 1
         role = values.get("role", "").lower()
-        parts = set() if tag in ROOTS else set(re.split(r"[^a-z0-9]+", names))
-        whole = set() if tag in ROOTS else set(names.split())
+        # Around an article any part of a name counts, inside it only whole names of containers.
+        named = tag not in ROOTS and (not inner or tag in CONTAINERS)
+        whole, parts = (set(names.split()), set(re.split(r"[^a-z0-9]+", names))) if named else (set(), set())
         sure = (sure or (tag in ASIDE and tag != "form") or (tag == "header" and not main) or (role in ROLES and role != "form")
                 or not NAMES.isdisjoint(whole) or "hidden" in values)
         box = box or not BOXES.isdisjoint(parts)
         if tag in MAIN:
             aside, main = sure or role == "form", 2 if box else 1
         else:
-            aside = aside or sure or tag == "form" or role == "form" or not NAMES.isdisjoint(parts)
+            aside = aside or sure or tag == "form" or role == "form" or not (inner or NAMES.isdisjoint(parts))
         if tag not in VOID:
-            self.open.append((tag, path, aside, main, sure, box))
+            self.open.append((tag, path, aside, main, sure, box, inner or tag == "article"))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -114,19 +121,15 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
-        place = self.open[-1][1:4] if self.open else ("", False, 0)
-        if self.text and place[1:] != self.place[1:]:
-            self._flush()
-        if not self.text:
-            self.place = place
-        self.text.append(data)
+        path, aside, main = self.open[-1][1:4] if self.open else ("", False, 0)
+        self.text.setdefault((aside, main), (path, []))[1].append(data)
 
     def _flush(self):
-        if self.text:
-            text = SPACE.sub(" ", "".join(self.text)).strip()
+        for (aside, main), (path, parts) in self.text.items():
+            text = SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                self.blocks.append((*self.place, text))
-            self.text = []
+                self.blocks.append((path, aside, main, text))
+        self.text = {}
 
     def finish(self):
         self.close()
@@ -140,22 +143,22 @@ def parse(html: str) -> Page:
     return page.finish()
 
 
-def fixed(path: str, text: str) -> str:
-    """The token of a block of text."""
+def fixed(path: str, text: str, main: int = 0) -> str:
+    """The token of a block of text; inside an article it starts with @."""
+    if main:
+        return f"@{xxhash.xxh3_128_hexdigest(f'{path}#{text}'.encode())}"
     return f"{path}#{xxhash.xxh3_128_hexdigest(text.encode())}"
 
 
 def tokens(page: Page) -> Counter[str]:
-    return page.paths + Counter(fixed(path, text) for path, _, main, text in page.blocks if not main)
+    return page.paths + Counter(fixed(path, text, main) for path, aside, main, text in page.blocks if not (main and aside))
 
 
 def main_text(page: Page, template: set[str]) -> str:
-    """Blocks of the slots that remain, in page order, one to a line. Articles in boxes count only if there are no others."""
-    slots = [(main, text) for path, aside, main, text in page.blocks
-             if not aside and (main or fixed(path, text) not in template)]
-    level = min((main for main, _ in slots if main), default=0)
-    inside = [text for main, text in slots if main and main == level]
-    return "\n".join(inside or [text for _, text in slots])
+    """Blocks of the slots that remain, in page order, one to a line. Articles in boxes count only if no longer text is left."""
+    slots = [(main, text) for path, aside, main, text in page.blocks if not aside and fixed(path, text, main) not in template]
+    inside, boxed, outside = ("\n".join(text for main, text in slots if main == kind) for kind in (1, 2, 0))
+    return inside or max(boxed, outside, key=len)
 
 
 def _host(url):
@@ -187,9 +190,12 @@ def templates(pages: DataFrame, html: str = "html", url: str = "url") -> DataFra
     named = vectors.select("host", "token", "pages", F.xxhash64("a", "b").alias("class"))
     named = stored(named.where(F.col("pages") >= PAGES))
     size = source.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("all"))
-    classes = named.groupBy("host", "class", "pages").agg(F.count("*").alias("size")).join(size, "host").where(
-        (F.col("pages") >= SHARE * F.col("all")) & (F.col("size") >= TOKENS)).select("host", "class", "size")
-    valid = named.join(classes, ["host", "class"])
+    element = ~F.contains("token", F.lit("#")) & ~F.startswith("token", F.lit("@"))
+    classes = named.groupBy("host", "class", "pages").agg(F.count("*").alias("size"), F.max(element).alias("frame")).join(size, "host").where(
+        (F.col("pages") >= SHARE * F.col("all")) & (F.col("size") >= TOKENS))
+    skeleton = F.col("frame") & (F.col("pages") == F.col("all")) & (F.col("all") >= WHOLE)
+    classes = classes.select("host", "class", "size", skeleton.alias("skeleton"))
+    valid = named.join(classes, ["host", "class"]).where(~F.startswith("token", F.lit("@")) | F.col("skeleton"))
     around = valid.select("host", F.col("token").alias("above"), F.col("class").alias("parent"))
     above = F.when(F.contains("token", F.lit("#")), F.substring_index("token", "#", 1)).otherwise(F.regexp_replace("token", "/[^/]*$", ""))
     return valid.withColumn("above", above).join(around, ["host", "above"], "left").select("host", "token", "class", "parent", "pages", "size")
@@ -201,7 +207,7 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     Null or empty html has the empty text; pages without a url share the empty host. Rows of equal html count as one page
     of their host and get equal texts; a host of a single content has no template.
     """
-    rules = templates(pages, html, url).where(F.contains("token", F.lit("#")))
+    rules = templates(pages, html, url).where(F.contains("token", F.lit("#")) | F.startswith("token", F.lit("@")))
     # Stored, so that the join has a plain exchange on either side and Spark can split the pages of a large host.
     template = stored(rules.groupBy("host").agg(F.collect_set("token").alias("_template")).withColumnRenamed("host", "_host"))
     source = pages.drop("text", "n_chars").withColumn("_host", _host(F.col(url))).join(template, "_host", "left").drop("_host")

@@ -34,7 +34,38 @@ def test_template_without_article(spark):
     assert {r.host for r in found} == {"news.example:80"}
     inner = {r.token: (r["class"], r.parent) for r in found}
     assert inner["/html/body/div.x"][1] == inner["/html/body"][0]
-    assert inner["/html/body/div.x/p"][0] != inner["/html/body"][0] if "/html/body/div.x/p" in inner else True
+    assert "/html/body/div.x/p" not in inner  # twice a page, and alone in its class
+
+
+def plain_fixed(pages, least=5):
+    """Texts of articles that stand on every different page of the host as often as its body does, by explicit vectors."""
+    contents = sorted(set(pages))
+    parsed = [parse(p) for p in contents]
+    vectors = {}
+    for k, p in enumerate(parsed):
+        for path, aside, main, text in p.blocks:
+            if main and not aside:
+                vectors.setdefault((path, text), [0] * len(contents))[k] += 1
+    frame = [p.paths["/html/body"] for p in parsed]
+    return {text for (_, text), v in vectors.items() if v == frame and all(v)} if len(contents) >= least else set()
+
+
+def test_fixed_text_inside_articles(spark):
+    body = "<html><body><nav>m</nav><article><h1>T {i}</h1><p>story {i}</p><h2>Conclusion</h2><p>end {e}</p><div><p>Thanks for reading {h}!</p></div></article></body></html>"
+    rows = []
+    for h, n in (("big", 9), ("small", 3)):
+        for i in range(n):
+            html = body.format(i=i, e=i % 2, h=h)
+            if i == 1:
+                html = html.replace("<h2>Conclusion</h2>", "<h2>Outlook</h2>")
+            rows += [(f"{h}{i}", f"http://{h}.example/{i}", html)] * (1 + i % 2)
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    for h in ("big", "small"):
+        fixed = plain_fixed([html for k, _, html in rows if k.startswith(h)])
+        assert fixed == ({"Thanks for reading big!"} if h == "big" else set())
+        for k, _, html in rows:
+            if k.startswith(h):
+                assert got[k] == "\n".join(t for _, aside, main, t in parse(html).blocks if main and not aside and t not in fixed)
 
 
 def test_long_page():
@@ -54,6 +85,25 @@ def test_wrappers_of_an_article():
     assert main_text(parse("<article><p>own<div class='related-posts'><article>teaser</article></div></article>"), set()) == "own"
 
 
+def test_names_inside_an_article():
+    kept = ["<h2 id='related-work'>a</h2>", "<p class='side-effects'>a</p>", "<section id='social-history'><p>a</p></section>", "<h2 id='menu'>a</h2>",
+            "<p class='notice'>a</p>", "<div class='post-header'><h1>a</h1></div>", "<li class='share'>a</li>"]
+    for html in kept:
+        assert main_text(parse(f"<body><nav>x</nav><article><p>b</p>{html}</article></body>"), set()) == "b\na", html
+    for html in ("<div class='ad'>x</div>", "<div id='comments'>x</div>", "<ul class='share'><li>x</ul>", "<aside>x</aside>", "<section class='big notice'>x</section>"):
+        assert main_text(parse(f"<body><article><p>b</p>{html}</article></body>"), set()) == "b", html
+
+
+def test_inline_asides_do_not_end_a_block():
+    for inner in ("<span class=ad>buy</span>", "<script>var x</script>", "<button>press</button>", "<select><option>1</select>"):
+        assert main_text(parse(f"<article><p>Hello {inner} world</p></article>"), set()) == "Hello world", inner
+
+
+def test_story_beside_teasers():
+    html = "<body><section class=teasers><article><p>teaser</p></article></section><div><p>the story itself</p></div></body>"
+    assert main_text(parse(html), set()) == "the story itself"
+
+
 def test_copies_are_one_page(spark):
     html = "<html><body><div class=top>Welcome to our site</div><p>story {i}</p><p>more of {i}</p></body></html>"
     rows = [(i, f"http://twice.example/{i}", html.format(i=1)) for i in range(2)]
