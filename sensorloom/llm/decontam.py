@@ -17,11 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, stored, text_of, words_of
+from .common import fresh_names, let, stored, text_of, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 23  # of the fingerprints that stood before the verification once; nothing is cut by it any more
 BROADCAST = 200_000  # most listed shingles of items that are broadcast; more are shuffled
 
 
@@ -47,7 +46,7 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
 
 def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per different item text: item (smallest id), its size, its shingles with weights, heaviest first, and its head."""
-    raw = (benchmark.select(F.col(item).cast("long").alias("item"), shingles(text_of(text)).alias("shingles"))
+    raw = (benchmark.select(F.col(item).alias("item"), shingles(text_of(text)).alias("shingles"))
            .where((F.size("shingles") > 0) & F.col("item").isNotNull()))
     raw = raw.groupBy("shingles").agg(F.min("item").alias("item"))
     each = raw.select("item", F.explode("shingles").alias("h"))
@@ -73,24 +72,37 @@ def head(weighted: Column, least: float) -> Column:
     return let(weight_of(weighted) * (1 - least + 1e-6), upto)
 
 
-def similarity(weighted: Column, hashes: Column) -> Column:
-    """Weighted part of the item's shingles that the window holds, repeats counted."""
-    got = F.aggregate(weighted, F.lit(0.0), lambda s, x: s + x["w"] * F.least(
-        x["n"], F.size(F.filter(hashes, lambda h: h == x["h"]))))
-    return got / weight_of(weighted)
-
-
 def best_window(every: Column, weighted: Column, size: Column) -> Column:
     """(similarity, back) of the most similar window, the first of equal ones; back is its start, negative.
 
-    At the end of a text the window is moved inside; a text shorter than the item is one window.
+    Similarity is the weighted part of the item's shingles that the window holds, repeats counted up to those of the item.
+    At the end of a text the window is moved inside; a text shorter than the item is one window. Only places of common shingles are
+    looked at: one counts in a window that starts after the n-th same place before it, if the item has the shingle n times.
     """
+    table = F.map_from_arrays(F.transform(weighted, lambda x: x["h"]), F.transform(weighted, lambda x: F.struct(x["n"], x["w"])))
+
+    def places(h: Column) -> Column:
+        found = let(table, lambda t: F.transform(h, lambda v, p: F.struct(p.alias("p"), v.alias("h"), F.try_element_at(t, v).alias("x"))))
+        return F.filter(found, lambda y: y["x"].isNotNull())
+
+    def with_rivals(hits: Column) -> Column:
+        def one(y: Column) -> Column:
+            earlier = F.filter(hits, lambda z: (z["h"] == y["h"]) & (z["p"] < y["p"]))
+            rival = let(earlier, lambda e: F.get(e, F.size(e) - y["x"]["n"])["p"])
+            return F.struct(y["p"].alias("p"), y["x"]["w"].alias("w"), F.coalesce(rival, F.lit(-1)).alias("rival"))
+        return F.transform(hits, one)
+
     def rated(h: Column) -> Column:
-        own, last = F.transform(weighted, lambda x: x["h"]), F.greatest(F.lit(0), F.size(h) - size)
-        places = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda p: F.array_contains(own, F.get(h, p)))
-        starts = F.array_distinct(F.transform(places, lambda p: F.least(p, last)))
-        return F.array_max(F.transform(starts, lambda s: F.struct(
-            similarity(weighted, F.slice(h, s + 1, size)).alias("similarity"), (-s).alias("back"))))
+        last = F.greatest(F.lit(0), F.size(h) - size)
+
+        def best(hits: Column) -> Column:
+            def of(start: Column) -> Column:
+                got = F.aggregate(hits, F.lit(0.0), lambda s, y: s + F.when(
+                    (y["p"] >= start) & (y["p"] < start + size) & (y["rival"] < start), y["w"]).otherwise(0.0))
+                return F.struct((got / weight_of(weighted)).alias("similarity"), (-start).alias("back"))
+            return F.array_max(F.transform(F.array_distinct(F.transform(hits, lambda y: F.least(y["p"], last))), of))
+
+        return let(let(places(h), with_rivals), best)
 
     return let(every, rated)
 
@@ -126,12 +138,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     found = found.withColumnRenamed("_key", "_k").withColumnRenamed("_row", "_r")
     return rows.drop("_text").join(found, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left").select(
         F.col("_key").alias(key), F.coalesce(F.size("items"), F.lit(0)).alias("n_items"),
-        F.coalesce("items", F.array().cast("array<bigint>")).alias("items"), "similarity", F.col("items").isNotNull().alias("leaked"))
+        F.coalesce("items", F.array().cast(found.schema["items"].dataType)).alias("items"), "similarity", F.col("items").isNotNull().alias("leaked"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of `docs` that hold no benchmark item; columns stay as they are."""
+    """The rows of `docs` that hold no benchmark item; columns, whatever their names, stay as they are."""
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(F.col(key), F.col(text)).alias("_row"))
-    bad = leaks(rows, benchmark, ["_key", "_row"], "_text", **options).select("_key", F.col("_row").alias("_r")).distinct()
-    return docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text))).join(
-        bad, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_row") == F.col("_r")), "left_anti").select(*docs.columns)
+    k, r, own = fresh_names(docs, "k", "r", "own")
+    bad = leaks(rows, benchmark, ["_key", "_row"], "_text", **options).select(F.col("_key").alias(k), F.col("_row").alias(r)).distinct()
+    return docs.withColumn(own, F.xxhash64(F.col(key), F.col(text))).join(
+        bad, F.col(key).eqNullSafe(F.col(k)) & (F.col(own) == F.col(r)), "left_anti").select(*docs.columns)

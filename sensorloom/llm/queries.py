@@ -74,7 +74,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_items", F.array_join("items", ",").alias("item_ids"),
+    return found.select("doc_id", "n_items", F.array_join(F.col("items").cast("array<string>"), ",").alias("item_ids"),
                         F.round("similarity", 6).alias("similarity"), F.col("leaked").alias("contaminated"))
 
 

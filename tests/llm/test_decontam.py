@@ -1,9 +1,10 @@
 import random
 import re
+import time
 from collections import Counter
 from math import log
 
-from sensorloom.llm.decontam import RADIUS, decontaminate, drop_leaks
+from sensorloom.llm.decontam import decontaminate, drop_leaks
 
 
 def shingles(text):
@@ -46,7 +47,6 @@ def test_equals_brute_force(spark):
             body = body[:at] + leak + body[at:]
         docs.append((d, " ".join(body).upper() if d % 5 == 0 else "\n".join(body)))
     docs += [(500, None), (501, ""), (502, items[3][1]), (503, (items[4][1] + " ") * 50)]
-    assert RADIUS == 23
     frame = spark.createDataFrame([(d, t, 0) for d, t in docs] + [(None, items[5][1], 1), (502, items[3][1], 0), (502, "clean", 0)],
                                   "doc_id long, text string, items int")
     bench = spark.createDataFrame([(i, t) for i, t in items] + [(None, "a b c d e f"), (99, None), (98, ""), (97, items[0][1])],
@@ -91,3 +91,29 @@ def test_items_that_share_most_of_their_shingles(spark):
     for r in got:
         assert r["items"] == sorted(want.get(r.doc_id, {})), r.doc_id
         assert r.doc_id not in want or abs(r.similarity - max(want[r.doc_id].values())) < 1e-9
+
+
+def test_long_item_in_a_long_text(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(900)]
+    item = [rng.choice(words) for _ in range(3000)]
+    changed = [rng.choice(words) if rng.random() < 0.02 else w for w in item]
+    docs = [(1, " ".join(rng.choices(words, k=3000) + changed + rng.choices(words, k=3000))), (2, " ".join(rng.choices(words, k=9000)))]
+    began = time.time()
+    got = {r.doc_id: r for r in decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                                              spark.createDataFrame([("long one", " ".join(item))], "item_id string, text string")).collect()}
+    assert time.time() - began < 60
+    assert got[1]["items"] == ["long one"] and not got[2].leaked
+    own, held = Counter(shingles(docs[0][1])[3000:3000 + 2996]), Counter(shingles(" ".join(item)))
+    assert abs(got[1].similarity - sum(min(c, own[h]) for h, c in held.items()) / 2996) < 1e-9
+
+
+def test_columns_of_any_name_and_text_ids(spark):
+    item = "one two three four five six seven eight"
+    names = ["_k", "_r", "_own", "_key", "_row", "_text", "item", "h"]
+    rows = [("a", "say " + item, *names), ("b", "clean words only", *names), (None, item, *names), (None, None, *names)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, " + ", ".join(f"`{n}` string" for n in names))
+    bench = spark.createDataFrame([("x", item), ("w", item)], "item_id string, text string")
+    assert {r.doc_id: list(r["items"]) for r in decontaminate(docs.where("doc_id IS NOT NULL"), bench).collect()} == {"a": ["w"], "b": []}
+    kept = drop_leaks(docs, bench)
+    assert kept.columns == docs.columns and sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([rows[1], rows[3]], key=repr)
