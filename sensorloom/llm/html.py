@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh_names, stored
 
 SHARE = 0.5   # part of a host's pages on which a valid class stands
 PAGES = 2     # pages that a valid class needs at least
@@ -209,18 +209,19 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame
     """
     rules = templates(pages, html, url).where(F.contains("token", F.lit("#")) | F.startswith("token", F.lit("@")))
     # Stored, so that the join has a plain exchange on either side and Spark can split the pages of a large host.
-    template = stored(rules.groupBy("host").agg(F.collect_set("token").alias("_template")).withColumnRenamed("host", "_host"))
-    source = pages.drop("text", "n_chars").withColumn("_host", _host(F.col(url))).join(template, "_host", "left").drop("_host")
-    names = [c for c in source.columns if c != "_template"]
-    out = source.drop("_template").withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
+    host, found = fresh_names(pages, "host", "template")
+    template = stored(rules.groupBy(F.col("host").alias(host)).agg(F.collect_set("token").alias(found)))
+    source = pages.drop("text", "n_chars").withColumn(host, _host(F.col(url))).join(template, host, "left").drop(host)
+    names = [c for c in source.columns if c != found]
+    out = source.drop(found).withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
     place = names.index(html)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             rules = part.column(len(names))
-            found = [main_text(parse(value.as_py() or ""), set(rule.as_py() or ()))
+            texts = [main_text(parse(value.as_py() or ""), set(rule.as_py() or ()))
                      for value, rule in zip(part.column(place), rules, strict=True)]
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=[*names, "text", "n_chars"])
 
-    return source.select(*names, "_template").mapInArrow(batches, out)
+    return source.select(*names, found).mapInArrow(batches, out)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, text_of, words_of
+from .common import fresh_names, let, text_of, words_of
 
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -107,19 +107,20 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     A null or empty text has no word: counts are 0 and ratios null. Repeated rows are measured
     alike. Columns of the same name as a metric are replaced.
     """
-    base = docs.withColumn("_text", text_of(text)).withColumn("_words", words_of(F.col("_text")))
-    lines = F.filter(F.split(F.col("_text"), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    own, words, kept = fresh_names(docs, "text", "words", "lines")
+    base = docs.withColumn(own, text_of(text)).withColumn(words, words_of(F.col(own)))
+    lines = F.filter(F.split(F.col(own), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = (base
-               .withColumn("n_words", F.size("_words").cast("long"))
-               .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
-               .withColumn("n_symbols", _removed(F.col("_text"), r"[#*$%&|<>]"))
-               .withColumn("n_marks", _removed(F.col("_text"), r"[!?]"))
-               .withColumn("n_capitals", _removed(F.col("_text"), r"[\p{Lu}]"))
-               .withColumn("_lines", lines)
-               .withColumn("n_lines", F.size("_lines").cast("long"))
-               .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-               .withColumn("n_stop_words", F.size(F.filter("_words", lambda w: w.isin(STOP_FORMS))).cast("long"))
-               .withColumn("n_repeat_words", _repeat_words(F.col("_words")).cast("long")))
+               .withColumn("n_words", F.size(words).cast("long"))
+               .withColumn("word_chars", F.length(F.array_join(words, "")).cast("long"))
+               .withColumn("n_symbols", _removed(F.col(own), r"[#*$%&|<>]"))
+               .withColumn("n_marks", _removed(F.col(own), r"[!?]"))
+               .withColumn("n_capitals", _removed(F.col(own), r"[\p{Lu}]"))
+               .withColumn(kept, lines)
+               .withColumn("n_lines", F.size(kept).cast("long"))
+               .withColumn("n_dup_lines", (F.size(kept) - F.size(F.array_distinct(kept))).cast("long"))
+               .withColumn("n_stop_words", F.size(F.filter(words, lambda w: w.isin(STOP_FORMS))).cast("long"))
+               .withColumn("n_repeat_words", _repeat_words(F.col(words)).cast("long")))
     per_word = lambda name: F.when(F.col("n_words") > 0, F.col(name) / F.col("n_words"))
     return (counted
             .withColumn("mean_word_chars", per_word("word_chars"))
@@ -129,7 +130,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             .withColumn("stop_word_ratio", per_word("n_stop_words"))
             .withColumn("dup_line_ratio", F.when(F.col("n_lines") > 0, F.col("n_dup_lines") / F.col("n_lines")))
             .withColumn("repeat_word_ratio", per_word("n_repeat_words"))
-            .drop("_text", "_words", "_lines"))
+            .drop(own, words, kept))
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:

@@ -111,3 +111,9 @@ def test_copies_are_one_page(spark):
     got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0] == got[1] == "Welcome to our site\nstory 1\nmore of 1"
     assert all(got[10 + i] == "story {0}\nmore of {0}".format(max(0, i - 3)) for i in range(8))
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "http://a.example/", "<article><p>own</p></article>", "h", "t", "c")]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, _host string, _template string, class string")).first()
+    assert (got._host, got._template, got["class"], got.text) == ("h", "t", "c", "own")

@@ -35,3 +35,9 @@ def test_rules(spark):
     assert all(r.kept for r in quality_rules(docs, ()).collect())
     assert {r.doc_id: r.kept for r in quality_rules(docs, (Rule("n_words", high=1),)).collect()} == {1: False, 2: True, 3: True}
     assert quality_rules(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "some words here\nsome words here", "a", "b", "c")], "doc_id long, text string, _text string, _words string, _lines string")
+    got = quality_rules(docs).first()
+    assert (got._text, got._words, got._lines, got.n_words, got.n_dup_lines) == ("a", "b", "c", 6, 1)
