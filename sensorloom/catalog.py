@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sensorloom.operators import (
     alerts as A, bursts as B, evaluate as E, explain as X, features as FT, feed, forest as FO,
     lookup as L, metrics as M, quality as Q, scaling as S, summarize as G)
-from sensorloom.operators.rules import FamilyRule, Rule, rules_table
+from sensorloom.operators.rules import FamilyRule, Rule, RuleDefaults, rules_table
 from sensorloom.functions.scalars import normalize_tag
 from sensorloom.plans.scoring import run_scoring, score_telemetry
 from sensorloom.plans.training import train, training_rows
@@ -55,6 +55,15 @@ RULES = [
     Rule("off", "tag_route", False, "info", "", {"tag": "power_spike", "route": "electrical"}),
 ]
 
+# Three burst rules at once; the second takes its severity and its least score from the defaults.
+BURST_RULES = [
+    RULES[0],
+    Rule("burst-24h", "burst", params={"device_window_minutes": 24 * 60, "min_anomalies": 2}),
+    Rule("burst-7d", "burst", True, "info", "many in a week", {
+        "device_window_minutes": 7 * 24 * 60, "min_anomalies": 4, "min_score": 0.13, "cooldown_minutes": 24 * 60}),
+]
+DEFAULTS = RuleDefaults(0.14, "warning")
+
 
 def grid(column: Column | str, places: int = 6) -> Column:
     value = F.col(column) if isinstance(column, str) else column
@@ -481,6 +490,9 @@ QUERIES = {
     "evaluate_rules": _of_view(lambda v: gridded(A.evaluate_rules(
         explanations(v), rules_table(v.sparkSession, RULES)), ["score", "confidence"]).withColumn(
             "n_events", F.col("n_events").cast("double"))),
+    "evaluate_burst_rules": _of_view(lambda v: A.evaluate_rules(
+        flagged(v), rules_table(v.sparkSession, BURST_RULES), defaults=DEFAULTS).select(
+            "rule_id", "device_id", "timestamp", "burst_start", "n_events", "severity", "route", "message")),
     # jobs and streams
     "burst_report": burst_report,
     "scoring_alerts": scoring_alerts,

@@ -6,9 +6,9 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.functions.scalars import normalize_tag
-from sensorloom.operators.bursts import burst_cooldown, burst_dedupe
+from sensorloom.operators.bursts import BurstRule, burst_sweep
 from sensorloom.operators.explain import UNLABELED
-from sensorloom.operators.rules import TAG_TYPES, FamilyRule, Rule, check_rule, family_rule, read_rules
+from sensorloom.operators.rules import TAG_TYPES, FamilyRule, Rule, RuleDefaults, check_rule, family_rule, read_rules
 from sensorloom.schema import FAMILY_SHARE, FEATURE_SHARE
 
 # Route, severity and root cause of each known fault tag.
@@ -178,14 +178,15 @@ def _row_matches(rules: list[Rule], routes: dict) -> Column:
     return F.array_compact(F.array(*fired))
 
 
-def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule], routes: dict = TAG_ROUTES) -> DataFrame:
-    """All alerts of all enabled rules: per-row rules in one pass, bursts one pass each.
+def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule], routes: dict = TAG_ROUTES,
+                   defaults: RuleDefaults = RuleDefaults()) -> DataFrame:
+    """All alerts of all enabled rules: per-row rules in one pass, all burst rules in another.
 
     ``timestamp`` of a burst is its end; ``burst_start`` and ``n_events`` are null for rows.
     """
     checked = read_rules(rules) if isinstance(rules, DataFrame) else [
         check_rule(r, i) for i, r in enumerate(rules)]
-    active = [r for r in checked if r.enabled]
+    active = [defaults.fill(r) for r in checked if r.enabled]
     per_row = [r for r in active if r.type != "burst"]
     flagged = events.where(F.col("pred") == 1)
     ts = events.schema["timestamp"].dataType
@@ -198,18 +199,15 @@ def evaluate_rules(events: DataFrame, rules: DataFrame | list[Rule], routes: dic
             "a.kind", "a.rule_id", "device_id", "timestamp", F.lit(None).cast(ts).alias("burst_start"),
             F.lit(None).cast("bigint").alias("n_events"), F.col("score").cast("double").alias("score"),
             "a.severity", "a.route", "a.message", "a.confidence"))
-    for r in (r for r in active if r.type == "burst"):
-        bursts = burst_dedupe(flagged, float(r.params["device_window_minutes"]),
-                              int(r.params["min_anomalies"]), r.min_score, r.severity, r.id)
-        cooldown = float(r.params.get("cooldown_minutes") or 0)
-        bursts = burst_cooldown(bursts, cooldown) if cooldown > 0 else bursts
-        parts.append(bursts.select(
+    sweep = [BurstRule(float(r.params["device_window_minutes"]), int(r.params["min_anomalies"]), r.min_score,
+                       float(r.params.get("cooldown_minutes") or 0), r.severity, r.id, r.message)
+             for r in active if r.type == "burst"]
+    if sweep:
+        parts.append(burst_sweep(flagged, sweep).select(
             F.lit("burst").alias("kind"), F.col("rule_name").alias("rule_id"), "device_id",
             F.col("burst_end").alias("timestamp"), "burst_start", "n_events",
             F.lit(None).cast("double").alias("score"), "severity",
-            F.lit(DEFAULT_ROUTE).alias("route"),
-            F.lit(r.message).alias("message") if r.message else "message",
-            F.lit(1.0).alias("confidence")))
+            F.lit(DEFAULT_ROUTE).alias("route"), "message", F.lit(1.0).alias("confidence")))
     if not parts:
         shape = evaluate_rules(events, [Rule("none", "burst", params={
             "device_window_minutes": 1, "min_anomalies": 1})])

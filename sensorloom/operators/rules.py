@@ -1,6 +1,6 @@
 """Alert rules: a small table of typed columns plus a map of parameters."""
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -28,7 +28,7 @@ class Rule:
     id: str
     type: str
     enabled: bool = True
-    severity: str = "INFO"
+    severity: str = ""
     message: str = ""
     params: dict = field(default_factory=dict)
 
@@ -38,6 +38,17 @@ class Rule:
         return None if value is None else float(value)
 
 
+@dataclass(frozen=True)
+class RuleDefaults:
+    """What holds for rules that say nothing else: the least score of a row, and the severity."""
+    min_score: float | None = None
+    severity: str = "INFO"
+
+    def fill(self, rule: Rule) -> Rule:
+        params = rule.params if rule.min_score is not None or self.min_score is None else {**rule.params, "min_score": self.min_score}
+        return replace(rule, severity=(rule.severity or self.severity).upper(), params=params)
+
+
 @dataclass(frozen=True)
 class FamilyRule:
     """All required families must reach the percentage."""
@@ -80,7 +91,7 @@ def read_rules(table: DataFrame) -> list[Rule]:
     if len(rows) > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
     return [check_rule(Rule(r.id or "", (r.type or "").strip(), r.enabled is not False,
-                            (r.severity or "INFO").upper(), r.message or "", r.params or {}), i)
+                            (r.severity or "").upper(), r.message or "", r.params or {}), i)
             for i, r in enumerate(rows)]
 
 

@@ -189,12 +189,12 @@ ALERT_ID = "concat(rule_name, ':', device_id, ':', timestamp) AS alert_id"
 # --- bursts ----------------------------------------------------------------------
 
 
-def burst_ctes(where: str = "pred = 1") -> list[str]:
-    span = f"INTERVAL {C.BURST_MINUTES} MINUTES"
+def burst_ctes(where: str = "pred = 1", minutes: int = C.BURST_MINUTES, least: int = C.BURST_COUNT) -> list[str]:
+    span = f"INTERVAL {minutes} MINUTES"
     return [f"anomalies AS (SELECT device_id, timestamp FROM tagged WHERE {where})",
             f"""counted AS (SELECT *, count(*) OVER w AS n_events, min(timestamp) OVER w AS window_start FROM anomalies
       WINDOW w AS (PARTITION BY device_id ORDER BY timestamp RANGE BETWEEN {span} PRECEDING AND CURRENT ROW))""",
-            f"hits AS (SELECT * FROM counted WHERE n_events >= {C.BURST_COUNT})",
+            f"hits AS (SELECT * FROM counted WHERE n_events >= {least})",
             f"""linked AS (SELECT *, coalesce(timestamp - lag(timestamp) OVER w > {span}, true) AS starts FROM hits
       WINDOW w AS (PARTITION BY device_id ORDER BY timestamp))""",
             """grouped AS (SELECT *, sum(starts::INT) OVER (PARTITION BY device_id ORDER BY timestamp) AS island FROM linked)""",
@@ -205,15 +205,19 @@ def burst_ctes(where: str = "pred = 1") -> list[str]:
       GROUP BY b.device_id, b.burst_start, b.burst_end)"""]
 
 
-COOLED = f"""ordered AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY burst_start) AS i FROM bursts),
+def cooled(minutes: int) -> str:
+    return f"""ordered AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY burst_start) AS i FROM bursts),
 walk AS (
   SELECT device_id, i, true AS kept, burst_end AS quiet_from FROM ordered WHERE i = 1
   UNION ALL
-  SELECT o.device_id, o.i, o.burst_start >= w.quiet_from + INTERVAL {C.COOLDOWN_MINUTES} MINUTES,
-         CASE WHEN o.burst_start >= w.quiet_from + INTERVAL {C.COOLDOWN_MINUTES} MINUTES THEN o.burst_end ELSE w.quiet_from END
+  SELECT o.device_id, o.i, o.burst_start >= w.quiet_from + INTERVAL {minutes} MINUTES,
+         CASE WHEN o.burst_start >= w.quiet_from + INTERVAL {minutes} MINUTES THEN o.burst_end ELSE w.quiet_from END
   FROM walk w JOIN ordered o ON o.device_id = w.device_id AND o.i = w.i + 1),
 cooled AS (SELECT o.* EXCLUDE i FROM ordered o JOIN walk w USING (device_id, i) WHERE w.kept)"""
 
+
+COOLED = cooled(C.COOLDOWN_MINUTES)
+
 BURST_TEXT = f"concat(n_events, ' anomalies within {C.BURST_MINUTES:g}-minute windows') AS message"
 
 
@@ -235,6 +239,18 @@ def _evaluated() -> str:
         {BURST_TEXT.split(' AS ')[0]}, {one} FROM cooled"""])
 
 
+def _burst_rules() -> str:
+    rules = [("burst-72h", 72 * 60, 3, 0.12, 10 * 24 * 60, "CRITICAL", None), ("burst-24h", 24 * 60, 2, 0.14, 0, "WARNING", None),
+             ("burst-7d", 7 * 24 * 60, 4, 0.13, 24 * 60, "INFO", "many in a week")]
+    parts = []
+    for name, minutes, least, score, quiet, severity, message in rules:
+        text = f"'{message}'" if message else f"concat(n_events, ' anomalies within {minutes}-minute windows')"
+        parts.append("SELECT * FROM (" + telemetry(TAGGED, *burst_ctes(f"pred = 1 AND score >= {score}", minutes, least), cooled(quiet)) + f"""
+          SELECT '{name}' AS rule_id, device_id, burst_end AS timestamp, burst_start, n_events, '{severity}' AS severity, 'triage' AS route,
+            {text} AS message FROM cooled)""")
+    return " UNION ALL ".join(parts)
+
+
 # --- evaluation ------------------------------------------------------------------
 
 AUC = """ranked AS (SELECT y, score, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM tagged),
@@ -414,6 +430,7 @@ ORACLES = {
     "burst_cooldown": simple(f"SELECT *, 'CRITICAL' AS severity, 'burst' AS rule_name, {BURST_TEXT} FROM cooled",
                              TAGGED, *burst_ctes(), COOLED),
     "evaluate_rules": _evaluated(),
+    "evaluate_burst_rules": _burst_rules(),
     "burst_report": simple("""SELECT device_id, count(*) AS bursts, sum(n_events)::BIGINT AS anomalies, min(burst_start) AS first_start,
         max(burst_end) AS last_end FROM bursts GROUP BY device_id""", TAGGED, *burst_ctes()),
     "stream_ingest": simple(f"SELECT {COLUMNS} FROM telemetry"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from sensorloom.operators.alerts import (
     alerts_batch, build_alerts, evaluate_rules, match_dominant_family, score_severity, tag_route)
 from sensorloom.operators.metrics import alerts_by_route, fleet_buckets
-from sensorloom.operators.rules import FamilyRule, Rule, check_rule, read_rules, rules_table
+from sensorloom.operators.rules import FamilyRule, Rule, RuleDefaults, check_rule, read_rules, rules_table
 
 VOLTAGE = [("Voltage", 48.0), ("Temperature", 20.0), ("Current", 15.0), ("RPM", 10.0), ("Vibration", 7.0)]
 WEAR = [("Vibration", 30.0), ("RPM", 25.0), ("Temperature", 20.0), ("Current", 15.0), ("Voltage", 10.0)]
@@ -137,6 +137,17 @@ def test_evaluate_all_rules(spark, events):
     assert evaluate_rules(events(rows), []).count() == 0
 
 
+def test_defaults_fill_what_rules_leave_open(spark, events):
+    params = {"tag": "bearing_wear", "route": "maintenance"}
+    rules = [Rule("plain", "tag_route", params=params), Rule("own", "tag_route", severity="critical", params={**params, "min_score": 0.1}),
+             Rule("burst", "burst", params={"device_window_minutes": 10, "min_anomalies": 2})]
+    rows = events([dict(minutes=m, score=s, anomaly_tag="bearing_wear") for m, s in ((0, .12), (1, .17), (2, .18), (3, .05))])
+    found = lambda given, **o: {(r.rule_id, r.severity, r["count"]) for r in evaluate_rules(rows, given, **o).groupBy("rule_id", "severity").count().collect()}
+    assert found(rules) == {("plain", "INFO", 4), ("own", "CRITICAL", 3), ("burst", "INFO", 1)}
+    for given in (rules, rules_table(spark, rules)):
+        assert found(given, defaults=RuleDefaults(0.16, "warning")) == {("plain", "WARNING", 2), ("own", "CRITICAL", 3), ("burst", "WARNING", 1)}
+
+
 def test_unknown_tag_columns_are_null(events):
     row = tag_route(events([dict(minutes=0, anomaly_tag="odd")])).first()
     assert (row.route, row.tag_severity, row.root_cause, row.rule_name) == ("triage", None, None, None)

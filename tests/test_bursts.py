@@ -3,7 +3,7 @@ import random
 import pytest
 
 from conftest import at
-from sensorloom.operators.bursts import burst_alerts, burst_cooldown, burst_dedupe
+from sensorloom.operators.bursts import BurstRule, burst_alerts, burst_cooldown, burst_dedupe, burst_sweep
 
 
 def brute_hits(times, window, least):
@@ -136,5 +136,25 @@ def test_one_long_chain_stays_split(spark):
     # Ten seconds and five minutes after a start, the sixth next burst is the first one allowed.
     assert kept.count() == -(-n // 6)
     from sensorloom.operators.bursts import _following_start
-    ranges = _following_start(df.selectExpr("device_id", "unix_micros(burst_start) AS start", "unix_micros(burst_end) AS end"), 300_000_000)
+    nodes = df.selectExpr("device_id", "unix_micros(burst_start) AS start", "unix_micros(burst_end) AS end", "300000000L AS quiet")
+    ranges = _following_start(nodes, ["device_id"])
     assert ranges.where("to IS NULL").count() == 6 and ranges.where("to <> start + 360000000").isEmpty()
+
+
+def test_rules_in_one_sweep_equal_rules_alone(events):
+    rng = random.Random(12)
+    rows = [dict(device_id=rng.choice("AAB"), minutes=rng.randrange(0, 900) / 2, score=rng.choice([.1, .15, .2])) for _ in range(150)]
+    df = events(rows)
+    rules = [BurstRule(10, 3, .15, 30, name="a"), BurstRule(3, 2, name="b", severity="info"), BurstRule(40, 6, None, 60, name="c", message="many")]
+    got = sorted((r.rule_name, r.device_id, r.burst_start, r.n_events, r.severity, r.message) for r in burst_sweep(df, rules).collect())
+    want = []
+    for r in rules:
+        alone = burst_dedupe(df, r.window_minutes, r.min_anomalies, r.min_score, r.severity, r.name)
+        alone = burst_cooldown(alone, r.cooldown_minutes) if r.cooldown_minutes else alone
+        want += [(x.rule_name, x.device_id, x.burst_start, x.n_events, x.severity, r.message or x.message) for x in alone.collect()]
+    assert got == sorted(want) and {w[0] for w in want} == {"a", "b", "c"}
+    exchanges = lambda rs: burst_sweep(df, rs)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    plain = [BurstRule(m, 3, name=str(m)) for m in (5, 10, 20)]
+    assert exchanges(plain) == exchanges(plain[:1])
+    hot = sorted((r.rule_name, r.device_id, r.burst_start) for r in burst_sweep(df, rules, longest=2).collect())
+    assert hot == [g[:3] for g in got]
