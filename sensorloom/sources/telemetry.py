@@ -1,5 +1,6 @@
 """Telemetry tables: CSV scan, stored table, and append without duplicates."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sensorloom.functions.scalars import nan_to_null, parse_time
@@ -58,23 +59,22 @@ def rows_to_insert(new: DataFrame, target: DataFrame) -> DataFrame:
     return first_per_key(keyed).join(target.select(*ROW_KEY), ROW_KEY, "left_anti")
 
 
-def _stored(spark: SparkSession, target: str):
-    files = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files)
-
-
 def read_store(spark: SparkSession, target: str) -> DataFrame:
     """The stored table, or an empty one before the first ingest."""
     stored = T.StructType([*TELEMETRY.fields, T.StructField(DATE, T.DateType())])
-    if not _stored(spark, target):
+    try:
+        return spark.read.schema(stored).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], stored)
-    return spark.read.schema(stored).parquet(target)
 
 
-def ingest_telemetry(new: DataFrame, target: str) -> int:
+def ingest_telemetry(new: DataFrame, target: str, **parquet: str) -> int:
     """Append the rows not yet stored, by date; returns how many. A second run inserts none.
 
-    Only partitions between the first and last date of the batch are compared.
+    Only partitions between the first and last date of the batch are compared. Files of a date are sorted by device and time and carry
+    Bloom filters of their devices, so a window of one device reads few row groups.
     """
     spark = new.sparkSession
     batch = conform(new).withColumn(DATE, F.to_date("timestamp"))
@@ -86,5 +86,7 @@ def ingest_telemetry(new: DataFrame, target: str) -> int:
     fresh = materialize(rows_to_insert(batch, current), "ingest")
     inserted = fresh.count()
     if inserted:
-        fresh.hint("rebalance", DATE).write.mode("append").partitionBy(DATE).parquet(target)
+        (fresh.hint("rebalance", DATE).sortWithinPartitions(DATE, "device_id", "timestamp").write.mode("append")
+         .option("parquet.bloom.filter.enabled#device_id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+         .options(**parquet).partitionBy(DATE).parquet(target))
     return inserted

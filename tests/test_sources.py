@@ -206,3 +206,40 @@ def test_alert_lines_keep_extra_keys(spark, tmp_path):
     feeds.write_feed(df, str(tmp_path / "again"))
     again = feeds.read_alerts(spark, str(tmp_path / "again"))
     assert [json.loads(r.j) for r in again.orderBy("pos").selectExpr("to_json(variant_get(body, '$.owner')) j").collect()] == [{"name": "Ö"}, [1]]
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a finished query handed on: row groups that are skipped do not count."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        inner = node.executedPlan() if node.nodeName().startswith("AdaptiveSparkPlan") else node.plan() if "QueryStage" in node.nodeName() else None
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())] + ([inner] if inner is not None else [])
+    return total
+
+
+def test_device_window_skips_row_groups(spark, telemetry, tmp_path):
+    from sensorloom.operators.lookup import device_window
+    rows = spark.range(60_000).selectExpr(
+        "timestamp_seconds(1767225600 + id div 60) AS timestamp", "format_string('DEV-%04d', 2 * (id % 60)) AS device_id", "'RUN' AS state",
+        "CAST(id % 1999 AS INT) AS rpm", "rand(1) AS temp_c", "rand(2) AS vibration_g", "rand(3) AS current_a", "rand(4) AS voltage_v",
+        "0 AS error_code", "' ' AS anomaly_tag")
+    target = str(tmp_path / "store")
+    assert ingest_telemetry(rows.repartition(7), target, **{"parquet.block.size": "65536"}) == 60_000
+    store = read_store(spark, target)
+    window = device_window(store, "DEV-0042", at(-10_000), at(10_000))
+    assert window.count() == 1000 and 1000 <= scanned_rows(window) < 6000
+    # A device that is not there, though its name lies between others of a row group.
+    assert scanned_rows(device_window(store, "DEV-0043", at(-10_000), at(10_000))) == 0
+    assert ingest_telemetry(rows, target) == 0
+
+
+def test_store_that_cannot_be_read_is_no_empty_store(spark, tmp_path):
+    (tmp_path / "store").write_text("no parquet")
+    with pytest.raises(Exception):
+        read_store(spark, str(tmp_path / "store")).count()
+    assert read_store(spark, str(tmp_path / "none")).count() == 0
