@@ -243,6 +243,15 @@ def decode(tokens: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
                    lambda c, x: (c.decode(np.array(x or [], np.int32)),), [pa.string()])
 
 
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """All of `docs` plus `token_ids` and `decoded`, as `decode` after `encode`, but in one pass and so with one codec a task."""
+    def both(c: Codec, value: str) -> tuple:
+        ids = c.encode(value)[0]
+        return ids, c.decode(ids)
+
+    return _mapped(docs.drop("token_ids", "decoded"), path, text, "token_ids array<int>, decoded string", both, [pa.list_(pa.int32()), pa.string()])
+
+
 def digest_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All of `docs` plus counts and digests of its tokens and of what they decode to."""
     def digests(c: Codec, value: str) -> tuple:

@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from sensorloom.llm.bpe import Codec, decode, digest_tokens, encode
+from sensorloom.llm.bpe import Codec, decode, digest_tokens, encode, encode_and_decode
 from sensorloom.llm.common import tokenizer_path
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -38,6 +38,7 @@ def test_frames(spark):
     rows = [(i, t, 7) for i, t in enumerate(ODD)] + [(None, "x", 1), (1, "again", 2), (1, "again", 2)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, token_ids int")
     both = decode(encode(docs, PATH), PATH).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, encode_and_decode(docs, PATH).collect()))
     assert len(both) == len(rows) and all(r.decoded == (r.text or "") for r in both)
     for r in digest_tokens(docs, PATH).collect():
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
