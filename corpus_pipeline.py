@@ -44,8 +44,7 @@ def mask_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of all documents, and whether they decode to the text again."""
-    path = tokenizer_path(VOCABULARY)
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode_and_decode(docs, tokenizer_path(VOCABULARY))
     return both.select("doc_id", "lang", "source", "n_chars", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
