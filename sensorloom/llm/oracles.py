@@ -79,4 +79,31 @@ SELECT word, form, led.spot AS root, n, n_near, form_n
 FROM known JOIN led USING (word) JOIN (SELECT word AS spot FROM known WHERE form IS NULL) ends USING (spot)
 """
 
-ORACLES = {"op1_quality_rules": QUALITY, "op12_line_dedup": LINES, "op13_spelling_variants": VARIANTS}
+
+def _shingles(source: str, key: str) -> str:
+    """Five-word shingles of each row, in order; a shorter text is one shingle."""
+    words = rf"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    return f"""SELECT {key}, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM (SELECT {key}, {words} AS w FROM {source})"""
+
+
+LEAKS = f"""
+WITH texts AS ({_shingles("documents", "doc_id")}),
+items AS (SELECT min(item_id) AS item, g FROM ({_shingles("benchmark", "item_id")}) WHERE len(g) > 0 AND item_id IS NOT NULL GROUP BY g),
+own AS (SELECT item, g, count(*) AS n FROM (SELECT item, unnest(g) AS g FROM items) GROUP BY item, g),
+weights AS (SELECT g, 1 + ln((SELECT count(*) FROM items)::DOUBLE / count(*)) AS w FROM own GROUP BY g),
+weighted AS (SELECT item, g, n, w FROM own JOIN weights USING (g)),
+whole AS (SELECT item, len(any_value(items.g)) AS size, sum(n * w) AS total FROM weighted JOIN items USING (item) GROUP BY item),
+places AS (SELECT doc_id, len(g) AS length, unnest(g) AS g, generate_subscripts(g, 1) - 1 AS p FROM texts),
+hits AS MATERIALIZED (SELECT doc_id, item, p, length, g, n, w FROM places JOIN weighted USING (g)),
+starts AS (SELECT DISTINCT doc_id, item, least(p, greatest(0, length - size)) AS s, size, total FROM hits JOIN whole USING (item)),
+counted AS (SELECT doc_id, item, s, total, least(any_value(n), count(*)) * any_value(w) AS part
+  FROM starts JOIN hits USING (doc_id, item) WHERE p >= s AND p < s + size GROUP BY doc_id, item, s, total, g),
+rated AS (SELECT doc_id, item, s, sum(part) / any_value(total) AS similarity FROM counted GROUP BY doc_id, item, s),
+leaks AS (SELECT doc_id, item, max(similarity) AS similarity FROM rated GROUP BY doc_id, item HAVING max(similarity) >= 0.8 - 1e-9),
+found AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids, max(similarity) AS similarity FROM leaks GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::INT AS n_items, coalesce(ids, '') AS item_ids, round(similarity, 6) AS similarity, n IS NOT NULL AS contaminated
+FROM documents LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES = {"op1_quality_rules": QUALITY, "op8_decontamination": LEAKS, "op12_line_dedup": LINES, "op13_spelling_variants": VARIANTS}
