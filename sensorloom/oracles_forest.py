@@ -20,10 +20,12 @@ FAMILY = "CASE " + " ".join(f"WHEN starts_with(name, '{k}') THEN '{v}'" for k, v
 def _matrix(where: str, keep: str) -> str:
     """Features of all rows in `f`, as trees see them in `x`."""
     tagged = TAGGED if not where else TAGGED.replace("FROM telemetry)", f"FROM telemetry WHERE {where})")
+    # The sampling step, too, is that of the rows in question.
+    rest = [c.replace("FROM telemetry)", "FROM tagged)") for c in FEATURE_CTES[1:]]
     values = ", ".join(f"coalesce({n}, 0)::DOUBLE" for n in NAMES)
     fine = "list_transform(f, lambda v: CASE WHEN abs(v) < 1e9 THEN floor(v * 1e6 + 0.6281718) / 1e6 ELSE v END)"
     cut = f"list_transform({fine}, lambda c: c * 8589934593.0::DOUBLE - (c * 8589934593.0::DOUBLE - c))"
-    return telemetry(tagged, *FEATURE_CTES[1:], DOMINANT) + (
+    return telemetry(tagged, *rest, DOMINANT) + (
         f"SELECT *, {cut} AS x FROM (SELECT {keep}, [{values}] AS f FROM matrix JOIN dominant USING (event_id))")
 
 
