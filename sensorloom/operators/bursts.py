@@ -8,12 +8,12 @@ join islands across slices: at most about one per window of elapsed time, howeve
 the readings are.
 """
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sensorloom.functions.scalars import epoch_micros
@@ -133,7 +133,8 @@ def burst_sweep(df: DataFrame, rules: list[BurstRule], longest: int = LONGEST_CH
     of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule") + 1)
     if any(r.cooldown_minutes > 0 for r in rules):
         quiet = of([round(r.cooldown_minutes * MINUTE_US) for r in rules]).cast("long")
-        islands = _cooled(islands.withColumn("_quiet", quiet), RULE, longest).drop("_quiet")
+        # Stored: devices are counted before the choice reads them.
+        islands = _cooled(materialize(islands.withColumn("_quiet", quiet), "bursts"), RULE, longest).drop("_quiet")
     message = F.format_string("%d anomalies within %s-minute windows", "n_events", of([f"{r.window_minutes:g}" for r in rules]))
     own = of([r.message for r in rules])
     return islands.select("device_id", "burst_start", "burst_end", "n_events", of([r.severity.upper() for r in rules]).alias("severity"),
@@ -208,21 +209,25 @@ def _cooled(rows: DataFrame, keys: list[str], longest: int) -> DataFrame:
 
 
 def _kept_in_chains(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The choice for devices of few bursts, one chain at a time."""
+    """The choice for devices of few bursts, in one pass over rows in order.
+
+    The first burst of a device or chain is always kept, so the pass only remembers the end of the last one kept.
+    """
     order = Window.partitionBy(*keys).orderBy("_start", "_end")
-    rows = rows.withColumn("_fresh", F.coalesce(
-        (F.col("_start") - F.lag("_end").over(order) >= F.col("_quiet")).cast("int"), F.lit(1)))
-    rows = rows.withColumn("_chain", F.sum("_fresh").over(
-        order.rowsBetween(Window.unboundedPreceding, 0)))
-
-    def keep(chain: pd.DataFrame) -> pd.DataFrame:
-        chain = chain.sort_values(["_start", "_end"])
-        starts, ends, quiet = chain["_start"].to_numpy(), chain["_end"].to_numpy(), int(chain["_quiet"].iloc[0])
-        kept, at = [], 0
-        while at < len(starts):
-            kept.append(at)
-            at = max(at + 1, int(np.searchsorted(starts, ends[at] + quiet, side="left")))
-        return chain.iloc[kept]
-
-    columns = [T.StructField(f.name, f.dataType) for f in rows.schema]
-    return rows.groupBy(*keys, "_chain").applyInPandas(keep, T.StructType(columns))
+    rows = rows.withColumn("_fresh", F.coalesce(F.col("_start") - F.lag("_end").over(order) >= F.col("_quiet"), F.lit(True)))
+    rows = rows.withColumn("_fresh", F.col("_fresh") | F.lag(F.col("_start").isNull(), 1, False).over(order))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        until = 0
+        for batch in batches:
+            kept = []
+            for fresh, start, end, quiet in zip(*[batch.column(c).to_pylist() for c in ("_fresh", "_start", "_end", "_quiet")], strict=True):
+                take = fresh or start >= until
+                if take and start is not None and end is not None:
+                    until = end + quiet
+                kept.append(take)
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    # The same order the window left behind: planned as a requirement, removed as redundant.
+    return rows.sortWithinPartitions(*keys, "_start", "_end").mapInArrow(keep, schema)

@@ -158,3 +158,25 @@ def test_rules_in_one_sweep_equal_rules_alone(events):
     assert exchanges(plain) == exchanges(plain[:1])
     hot = sorted((r.rule_name, r.device_id, r.burst_start) for r in burst_sweep(df, rules, longest=2).collect())
     assert hot == [g[:3] for g in got]
+
+
+def test_cooldown_of_many_short_chains_is_one_pass(spark):
+    """No Python call per chain; chains, devices and the ends of batches do not touch each other."""
+    rng = random.Random(3)
+    spans = []
+    for device in "ABCDEFG":
+        t = 0
+        for _ in range(rng.randrange(1, 60)):
+            t += rng.choice([1, 5, 90])
+            spans.append((device, t, t + rng.randrange(0, 4)))
+            t = spans[-1][2]
+    df = spark.createDataFrame([(d, at(a), at(b), a) for d, a, b in spans],
+                               "device_id string, burst_start timestamp, burst_end timestamp, mark int").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        kept = burst_cooldown(df, 30)
+        assert sorted((r.device_id, r.mark) for r in kept.collect()) == plain_cooldown(spans, 30)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
