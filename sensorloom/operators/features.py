@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sensorloom.functions.scalars import epoch_micros, label
 from sensorloom.operators.quantiles import DIRECT_ROWS, exact_quantiles
 from sensorloom.operators.sequence import CHANGED, HALO, POS, SLICE, Slicing, sliced
-from sensorloom.operators.spectral import add_dominant_bins
+from sensorloom.operators.spectral import add_rolling
 from sensorloom.schema import SIGNALS
 from sensorloom.workspace import materialize
 
@@ -182,66 +182,14 @@ def _event_columns(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
         last(CHANGED, "timestamp", "_change_ts"))
 
 
-def _rolling(spec: FeatureSpec) -> list[str]:
-    """Moments and extremes per frame.
-
-    Spark's moment aggregates centre within the frame, so no reading outside it, however
-    large, touches the result.
-    """
-    w = _window(spec)
-    frame = lambda rows: f"OVER ({w} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
-    recent, wave = frame(spec.window), frame(spec.spectral_window)
-    columns = [f"sum(CAST({CHANGED} AS DOUBLE)) {recent} AS _changes"]
-    for s in spec.signals:
-        x = f"_x_{s}"
-        columns += [
-            f"avg({x}) {recent} AS _avg_{s}", f"var_pop({x}) {recent} AS _var_{s}",
-            f"min({x}) {recent} AS _min_{s}", f"max({x}) {recent} AS _max_{s}",
-            f"lag({x}) OVER ({w}) AS _prev_{s}",
-            f"sum(CASE WHEN {POS} % 2 = 0 THEN {x} ELSE -{x} END) {wave} AS _swing_{s}"]
-        if spec.spectral_window != spec.window:
-            columns.append(f"var_pop({x}) {wave} AS _wave_var_{s}")
-    return columns
-
-
-def _moments(spec: FeatureSpec) -> list[str]:
-    enough, n = f"{POS} >= {spec.min_rows}", f"CAST(least({POS}, {spec.window}) AS DOUBLE)"
-    columns = []
-    for s in spec.signals:
-        spread = f"sqrt(_var_{s} * {n} / greatest({n} - 1, 1D))"
-        columns += [
-            f"CASE WHEN {enough} THEN _avg_{s} END AS {s}_mean",
-            f"CASE WHEN {enough} THEN CASE WHEN _min_{s} = _max_{s} THEN 0D ELSE {spread} END END AS {s}_std"]
-    return columns
-
-
-def _features(spec: FeatureSpec, step_s: int) -> dict[str, str]:
-    """The remaining features from the frame sums and moments."""
-    enough, enough_wave = f"{POS} >= {spec.min_rows}", f"{POS} >= {spec.spectral_min_rows}"
-    m = f"CAST(least({POS}, {spec.spectral_window}) AS DOUBLE)"
-    wave = "_wave" if spec.spectral_window != spec.window else ""
+def _event_features(step_s: int, season_s: int) -> dict[str, str]:
+    """The features that need no frame, from positions and the last rows that matter."""
     since = lambda mark: (f"greatest(coalesce((unix_micros(CAST(timestamp AS TIMESTAMP)) - "
                           f"unix_micros(CAST({mark} AS TIMESTAMP))) / 1e6D, {NEVER_SECONDS}D), 0D)")
-    columns = dict(reversed(c.rsplit(" AS ", 1)) for c in _phase(step_s, spec.season_s))
-    for s in spec.signals:
-        gap = f"_x_{s} - {s}_mean"
-        # Energy without a transform: Parseval over the half spectrum needs only the
-        # variance and, for an even number of rows, the alternating sum.
-        power = f"({m} * {m} * {wave}_var_{s})"
-        swing = f"CASE WHEN {m} % 2 = 0 THEN _swing_{s} * _swing_{s} ELSE 0D END"
-        columns |= {
-            f"{s}_mean": f"{s}_mean", f"{s}_std": f"{s}_std",
-            f"{s}_min": f"CASE WHEN {enough} THEN _min_{s} END",
-            f"{s}_max": f"CASE WHEN {enough} THEN _max_{s} END",
-            f"{s}_trend": f"{s}_mean", f"{s}_resid": gap, f"{s}_delta": gap,
-            f"{s}_zscore": f"({gap}) / ({s}_std + {EPSILON}D)",
-            f"{s}_diff": f"_x_{s} - _prev_{s}",
-            f"{s}_fft_energy": f"CASE WHEN {enough_wave} THEN ({power} + {swing}) / 2 END"}
-    return columns | {
+    return dict(reversed(c.rsplit(" AS ", 1)) for c in _phase(step_s, season_s)) | {
         "error_streak": f"{POS} - coalesce(_ok_pos, 0)",
         "time_since_error_s": since("_error_ts"),
         "state_change": f"{CHANGED}",
-        "state_change_count": f"CASE WHEN {enough} THEN _changes END",
         "time_since_state_change_s": since("_change_ts")}
 
 
@@ -266,12 +214,11 @@ def feature_matrix(df: DataFrame, spec: FeatureSpec = FeatureSpec(), keep=(),
 
     rows = _forward_filled(_in_order(df.select(*used), spec), spec)
     rows = median_fill(rows, {f"_x_{s}": medians[s] for s in spec.signals})
-    rows = _event_columns(rows, spec).selectExpr("*", *_rolling(spec)).selectExpr("*", *_moments(spec))
-    expressions, names = _features(spec, step_s), feature_names(spec)
-    direct = [F.expr(_finite(expressions[n], n)) for n in names if not n.endswith("_fft_dom_bin")]
-    slim = rows.select(*carried, label(F.col("anomaly_tag")).alias("y"), SLICE, HALO, POS,
-                       *[f"_x_{s}" for s in spec.signals], *direct)
-    if spec.dominant_bins:
-        slim = add_dominant_bins(slim, spec, {s: f"_x_{s}" for s in spec.signals},
-                                 [SLICE, "timestamp", *spec.ties])
-    return slim.where(f"NOT {HALO}").select(*carried, "y", *names)
+    events = _event_features(step_s, spec.season_s)
+    # Only what frames need goes through the pass over them, and comes back as finished features:
+    # one projection of all features would be a method too long to be compiled.
+    rows = _event_columns(rows, spec).select(
+        *carried, label(F.col("anomaly_tag")).alias("y"), SLICE, HALO, POS, CHANGED,
+        *[f"_x_{s}" for s in spec.signals], *[F.expr(_finite(e, n)) for n, e in events.items()])
+    return add_rolling(rows, spec, {s: f"_x_{s}" for s in spec.signals}, [SLICE, "timestamp", *spec.ties],
+                       [*carried, "y"], feature_names(spec), EPSILON)

@@ -212,3 +212,11 @@ def test_one_exchange_and_one_sort_per_matrix(spark, telemetry):
     df = telemetry(random_rows())
     plan = feature_matrix(df, SPEC, step_s=60, medians={s: 0.0 for s in SIGNALS})._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
+def test_frames_are_not_aggregated_row_by_row(spark, telemetry):
+    """No sliding frame is left to the window operator, and finished features pass through no projection of their own."""
+    plan = feature_matrix(telemetry(random_rows(20)), SPEC, step_s=60, medians={s: 0.0 for s in SIGNALS})._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "-29" not in text and "var_pop" not in text
+    assert plan.optimizedPlan().nodeName() == "MapInArrow"
