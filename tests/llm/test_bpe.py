@@ -43,3 +43,19 @@ def test_frames(spark):
     for r in digest_tokens(docs, PATH).collect():
         assert r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
     assert encode(docs.limit(0), PATH).count() == 0
+
+
+def test_latin_split_equals_the_published_one():
+    """The quicker split of plain text gives the same pieces, whatever the order of its characters."""
+    import random
+
+    import regex
+
+    from sensorloom.llm import bpe
+    rng, whole = random.Random(4), regex.compile(bpe.PIECES)
+    alphabet = [c for c in map(chr, range(0x250)) if bpe.LATIN.fullmatch(c)]
+    assert all(whole.findall(c) == bpe.LATIN_PIECES.findall(c) for c in alphabet) and "\x1c" not in alphabet and "\xa0" not in alphabet
+    for _ in range(20_000):
+        text = "".join(rng.choice([rng.choice(alphabet), *" \n\t'stredmvlaé7²."]) for _ in range(rng.randrange(1, 14)))
+        assert bpe.LATIN_PIECES.findall(text) == whole.findall(text), text
+        assert (bpe.LATIN_WORD.fullmatch(text) is None) or whole.findall(text) == [text]
