@@ -223,6 +223,9 @@ def fit_forest(df: DataFrame, features, keys, contamination: float = CONTAMINATI
     nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
     model = ForestModel(scaler, nodes, min(sample_size, scaler.rows))
     # Stored once: exact quantiles read the scores several times.
-    raw = materialize(score_forest(aligned, model, "_s").select("_s"), "scores")
+    # Doubles go to the scores as they are, which takes missing ones as 0.0: a projection of all would be too long to be compiled.
+    kinds = dict(df.dtypes)
+    readings = align_features(df, [f for f in features if kinds.get(f) != "double"], [f"`{f}`" for f in features if kinds.get(f) == "double"])
+    raw = materialize(score_forest(readings, model, "_s").select("_s"), "scores")
     offset = exact_quantiles(raw, ["_s"], [1.0 - contamination], limit)["_s"][0]
     return ForestModel(scaler, nodes, model.sample_size, offset)

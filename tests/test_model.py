@@ -134,3 +134,13 @@ def test_grid_swallows_the_last_places():
     assert (on_grid(x) == on_grid(noisy)).mean() > 0.999
     x = np.concatenate([x, [1e9, -1e9, 1e300, 1e-300]])
     assert np.allclose(on_grid(x), x, rtol=2e-6, atol=2e-6)
+
+
+def test_missing_readings_are_fitted_as_zero(spark):
+    """Doubles reach the scores as they are; missing, absent and whole-numbered features count as before."""
+    rows = [(i, None if i % 3 == 0 else float(i % 11), i % 5) for i in range(120)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b int")
+    filled = df.selectExpr("row_id", "coalesce(a, 0D) AS a", "CAST(b AS double) AS b", "0D AS c")
+    fit = lambda table: fit_forest(table, ["a", "b", "c"], ["row_id"], trees=5, sample_size=32)
+    got, want = fit(df), fit(filled)
+    assert got.offset == want.offset and got.nodes.equals(want.nodes)
