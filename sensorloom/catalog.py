@@ -15,7 +15,7 @@ from sensorloom.functions.scalars import normalize_tag
 from sensorloom.plans.scoring import run_scoring, score_telemetry
 from sensorloom.plans.training import train, training_rows
 from sensorloom.schema import SIGNALS, TELEMETRY_COLUMNS
-from sensorloom.sources import feeds, model_store, telemetry as TM
+from sensorloom.sources import documents, feeds, model_store, telemetry as TM
 from sensorloom.sources.events_view import telemetry_view
 from sensorloom.streaming.bursts import burst_stream_table
 from sensorloom.streaming.ingest import ingest_stream_table
@@ -274,27 +274,21 @@ def alert_lookup(view):
     return _alert_table(feed.alert_by_id(alerts, known.alert_id if known else ""), "alert_id", "pos")
 
 
-def _write_document(parts: DataFrame, opening: str, closing: str) -> str:
-    """One JSON document from rows (pos, item): a feed of this form is one value by nature."""
-    path = fresh_path(parts.sparkSession, "document")
-    items = F.transform(F.sort_array(F.collect_list(F.struct("pos", "item"))), lambda e: e.item)
-    parts.agg(F.concat(F.lit(opening), F.array_join(items, ","), F.lit(closing))).write.text(path)
-    return path
-
-
 def alerts_document(view):
     alerts = _numbered_alerts(view)
     fields = [c for c in alerts.columns if c != "pos"]
-    path = _write_document(alerts.select("pos", F.to_json(F.struct(*fields)).alias("item")), '{"alerts":[7,', "]}")
-    return _alert_table(feeds.read_alerts(view.sparkSession, path, document=True).withColumn("pos", F.col("pos").cast("long")), "pos")
+    path = fresh_path(view.sparkSession, "document")
+    documents.write_document(alerts.select("pos", F.to_json(F.struct(*fields)).alias("item")), '{"alerts":[7,', "]}", path)
+    return _alert_table(feeds.read_alerts(view.sparkSession, path, document=True, parts=True).withColumn("pos", F.col("pos").cast("long")), "pos")
 
 
 def aggregates_document(view):
     rows = G.aggregate_explanations(explanations(view))
     keyed = F.concat(F.to_json(F.array("device_id")).substr(F.lit(2), F.length("device_id") + 2), F.lit(":"),
                      F.to_json(F.struct(*[c for c in rows.columns if c != "device_id"])))
-    path = _write_document(rows.select(F.col("device_id").alias("pos"), keyed.alias("item")), "{", "}")
-    found = feeds.read_aggregates(view.sparkSession, path, document=True)
+    path = fresh_path(view.sparkSession, "document")
+    documents.write_document(rows.select(F.col("device_id").alias("pos"), keyed.alias("item")), "{", "}", path)
+    found = feeds.read_aggregates(view.sparkSession, path, document=True, parts=True)
     return gridded(found.select("device_id", "n_flagged", "avg_score", "p95_score"), ["avg_score", "p95_score"])
 
 

@@ -4,13 +4,14 @@ Alerts and summaries are open objects: known keys become typed columns, and the
 column ``body``, so that other keys can be read by path, sorted by and written again.
 
 Spark writes JSON lines, which split and scale.  A feed may also be one JSON document, a list
-or an object; such a file is one value by nature and is only offered for feeds, never for
+or an object, which is cut into its items (``documents``); it is only offered for feeds, never for
 telemetry.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from sensorloom.schema import AGGREGATE, ALERT
+from sensorloom.sources.documents import read_keyed, read_list
 
 
 OPEN = "body"
@@ -52,19 +53,6 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def _documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(F.trim("value").alias("doc"))
-
-
-def _objects(items: Column) -> Column:
-    """Elements that are objects; others are dropped before positions are given."""
-    return F.filter(items, lambda x: F.ltrim(x).startswith("{"))
-
-
-def _list_of(doc: Column) -> Column:
-    return F.when(doc.startswith("["), F.from_json(doc, "array<string>"))
-
-
 def _is_text(item: Column, name: str) -> Column:
     value = F.variant_get(F.try_parse_json(item), f"$.{name}", "variant")
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
@@ -93,17 +81,14 @@ def _typed(rows: DataFrame, schema) -> DataFrame:
     return rows.withColumn("a", F.from_json("item", schema)).where("a IS NOT NULL")
 
 
-def read_alerts(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+def read_alerts(spark: SparkSession, path: str, document: bool = False, parts: bool = False) -> DataFrame:
     """Alerts with their position ``pos`` and the whole object ``body``.
 
-    ``document``: one JSON list, or an object whose ``alerts`` key holds the list.
+    ``document``: one JSON list, or an object whose ``alerts`` key holds the list; with ``parts`` all files together are the document.
     Otherwise JSON lines, whose order is the order of files and lines.
     """
     if document:
-        doc = F.col("doc")
-        wrapped = F.from_json(doc, "alerts array<string>").alerts
-        items = F.coalesce(_list_of(doc), F.when(doc.startswith("{"), wrapped))
-        rows = _documents(spark, path).select(F.posexplode(_objects(items)).alias("pos", "item"))
+        rows = read_list(spark, path, "alerts", parts)
     else:
         rows = _lines(spark, path).withColumnRenamed("value", "item")
     # An id that is no text, such as a number, is none.
@@ -112,18 +97,13 @@ def read_alerts(spark: SparkSession, path: str, document: bool = False) -> DataF
     return _typed(rows, ALERT).select("pos", *known, F.try_parse_json("item").alias(OPEN))
 
 
-def read_aggregates(spark: SparkSession, path: str, document: bool = False) -> DataFrame:
+def read_aggregates(spark: SparkSession, path: str, document: bool = False, parts: bool = False) -> DataFrame:
     """Summaries keyed by ``device_id``, with the whole object ``body``; the last one of a device counts.
 
-    ``document``: one JSON list of summaries, or an object keyed by device.
+    ``document``: one JSON list of summaries, or an object keyed by device; with ``parts`` all files together are the document.
     """
     if document:
-        doc = F.col("doc")
-        listed = F.transform(_objects(_list_of(doc)), lambda x: F.struct(
-            F.lit(None).cast("string").alias("key"), x.alias("value")))
-        keyed = F.when(doc.startswith("{"), F.map_entries(F.from_json(doc, "map<string,string>")))
-        items = F.filter(F.coalesce(listed, keyed), lambda e: F.ltrim(e.value).startswith("{"))
-        rows = _documents(spark, path).select(F.posexplode(items).alias("pos", "e")).select("pos", "e.key", F.col("e.value").alias("item"))
+        rows = read_keyed(spark, path, parts)
     else:
         rows = _lines(spark, path).select("pos", F.lit(None).cast("string").alias("key"), F.col("value").alias("item"))
     rows = _typed(rows, AGGREGATE).withColumn("device", F.coalesce("a.device_id", "key")).where("device IS NOT NULL")

@@ -243,3 +243,48 @@ def test_store_that_cannot_be_read_is_no_empty_store(spark, tmp_path):
     with pytest.raises(Exception):
         read_store(spark, str(tmp_path / "store")).count()
     assert read_store(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_documents_are_cut_at_braces_anywhere(spark, tmp_path):
+    """Items of a document of many splits: braces and escapes in strings, other keys, lists and scalars between."""
+    odd = ['}', '{"', '\\', '\\"}', 'a"}{b\\\\', "[[{", "é}"]
+    items = []
+    for i in range(16):
+        items += [{"id": f"n{i}{odd[i % 7]}", "device_id": odd[(i + 3) % 7], "extra": {"in": [{"x": odd[i % 5]}, [{}]]}}]
+        items += [i, "}", [1, {"id": "nested"}], None][: i % 5]
+    wanted = [(k, x["id"], x["device_id"]) for k, x in enumerate(x for x in items if isinstance(x, dict))]
+    around = {"meta": {"alerts": [{"id": "deep"}], "v": {"w": {}}}, "first": [{"id": "no"}, {"id": "no"}], "alerts": items,
+              "more": [{"id": "no"}, 2, {"id": "no"}], "z": {"id": "no"}, "end": "}]"}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 331)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        for doc, indent in ((items, None), (around, 1)):
+            path = tmp_path / f"{indent}.json"
+            path.write_text(json.dumps(doc, indent=indent, ensure_ascii=bool(indent)))
+            found = feeds.read_alerts(spark, str(path), document=True)
+            assert [(r.pos, r.id, r.device_id) for r in found.orderBy("pos").collect()] == wanted
+        by_device = {f"{o}{k}": {"n_flagged": k, "x": [{o: o}]} for k, o in enumerate(odd * 2)}
+        (tmp_path / "g.json").write_text(json.dumps({"a": "}", **by_device, "b": [{"n_flagged": 1}], "last": {"n_flagged": -1}}))
+        found = feeds.read_aggregates(spark, str(tmp_path / "g.json"), document=True)
+        assert {r.device_id: r.n_flagged for r in found.collect()} == {**{d: v["n_flagged"] for d, v in by_device.items()}, "last": -1}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_document_is_written_and_read_in_parts(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from sensorloom.sources.documents import write_document
+
+    rows = spark.range(0, 100, 1, 8).select(F.expr("if(id = 9, null, id div 3)").alias("pos"), F.to_json(F.struct(
+        F.concat(F.lit('a}"'), F.col("id").cast("string")).alias("id"), F.array(F.struct("id")).alias("extra"))).alias("item"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    write_document(rows, '{"alerts":[7,', "]}", str(tmp_path / "doc"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "doc").glob("part-*"))
+    assert len(parts) > 1
+    whole = json.loads("".join(p.read_text() for p in parts))["alerts"]
+    ordered = [json.loads(r.item)["id"] for r in rows.orderBy("pos", "item").collect()]
+    assert whole[0] == 7 and [x["id"] for x in whole[1:]] == ordered
+    found = feeds.read_alerts(spark, str(tmp_path / "doc"), document=True, parts=True)
+    assert [(r.pos, r.id) for r in found.orderBy("pos").collect()] == list(enumerate(ordered))
