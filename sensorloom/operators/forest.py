@@ -97,19 +97,20 @@ def grow_tree(sample: np.ndarray, seed: int, tree: int, max_depth: int) -> list[
     return nodes
 
 
-def _draws(chance: float, trees: int) -> str:
-    """SQL for the trees a row is drawn for, each with this chance, from the row's md5 ``_key``.
+def _draws(chance: float, trees: int) -> tuple[str, str]:
+    """SQL for whether a row is drawn for any tree, and for the trees it is drawn for, each with this chance, from the row's md5 ``_key``.
 
     The next tree is found by a geometric jump, so a row costs about one hash, not one per tree.
     """
     if chance >= 1.0:
-        return f"sequence(0, {trees - 1})"
+        return "true", f"sequence(0, {trees - 1})"
     digits = lambda k: "_key" if k == "0" else f"md5(concat(_key, ':', {k}))"
     jump = lambda k: (f"CAST(least(1 + floor(ln((CAST(conv(substring({digits(k)}, 1, 13), 16, 10) AS DOUBLE) + 0.5D) / {UNIT}D) / "
                       f"{log1p(-chance)!r}D), {trees}) AS INT)")
     step = (f"CASE WHEN s.at >= {trees} THEN s ELSE named_struct('at', s.at + {jump('k')}, 'hits', concat(s.hits, array(s.at))) END")
     # One draw tells that most rows are in no tree; only the others go on jumping.
-    return (f"CASE WHEN {jump('0')} > {trees} THEN NULL ELSE aggregate(sequence(1, {trees}), "
+    return (f"{jump('0')} <= {trees}",
+            f"CASE WHEN {jump('0')} > {trees} THEN NULL ELSE aggregate(sequence(1, {trees}), "
             f"named_struct('at', {jump('0')} - 1, 'hits', CAST(array() AS array<int>)), (s, k) -> {step}, s -> s.hits) END")
 
 
@@ -122,9 +123,11 @@ def _samples(df: DataFrame, keys, features, total: int, trees: int, size: int, s
     chance = min(1.0, (size + 8 * sqrt(size) + 32) / total)
     in_tree = Window.partitionBy("tree").orderBy("draw", *keys)
     text = [(epoch_micros(F.col(k)) if df.schema[k].dataType.typeName().startswith("timestamp") else F.col(k)).cast("string") for k in keys]
-    return (df.withColumn("_key", F.md5(F.concat_ws("|", *text, F.lit(str(seed)))))
+    drawn, hits = _draws(chance, trees)
+    # Rows of no tree leave before the columns of all others are copied.
+    return (df.withColumn("_key", F.md5(F.concat_ws("|", *text, F.lit(str(seed))))).where(drawn)
             # An outer explode: a plain one lets the optimizer draw twice, to test for hits.
-            .withColumn("tree", F.explode_outer(F.expr(_draws(chance, trees)))).where("tree IS NOT NULL")
+            .withColumn("tree", F.explode_outer(F.expr(hits))).where("tree IS NOT NULL")
             .select("tree", F.md5(F.concat("_key", F.lit(":t"), F.col("tree").cast("string"))).alias("draw"), *keys, *features)
             .withColumn("rank", F.row_number().over(in_tree)).where(F.col("rank") <= size)
             .select("tree", "rank", *features))
@@ -157,7 +160,8 @@ class _Packed:
         feature = nodes["feature"].to_numpy()
         self.feature = fill(np.maximum(feature, 0), np.int32)
         self.split = fill(nodes["split"].to_numpy(), np.float64)
-        self.left, self.right = fill(nodes["left"], np.int32), fill(nodes["right"], np.int32)
+        # Children side by side: one lookup goes down a step on either side.
+        self.children = np.stack([fill(nodes[c], np.int64) for c in ("left", "right")], axis=2).reshape(trees, 2 * width)
         leaf_path = nodes["depth"].to_numpy() + np.array([mean_path(int(n)) for n in nodes["size"]])
         self.path = fill(np.where(feature < 0, leaf_path, 0.0), np.float64)
         self.steps = int(nodes["depth"].max())
@@ -171,15 +175,15 @@ class _Packed:
 
     def anomaly(self, x: np.ndarray) -> np.ndarray:
         """2 ** (-mean path / expected path) per row."""
-        rows, width = x.shape
-        flat, base = x.ravel(), np.arange(rows) * width
+        rows = len(x)
+        # Readings of a feature side by side, so that rows at the same node read neighbouring ones.
+        flat, row = np.ascontiguousarray(x.T).ravel(), np.arange(rows)
         total = np.zeros(rows)
-        for feature, split, left, right, path in zip(
-                self.feature, self.split, self.left, self.right, self.path):
-            node = np.ones(rows, np.int32)
+        for at, split, children, path in zip(self.feature.astype(np.int64) * rows, self.split, self.children, self.path):
+            node = np.ones(rows, np.int64)
             for _ in range(self.steps):
-                goes_left = flat.take(base + feature.take(node)) <= split.take(node)
-                node = np.where(goes_left, left.take(node), right.take(node))
+                goes_right = flat.take(at.take(node) + row) > split.take(node)
+                node = children.take(2 * node + goes_right)
             total += path.take(node)
         return np.exp2(-total / len(self.path) / self.norm)
 
