@@ -1,7 +1,7 @@
 """Byte-level BPE in linear time, and decoding by offsets.
 
-Encoder. An Aho-Corasick automaton over all tokens of the vocabulary gives, for every place of a
-piece of text, the longest token that starts there. The encoder takes that token if it may stand
+Encoder. The longest token that starts at a place of a piece of text is found by its first four bytes, and, where longer
+tokens start like that, by the next ones. The encoder takes that token if it may stand
 next to the token before it, and otherwise the next shorter one; where none fits it steps back by
 one token and never visits a dead place twice. Two tokens may stand side by side if merging by
 rank would leave them apart; that is worked out from the merges and kept in a table of pairs.
@@ -22,7 +22,6 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -43,6 +42,9 @@ LATIN_WORD = re.compile(rf" ?[{_L}]+")
 CHUNKS = re.compile(r"(?= [!-~¡-ᙿ])")
 
 CACHE = 150_000  # chunks whose tokens a worker keeps, twice at most; workers live on beside later stages
+SHORT = 4  # bytes by which the longest token at a place is looked up first
+NEW = -2  # no token of this place was tried
+PAIRS = 1_000_003  # places for pairs of tokens known to fit or not: a prime, eight bytes each
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -69,37 +71,39 @@ class Vocabulary:
         for content, i in self.special.items():
             self.bytes_of[i] = content.encode()
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank: dict[tuple[int, int], int] = {}   # pair -> rank of its merge
-        self.joined: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int, int]] = {}  # token -> the pair it is made of, and the rank
+        self.rank: dict[int, int] = {}   # pair, as left * size + right -> rank of its merge
+        # The pair that a token is made of, and the rank; -1 for none.
+        self.left, self.right, self.made = [-1] * size, [-1] * size, [-1] * size
         for r, (a, b) in enumerate(merges):
-            pair, whole = (model["vocab"][a], model["vocab"][b]), model["vocab"][a + b]
-            self.rank[pair], self.joined[pair] = r, whole
-            self.parts.setdefault(whole, (*pair, r))
-        self.automaton = ahocorasick.Automaton()
+            left, right, whole = model["vocab"][a], model["vocab"][b], model["vocab"][a + b]
+            self.rank[left * size + right] = r
+            if self.made[whole] < 0:
+                self.left[whole], self.right[whole], self.made[whole] = left, right, r
         self.prefix = [-1] * size  # the next shorter token that a token starts with
         self.length = [len(t) for t in self.bytes_of]
         id_of = {t: i for i, t in tokens.items()}
         for i, t in tokens.items():
-            self.automaton.add_word(t.decode("latin-1"), (len(t) - 1, i))
             shorter = next((id_of[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in id_of), -1)
             self.prefix[i] = shorter
-        self.automaton.make_automaton()
+        # Tokens as texts of a character a byte, and starts of 4, 8, 16, ... bytes that longer tokens have.
+        self.token_of = {t.decode("latin-1"): i for i, t in tokens.items()}
+        self.longer = {t[:n] for t in self.token_of for n in (SHORT << k for k in range(len(t).bit_length())) if n < len(t)}
+        self.short: dict[str, int] = {}  # start -> twice its longest token, plus 1 if a longer one may start there
         self.written = [str(i) for i in range(size)]
         ends = np.cumsum([0, *map(len, self.bytes_of)])
         self.blob, self.start = np.frombuffer(b"".join(self.bytes_of), np.uint8), ends[:-1]
         self.size = np.diff(ends)
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Twice the number of a pair, plus 1 if it fits, at a place that the number gives; a later pair takes the place.
+        self.pairs = array("q", [-1]) * PAIRS
 
     def fits(self, left: int, right: int) -> bool:
         """May these tokens stand side by side, or would a merge across their border come first?"""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) >= CACHE:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self._apart(left, right)
-        return found
+        pair = left * len(self.prefix) + right
+        known = self.pairs[pair % PAIRS]
+        if known >> 1 != pair:
+            known = self.pairs[pair % PAIRS] = 2 * pair + self._apart(left, right)
+        return known & 1 == 1
 
     def _apart(self, left: int, right: int) -> bool:
         """Undo the latest merge on either side of the border, again and again.
@@ -107,47 +111,75 @@ class Vocabulary:
         At each state the tokens at the border are those of the moment before that merge; a merge
         across the border that ranks before it would have happened. On equal rank the left goes first.
         """
-        until = len(self.rank)
+        rank, made, size = self.rank, self.made, len(self.prefix)
+        until = len(rank)
         after_left = False  # does a border merge of the same rank as `until` come too late?
         while True:
-            r = self.rank.get((left, right))
+            r = rank.get(left * size + right)
             if r is not None and (r < until or r == until and not after_left):
                 return False
-            a, b = self.parts.get(left), self.parts.get(right)
-            if a is None and b is None:
-                return True
-            if b is None or a is not None and a[2] > b[2]:
+            a, b = made[left], made[right]
+            if a > b:
                 # Merges of one rank run from left to right: the one inside `left` came before the border's.
-                left, until, after_left = a[1], a[2], True
+                left, until, after_left = self.right[left], a, True
+            elif b >= 0:
+                right, until, after_left = self.left[right], b, False
             else:
-                right, until, after_left = b[0], b[2], False
+                return True
+
+    def _start(self, start: str) -> int:
+        """The entry of `short` for up to four bytes."""
+        if len(self.short) >= CACHE:
+            self.short.clear()
+        token = next((self.token_of[start[:n]] for n in range(len(start), 0, -1) if start[:n] in self.token_of), -1)
+        found = self.short[start] = 2 * token + (start in self.longer)
+        return found
+
+    def _long(self, piece: str, at: int, token: int) -> int:
+        """The longest token at a place where four bytes are the start of longer ones; `token` if there is none."""
+        size = 2 * SHORT
+        start = piece[at:at + size]
+        while len(start) == size and start in self.longer:
+            size *= 2
+            start = piece[at:at + size]
+        for n in range(len(start), SHORT, -1):
+            found = self.token_of.get(start[:n])
+            if found is not None:
+                return found
+        return token
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        n = len(piece)
-        longest: list[int] = [-1] * n
-        for end, (before, token) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - before] = token  # ends ascend, so the longest match of a place comes last
+        n, letters = len(piece), piece.decode("latin-1")
+        short = self.short
         dead = bytearray(n + 1)
         out: list[int] = []
-        length, prefix, pairs = self.length, self.prefix, self.pairs
-        at, token = 0, longest[0] if n else -1
+        length, prefix, pairs, size = self.length, self.prefix, self.pairs, len(self.prefix)
+        at, token, before = 0, NEW, -1
         while at < n:
+            if token == NEW:
+                start = letters[at:at + SHORT]
+                found = short.get(start)
+                if found is None:
+                    found = self._start(start)
+                token = self._long(letters, at, found >> 1) if found & 1 else found >> 1
             while token >= 0:
                 end = at + length[token]
                 if not dead[end]:
-                    fits = not out or pairs.get((out[-1], token))
-                    if fits or fits is None and self.fits(out[-1], token):
+                    if before < 0:
+                        break
+                    pair = before * size + token
+                    known = pairs[pair % PAIRS]
+                    if known & 1 if known >> 1 == pair else self.fits(before, token):
                         break
                 token = prefix[token]
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at, before, token = end, token, NEW
             elif out:
                 dead[at] = 1
                 token = out.pop()
                 at -= length[token]
-                token = prefix[token]
+                token, before = prefix[token], out[-1] if out else -1
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
         return out
@@ -186,9 +218,9 @@ class Codec:
         self.piece = regex.compile(PIECES)
         self.chunks, self.known = Recent(CACHE), Recent(CACHE // 4)
 
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+    def _chunk(self, chunk: str) -> bytes:
         v = self.vocabulary
-        if LATIN_WORD.fullmatch(chunk):
+        if chunk.isascii() and chunk[chunk[0] == " ":].isalpha() or LATIN_WORD.fullmatch(chunk):
             pieces = [chunk]
         else:
             pieces = (LATIN_PIECES if LATIN.fullmatch(chunk) else self.piece).findall(chunk)
@@ -203,29 +235,30 @@ class Codec:
                     if len(piece) < 64:
                         self.known.keep(piece, tokens)
                 ids += tokens
-        found = (array("i", ids).tobytes(), ",".join([v.written[i] for i in ids]))
+        found = array("i", ids).tobytes()
         return self.chunks.keep(chunk, found) if len(chunk) < 64 else found
 
-    def _plain(self, text: str) -> list[tuple[bytes, str]]:
+    def _plain(self, text: str) -> list[bytes]:
         known = self.chunks
         return [known[c] or self._chunk(c) for c in CHUNKS.split(text) if c]
 
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """Token ids, and their decimal form joined by commas."""
-        found: list[tuple[bytes, str]] = []
+    def ids(self, text: str) -> np.ndarray:
+        """Token ids."""
+        found: list[bytes] = []
         if self.vocabulary.split_special and any(s in text for s in self.vocabulary.special):
             for k, part in enumerate(self.vocabulary.split_special.split(text)):
                 if k % 2:
-                    i = self.vocabulary.special[part]
-                    found.append((np.int32(i).tobytes(), str(i)))
+                    found.append(np.int32(self.vocabulary.special[part]).tobytes())
                 elif part:
                     found += self._plain(part)
         else:
             found = self._plain(text)
-        if not found:
-            return np.empty(0, np.int32), ""
-        numbers, written = zip(*found, strict=True)
-        return np.frombuffer(b"".join(numbers), np.int32), ",".join(written)
+        return np.frombuffer(b"".join(found), np.int32)
+
+    def encode(self, text: str) -> tuple[np.ndarray, str]:
+        """Token ids, and their decimal form joined by commas."""
+        ids = self.ids(text)
+        return ids, ",".join(map(self.vocabulary.written.__getitem__, ids.tolist()))
 
     def decode(self, ids: np.ndarray) -> str:
         return self.vocabulary.decode(ids).decode("utf-8", "replace")
@@ -244,7 +277,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     Rows are taken one by one, so repeated rows and ties need no rule. A column of the result's
     name is replaced.
     """
-    return _mapped(docs.drop("token_ids"), path, text, "token_ids array<int>", lambda c, t: (c.encode(t)[0],),
+    return _mapped(docs.drop("token_ids"), path, text, "token_ids array<int>", lambda c, t: (c.ids(t),),
                    [pa.list_(pa.int32())])
 
 
@@ -257,7 +290,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
 def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All of `docs` plus `token_ids` and `decoded`, as `decode` after `encode`, but in one pass and so with one codec a task."""
     def both(c: Codec, value: str) -> tuple:
-        ids = c.encode(value)[0]
+        ids = c.ids(value)
         return ids, c.decode(ids)
 
     return _mapped(docs.drop("token_ids", "decoded"), path, text, "token_ids array<int>, decoded string", both, [pa.list_(pa.int32()), pa.string()])

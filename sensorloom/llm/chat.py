@@ -91,7 +91,7 @@ def _tokenized(nodes: DataFrame, path: str) -> DataFrame:
         for part in parts:
             tokens, low, high = [], [], []
             for role, text in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                ids = [codec.encode(piece)[0] for piece in segment(role, text)]
+                ids = [codec.ids(piece) for piece in segment(role, text)]
                 tokens.append(np.concatenate(ids))
                 trained = role == TRAINED
                 low.append(len(ids[0]) if trained else 0)

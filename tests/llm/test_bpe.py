@@ -59,3 +59,14 @@ def test_latin_split_equals_the_published_one():
         text = "".join(rng.choice([rng.choice(alphabet), *" \n\t'stredmvlaé7²."]) for _ in range(rng.randrange(1, 14)))
         assert bpe.LATIN_PIECES.findall(text) == whole.findall(text), text
         assert (bpe.LATIN_WORD.fullmatch(text) is None) or whole.findall(text) == [text]
+
+
+def test_tables_of_a_codec_are_small_and_exact():
+    """Ids alone are kept for a chunk, pairs take a fixed room, and tokens of any length are found by their starts."""
+    library, own = tokenizers.Tokenizer.from_file(PATH), Codec(PATH)
+    tokens = sorted(own.vocabulary.token_of, key=len)[-300:]
+    for text in [*("".join(own.vocabulary.bytes_of[own.vocabulary.token_of[t]].decode("utf-8", "ignore") for t in tokens[i:i + 3])
+                   for i in range(0, 300, 3)), *("=" * n + " " * n + "ab" * n for n in range(1, 200, 7))]:
+        assert own.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert all(type(kept) is bytes for kept in own.chunks.values())
+    assert own.vocabulary.pairs.itemsize * len(own.vocabulary.pairs) < 10_000_000
