@@ -202,8 +202,9 @@ def read_list(spark: SparkSession, path: str, key: str, parts: bool = False) ->
     found = materialize(found, "listed")
     turns = found.where("_turns")
     start = turns.where("item IS NOT NULL").groupBy("_doc").agg(F.max("pos").alias("_first"))
-    end = turns.join(start, "_doc").where("pos > _first").groupBy("_doc").agg(F.min("pos").alias("_next"))
-    rows = found.join(start, "_doc", "left").join(end, "_doc", "left")
+    # One row for each document, as few as files; a join by document would gather one in a task.
+    end = turns.join(F.broadcast(start), "_doc").where("pos > _first").groupBy("_doc").agg(F.min("pos").alias("_next"))
+    rows = found.join(F.broadcast(start), "_doc", "left").join(F.broadcast(end), "_doc", "left")
     of_key = (F.col("pos") >= F.col("_first")) & (F.col("_next").isNull() | (F.col("pos") < F.col("_next")))
     return rows.where(F.col("item").isNotNull() & ((F.col("kind") == "[") | of_key)).select(
         F.when(F.col("kind") == "[", F.col("pos")).otherwise(F.col("pos") - F.col("_first")).alias("pos"), "item")
