@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import at
 from sensorloom.operators.alerts import (
     alerts_batch, build_alerts, evaluate_rules, match_dominant_family, score_severity, tag_route)
 from sensorloom.operators.metrics import alerts_by_route, fleet_buckets
@@ -137,6 +138,18 @@ def test_evaluate_all_rules(spark, events):
     assert evaluate_rules(events(rows), []).count() == 0
 
 
+def test_burst_rules_with_cooldown_run_no_python_per_chain(events):
+    """Each device has a chain of its own; the choice among its bursts is one pass for all rules and devices."""
+    rule = Rule("quiet", "burst", params={"device_window_minutes": 2, "min_anomalies": 2, "cooldown_minutes": 25})
+    rows = events([(f"D{d}", 10 * i + j) for d in range(20) for i in range(6) for j in (0, 1)])
+    got = evaluate_rules(rows, [rule])
+    # Bursts are 0-1, 10-11, ..., 50-51: after the one that ends at 1 the first allowed starts at 30.
+    assert sorted((r.device_id, r.burst_start, r.timestamp, r.n_events) for r in got.collect()) == sorted(
+        (f"D{d}", at(m), at(m + 1), 2) for d in range(20) for m in (0, 30))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and "MapInArrow" in plan
+
+
 def test_defaults_fill_what_rules_leave_open(spark, events):
     params = {"tag": "bearing_wear", "route": "maintenance"}
     rules = [Rule("plain", "tag_route", params=params), Rule("own", "tag_route", severity="critical", params={**params, "min_score": 0.1}),
